@@ -24,9 +24,28 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .tokens import count_tokens
+
+    out = count_tokens(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack_documents
+
+    return pack_documents(_docs(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_token_counts": op3_token_counts,
+    "op6_best_fit_packing": op6_best_fit_packing,
 }
 
 ORACLES = {
