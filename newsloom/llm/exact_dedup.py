@@ -13,7 +13,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import byte_rows, materialise, tune
@@ -22,8 +22,10 @@ from .common import byte_rows, materialise, tune
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sha = hashlib.sha256
     for b in batches:
-        found = [sha((x or b"").lower()).digest() for x in byte_rows(b.column(1))]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], names=["doc_id", "digest"])
+        found = [sha((x or b"").lower()).digest() for x in byte_rows(b.column(2))]
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), b.column(1), pa.array(found, pa.binary())], names=["doc_id", "text_key", "digest"]
+        )
 
 
 def trim_counters(counts: Counter, k: int) -> Counter:
@@ -52,18 +54,21 @@ def misra_gries(k: int):
 
 
 def text_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, digest): SHA-256 of the text in UTF-8 after lower-casing A-Z only; null counts as empty."""
+    """(doc_id, text_key, digest): SHA-256 of the text in UTF-8 after lower-casing A-Z only; null counts as empty.
+
+    text_key is a hash of the text as it is, to find the row again.
+    """
     tune(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        _digests, f"doc_id {kind}, digest binary"
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")).mapInArrow(
+        _digests, f"doc_id {kind}, text_key bigint, digest binary"
     )
 
 
 def exact_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = 1024, least: int = 64
 ) -> DataFrame:
-    """For every row: doc_id, keep_id, group_size, kept, digest (binary SHA-256).
+    """For every row: doc_id, keep_id, group_size, kept, digest (binary SHA-256), text_key.
 
     Texts are equal when identical after lower-casing A-Z only; null equals empty. The largest doc_id of
     a group stays. Null doc_ids count in group_size and never win against another id; a group of null ids
@@ -88,20 +93,20 @@ def exact_groups(
     w = Window.partitionBy("digest")
     rest = rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti").select(
         "doc_id",
+        "text_key",
         F.max("doc_id").over(w).alias("keep_id"),
         F.count(F.lit(1)).over(w).alias("group_size"),
         "digest",
     )
-    both = heavy.select("doc_id", "keep_id", "group_size", "digest").unionByName(rest)
+    both = heavy.select("doc_id", "text_key", "keep_id", "group_size", "digest").unionByName(rest)
     return both.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
 
 
-def same_id(left: Column, right: Column) -> Column:
-    return left.eqNullSafe(right)
-
-
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, without the documents that ``exact_groups`` drops."""
-    gone = exact_groups(docs, id_col, text_col, **options).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    gone = gone.distinct()
-    return docs.join(gone, same_id(docs[id_col], gone["_gone"]), "left_anti")
+    """The rows of ``docs``, all columns as they are, without those that ``exact_groups`` drops.
+
+    Rows that repeat both the id and the text of the row that stays can't be told from it and stay too.
+    """
+    gone = exact_groups(docs, id_col, text_col, **options).where(~F.col("kept"))
+    gone = gone.select(F.col("doc_id").alias("_gone"), F.col("text_key").alias("_key")).distinct()
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]) & (F.xxhash64(docs[text_col]) == gone["_key"]), "left_anti")

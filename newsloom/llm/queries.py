@@ -33,6 +33,30 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score_quality
+
+    return score_quality(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import BASE, scan_secrets, span_text
+
+    found = scan_secrets(_docs(spark, sf_dir))
+    base = F.filter("findings", lambda x: x["kind"].isin(*BASE))
+    count = lambda kind: F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("long")
+    return found.select(
+        F.col("path").alias("doc_id"), *[count(k).alias(f"n_{k}") for k in BASE],
+        F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("findings")).alias("spans"),
+    )
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import identify_languages
+
+    return identify_languages(_docs(spark, sf_dir))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -45,6 +69,9 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_counts": op3_token_counts,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op5_secret_scan": op5_secret_scan,
+    "op9_language_id": op9_language_id,
     "op6_best_fit_packing": op6_best_fit_packing,
 }
 
