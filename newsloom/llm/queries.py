@@ -57,6 +57,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(_docs(spark, sf_dir))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dedup import near_groups
+
+    return near_groups(_docs(spark, sf_dir), shingle=2).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -72,6 +78,7 @@ QUERIES = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_secret_scan": op5_secret_scan,
     "op9_language_id": op9_language_id,
+    "op10_near_dedup": op10_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
 }
 
@@ -98,6 +105,29 @@ kept AS (
 SELECT w.doc_id, len(w.words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
        sha256(coalesce(kept_text, '')) AS kept_sha256
 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+""",
+    "op10_near_dedup": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) = 1 THEN words
+    ELSE list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM (SELECT g.*, n.n FROM g JOIN n ON g.doc_id = n.doc_id) a
+  JOIN (SELECT g.*, n.n FROM g JOIN n ON g.doc_id = n.doc_id) b
+    ON a.s = b.s AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM documents
+  UNION
+  SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.r = links.x)
+SELECT reach.doc_id, any_value(coalesce(n.n, 0))::BIGINT AS n_shingles, min(r) AS component_id,
+       reach.doc_id = min(r) AS kept
+FROM reach LEFT JOIN n ON reach.doc_id = n.doc_id GROUP BY reach.doc_id
 """,
     "op2_exact_dedup": """
 WITH t AS (
