@@ -61,7 +61,7 @@ class SegmentCache:
             return [new[s] for s in segments]
         except KeyError:
             pass
-        missing = set(segments) - new.keys()
+        missing = [s for s in set(segments) if s not in new]
         found = {s: self.old[s] for s in missing if s in self.old}
         rest = [s for s in missing if s not in found]
         found.update(zip(rest, self.encode(rest), strict=True))
