@@ -63,6 +63,13 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(_docs(spark, sf_dir), shingle=2).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import find_leaks
+
+    found = find_leaks(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "item_id", "score", "begin_word", "end_word")
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -79,6 +86,7 @@ QUERIES = {
     "op5_secret_scan": op5_secret_scan,
     "op9_language_id": op9_language_id,
     "op10_near_dedup": op10_near_dedup,
+    "op7_decontamination": op7_decontamination,
     "op6_best_fit_packing": op6_best_fit_packing,
 }
 
