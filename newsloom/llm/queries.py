@@ -70,6 +70,18 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "score", "begin_word", "end_word")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import KINDS, find_pii
+
+    found = find_pii(_docs(spark, sf_dir))
+    joined = lambda a: F.array_join(F.transform(a, lambda x: F.concat_ws(":", x["kind"], x["begin"], x["end"])), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda x: x["kind"].isin(*KINDS))
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in KINDS], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
+    )
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -87,6 +99,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_near_dedup": op10_near_dedup,
     "op7_decontamination": op7_decontamination,
+    "op8_pii": op8_pii,
     "op6_best_fit_packing": op6_best_fit_packing,
 }
 
