@@ -89,11 +89,12 @@ def char_grams(c: Column, low: int = 3, high: int = 5) -> Column:
     x = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"(?U)\s\s+", " ")
     none = F.array().cast("array<string>")
 
-    def of(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.char_length(x) - (n - 1))
-        return F.when(F.char_length(x) >= n, F.transform(starts, lambda i: F.substr(x, i, F.lit(n)))).otherwise(none)
+    def of(t: Column, n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.char_length(t) - (n - 1))
+        return F.when(F.char_length(t) >= n, F.transform(starts, lambda i: F.substr(t, i, F.lit(n)))).otherwise(none)
 
-    return F.flatten(F.array(*[of(n) for n in range(low, high + 1)]))
+    # the text goes in as a lambda's variable: written out in the inner lambda it would be computed for every gram
+    return F.flatten(F.transform(F.array(x), lambda t: F.flatten(F.array(*[of(t, n) for n in range(low, high + 1)]))))
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -30,7 +30,7 @@ def scored_pairs(rows: DataFrame, title_least: float, desc_least: float, least_d
     """
     t = cosine_pairs(gram_weights(rows, "block", "row", "title", least_df), title_least).withColumnRenamed("cosine", "t_cos")
     d = cosine_pairs(gram_weights(rows, "block", "row", "desc", least_df), desc_least).withColumnRenamed("cosine", "d_cos")
-    both = t.join(d, ["block", "i", "j"], "full")
+    both = materialise(t.join(d, ["block", "i", "j"], "full"), "pairs")
     sets = rows.select("row", tokens(F.col("title")).alias("tt"), tokens(F.col("desc")).alias("dt"))
     out = _sides(both, sets, ["tt", "dt"])
     return out.select(

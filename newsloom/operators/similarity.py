@@ -13,16 +13,22 @@ from pyspark.sql import functions as F
 
 from ..functions.scores import idf
 from ..functions.text import char_grams
+from ..storage import materialise
+
+#: Rows of a block in one cell of the grid.
+CELL = 128
 
 
 def gram_weights(df: DataFrame, block: str, row: str, text: str, least_df: int = 1) -> DataFrame:
-    """(block, row, gram, df, w): L2-normalised TF-IDF weights, fitted on each block.
+    """(block, row, gram, df, w): L2-normalised TF-IDF weights, fitted on each block; grams as 64-bit hashes.
 
     A row counts for its block's n even if it has no gram; grams in fewer than ``least_df`` rows are dropped first.
     """
     rows = df.select(F.col(block).alias("block"), F.col(row).alias("row"), F.col(text).alias("text"))
     n = rows.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
-    tf = rows.select("block", "row", F.explode(char_grams(F.col("text"))).alias("gram")).groupBy("block", "row", "gram").agg(F.count(F.lit(1)).alias("tf"))
+    # texts move once, before they become many grams: counting a row's grams then needs no further exchange
+    rows = rows.repartition(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))), "block", "row")
+    tf = rows.select("block", "row", F.explode(char_grams(F.col("text"))).alias("gram")).select("block", "row", F.xxhash64("gram").alias("gram")).groupBy("block", "row", "gram").agg(F.count(F.lit(1)).alias("tf"))
     df_ = tf.groupBy("block", "gram").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= least_df)
     w = tf.join(df_, ["block", "gram"]).join(F.broadcast(n), "block").withColumn("w", F.col("tf") * idf(F.col("n"), F.col("df")))
     own = Window.partitionBy("block", "row")
@@ -35,18 +41,95 @@ def _candidates(prefix: DataFrame) -> DataFrame:
     return a.join(b, ["block", "gram"]).where("i < j").select("block", "i", "j").distinct()
 
 
-def cosine_pairs(weights: DataFrame, least: float) -> DataFrame:
-    """(block, i, j, cosine) of every pair in a block with cosine >= least > 0, i < j."""
+def cosine_pairs(weights: DataFrame, least: float, strategy: str = "auto") -> DataFrame:
+    """(block, i, j, cosine) of every pair in a block with cosine >= least > 0, i < j; both strategies are exact.
+
+    prefix: candidates from rare grams, see ``_prefix_pairs``; best where texts share few grams. grid: all pairs of a
+    block in cells of about 2 * CELL rows, by matrix products; best where a block's texts share most grams. auto
+    counts what the prefix join would make and takes the cheaper.
+    """
+    rest = materialise(_with_rest(weights), "weights")
+    if strategy == "auto":
+        prefix = rest.where(F.col("rest") >= least / 2).groupBy("block", "gram").agg(F.count(F.lit(1)).alias("n"))
+        made = prefix.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0
+        rows = rest.select("block", "row").distinct().groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+        pairs = rows.agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0
+        strategy = "prefix" if made < 2 * pairs else "grid"
+    return _prefix_pairs(rest, least) if strategy == "prefix" else _grid_pairs(rest, least)
+
+
+def _with_rest(weights: DataFrame) -> DataFrame:
+    """rest: the norm of a row's gram and all its more common ones."""
     own = Window.partitionBy("block", "row").orderBy("df", "gram").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    # the norm of this gram and all behind it: what the row can still add to a dot product
-    rest = weights.withColumn("rest", F.sqrt(F.sum(F.col("w") * F.col("w")).over(own)))
-    found = _candidates(rest.where(F.col("rest") >= least - 1e-9))
-    a = weights.select("block", "gram", F.col("row").alias("i"), F.col("w").alias("x"))
-    b = weights.select("block", "gram", F.col("row").alias("j"), F.col("w").alias("y"))
+    return weights.withColumn("rest", F.sqrt(F.sum(F.col("w") * F.col("w")).over(own)))
+
+
+def _prefix_pairs(rest: DataFrame, least: float) -> DataFrame:
+    """A prefix goes on until the rest of the vector is shorter than half the threshold.
+
+    What two rows share outside their prefixes adds at most the longer of their rests, so the dot product over
+    shared prefix grams already drops nearly all pairs; only the others are scored on all grams.
+    """
+    row = Window.partitionBy("block", "row")
+    prefix = rest.where(F.col("rest") >= least / 2)
+    prefix = prefix.withColumn("end", F.sqrt(F.greatest(F.lit(0.0), 1 - F.sum(F.col("w") * F.col("w")).over(row))))
+    a = prefix.select("block", "gram", F.col("row").alias("i"), F.col("w").alias("x"), F.col("end").alias("ex"))
+    b = prefix.select("block", "gram", F.col("row").alias("j"), F.col("w").alias("y"), F.col("end").alias("ey"))
+    shared = a.join(b, ["block", "gram"]).where("i < j").groupBy("block", "i", "j")
+    shared = shared.agg(F.sum(F.col("x") * F.col("y")).alias("part"), F.max(F.greatest("ex", "ey")).alias("end"))
+    found = shared.where(F.col("part") + F.col("end") >= least - 1e-6).select("block", "i", "j")
+    a = rest.select("block", "gram", F.col("row").alias("i"), F.col("w").alias("x"))
+    b = rest.select("block", "gram", F.col("row").alias("j"), F.col("w").alias("y"))
     scored = found.join(a, ["block", "i"]).join(b, ["block", "j", "gram"]).groupBy("block", "i", "j")
     return scored.agg(F.round(F.sum(F.col("x") * F.col("y")), 9).alias("cosine")).where(F.col("cosine") >= least)
 
 
+def _grid_pairs(rest: DataFrame, least: float) -> DataFrame:
+    """Rows of a block are dealt into cells by hash; each pair of cells is one group of bounded size."""
+    vectors = rest.groupBy("block", "row").agg(F.collect_list(F.struct("gram", "w")).alias("v"))
+    cells = rest.select("block", "row").distinct().groupBy("block").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("cells"))
+    rows = vectors.join(cells, "block").select(
+        "block", "row", F.col("v.gram").alias("gram"), F.col("v.w").alias("w"), F.pmod(F.xxhash64("row"), F.col("cells")).cast("int").alias("cell"),
+        F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("other"),
+    )
+    rows = rows.withColumns({"low": F.least("cell", "other"), "high": F.greatest("cell", "other")}).drop("other")
+    types = {f.name: f.dataType.simpleString() for f in rest.schema}
+    schema = f"block {types['block']}, i {types['row']}, j {types['row']}, cosine double"
+    return rows.groupBy("block", "low", "high").applyInArrow(_cell_scores(least), schema)
+
+
+def _cell_scores(least: float):
+    def run(t):
+        import numpy as np
+        import pyarrow as pa
+
+        t = t.combine_chunks()
+        size = np.array([len(x) for x in t["gram"]], np.int64)
+        who = np.repeat(np.arange(len(size)), size)
+        flat = lambda c: t[c].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        _, gram, n = np.unique(flat("gram"), return_inverse=True, return_counts=True)
+        shared = n >= 2
+        place = np.cumsum(shared) - 1
+        keep = shared[gram]
+        x = np.zeros((len(size), int(shared.sum())))
+        x[who[keep], place[gram[keep]]] = flat("w")[keep]
+        low, high, cell, row = (t[c].to_numpy() for c in ("low", "high", "cell", "row"))
+        left = np.flatnonzero(cell == low)
+        right = np.flatnonzero(cell == high)
+        score = np.round(x[left] @ x[right].T, 9)
+        a, b = np.nonzero(score >= least)
+        i, j = row[left[a]], row[right[b]]
+        if len(low) and low[0] == high[0]:
+            good = i < j
+        else:
+            good = np.ones(len(i), bool)
+        i, j, s = i[good], j[good], score[a, b][good]
+        block = t["block"].combine_chunks().take(pa.array(np.zeros(len(i), np.int64)))
+        return pa.Table.from_arrays([block, pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j)), pa.array(s, pa.float64())], names=["block", "i", "j", "cosine"])
+
+    return run
+
+
 def jaccard_pairs(df: DataFrame, block: str, row: str, tokens: str, least: float) -> DataFrame:
     """(block, i, j, jaccard) of every pair in a block with jaccard >= least > 0, i < j; tokens: distinct."""
     rows = df.select(F.col(block).alias("block"), F.col(row).alias("row"), F.col(tokens).alias("t")).where(F.size("t") > 0)
