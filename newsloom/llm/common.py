@@ -1,41 +1,19 @@
-"""Helpers shared by the training-data operators: shared-folder tables, Arrow text access, sizing."""
+"""Helpers shared by the training-data operators: Arrow text access and sizing."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-ARROW_ROWS = 2000
-ARROW_BYTES = 8 << 20
-DEFAULT_SCRATCH = "/tmp/checkpoints/newsloom"
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a local default set only where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = DEFAULT_SCRATCH
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+from ..storage import materialise, scratch_dir
 
+__all__ = ["byte_rows", "materialise", "scratch_dir", "shuffle_partitions", "tune"]
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and read it back.
-
-    This cuts lineage: a lost executor costs a reread of the table, not a recomputation. The table
-    goes when the driver's JVM ends.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/newsloom-{uuid.uuid4().hex}/{label}"
-    df.write.mode("overwrite").parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path).getParent()
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+ARROW_ROWS = 2000
+ARROW_BYTES = 8 << 20
 
 
 def tune(spark: SparkSession) -> None:
@@ -52,10 +30,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def byte_rows(column: pa.Array) -> Iterator[bytes | None]:
     """The values of a string or binary column as bytes, without decoding; None for null."""
-    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
-        column = column.cast(pa.large_binary())
-    elif pa.types.is_binary(column.type):
-        column = column.cast(pa.large_binary())
+    column = column.cast(pa.large_binary())
     n = len(column)
     if not n:
         return

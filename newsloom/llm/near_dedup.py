@@ -23,8 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import connected_components
 from .common import byte_rows, materialise, shuffle_partitions, tune
-from .components import connected_components
 from .substring_dedup import mix, word_hashes, words_of
 
 ROWS = 6

@@ -4,7 +4,8 @@ import re
 import numpy as np
 import pytest
 
-from newsloom.llm import components, near_dedup
+from newsloom.llm import near_dedup
+from newsloom.operators import components
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 
