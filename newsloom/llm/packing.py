@@ -16,6 +16,7 @@ sums, so no length, however common, gathers in one task.
 from __future__ import annotations
 
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -155,7 +156,7 @@ def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
         if key not in _loaded:
             _loaded[key] = SegmentCache(
                 lambda xs: [
-                    np.array(e.ids, "<u4").tobytes()
+                    array("I", e.ids).tobytes()
                     for e in tok.encode_batch_fast([x.decode() for x in xs], add_special_tokens=False)
                 ]
             )
@@ -165,7 +166,9 @@ def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
             rows, piece, start, length, crc, rank, kept = [], [], [], [], [], [], []
             for i, text in enumerate(byte_rows(b.column(1))):
                 # no piece of the pre-tokenizer spans ASCII white space, and the normaliser drops it
-                ids = b"".join(cache.values((text or b"").split())) + last
+                text = text or b""
+                # it also lowers case; special strings, which are matched as they stand, all hold "<|"
+                ids = b"".join(cache.values((text if b"<|" in text else text.lower()).split())) + last
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[at : at + 4 * capacity]
                     n = len(own) // 4

@@ -28,7 +28,7 @@ CHUNK = 32_768
 OVERLAP = 256
 LONGEST_KEPT = 64
 #: Segments in one generation of a worker's cache; there are two generations.
-CACHE = 250_000
+CACHE = 500_000
 
 _SEGMENT = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 _SEGMENT_CAREFUL = re.compile(r"(?<=\S)(?=[ \t-\r])")
@@ -56,19 +56,21 @@ class SegmentCache:
         self.encode, self.limit, self.new, self.old = encode, limit, {}, {}
 
     def values(self, segments: list) -> list:
-        new = self.new
-        try:
-            return [new[s] for s in segments]
-        except KeyError:
-            pass
-        missing = [s for s in set(segments) if s not in new]
-        found = {s: self.old[s] for s in missing if s in self.old}
-        rest = [s for s in missing if s not in found]
-        found.update(zip(rest, self.encode(rest), strict=True))
-        out = [new[s] if s in new else found[s] for s in segments]
-        if len(new) + len(found) > self.limit:
+        new, rest = self.new, []
+        missing = set(segments).difference(new)
+        if missing:
+            old = self.old
+            found = {s: old[s] for s in missing if s in old}
+            rest = [s for s in missing if s not in found]
+            if rest:
+                found.update(zip(rest, self.encode(rest), strict=True))
+            new.update(found)
+        out = list(map(new.__getitem__, segments))
+        for s in rest:
+            if len(s) > LONGEST_KEPT:
+                del new[s]
+        if len(new) > self.limit:
             self.old, self.new = new, {}
-        self.new.update((s, v) for s, v in found.items() if len(s) <= LONGEST_KEPT)
         return out
 
 
