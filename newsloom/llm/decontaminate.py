@@ -1,14 +1,18 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-An item of L words with at most e = floor(0.2 * L) edits still shares L - n + 1 - n * e of its word n-grams, so
-at least one of any n * e + 1 of them. Seeds are therefore the n * e + 1 n-grams of each item that are rarest in
-the corpus (counted over all documents): no copy within that distance escapes, and common phrases rarely seed.
-Around a seed hit, the passage must hold enough of the item's n-grams; it is then aligned with the item word by
-word. The corpus is never shuffled; seeds and items go out in blocks of bounded size.
+The alignment score alone decides. A score of t or more over an item of L words takes m >= t + x matched words
+with x mismatches and gaps between them, so the matches lie in at most x + 1 runs, and x <= L - t. The runs hold
+at least m - x - 1 >= t - 1 of the item's bigrams, whatever was put in, and m - 2 * (x + 1) >= 2 * t - L - 2 of its
+trigrams. Where c of an item's N n-grams are sure, any N - c + 1 of them hold one. Seeds are therefore the N - c + 1
+n-grams of each item that are rarest in the corpus (counted over all documents), bigrams or trigrams, whichever
+are rarer together: no passage with that score escapes, and common phrases rarely seed. Around a seed hit, the
+passage must hold t - 1 of the item's bigrams; it is then aligned with the item word by word. The corpus is never
+shuffled; seeds and items go out in blocks of bounded size.
 """
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -20,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import materialise, tune
 from .substring_dedup import mix, word_hashes, words_of
 
-#: Share of an item's words that may be edited; least words of an item that is evidence; words of items in a block.
+#: Share of an item's words that may be edited; least words of an item that is aligned, shorter ones match as they stand; words of items in a block.
 EDITS = 0.2
 LEAST_WORDS = 8
 BLOCK_WORDS = 2_000_000
@@ -45,35 +49,44 @@ def grams(h: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+def sure(length: int, least: int, n: int) -> int:
+    """n-grams of an item that every alignment with a score of ``least`` keeps."""
+    return (least, least - 1, 2 * least - length - 2)[n - 1]
+
+
 class Items:
-    """Benchmark items of a block: words, allowed edits, n-gram length."""
+    """Benchmark items of a block: words, least score, n-gram lengths that can seed."""
 
     def __init__(self, rows: list[tuple], edits: float, least_words: int):
-        self.ids, self.words, self.edits, self.n = [], [], [], []
+        self.ids, self.words, self.least, self.fit = [], [], [], []
         for k, text in rows:
             h = words(text)
-            if len(h) < max(1, least_words):
+            if not len(h):
                 continue
-            e = int(edits * len(h) + 1e-9)
-            fit = [n for n in (3, 2, 1) if len(h) - n + 1 - n * e >= 1]
+            least = max(1, math.ceil((1 - 2 * edits) * len(h) - 1e-9)) if len(h) >= least_words else len(h)
             self.ids.append(k)
             self.words.append(h)
-            self.edits.append(e)
-            self.n.append(fit[0] if fit else 1)
-        self.lengths = sorted(set(self.n))
+            self.least.append(least)
+            self.fit.append([n for n in (3, 2) if sure(len(h), least, n) >= 1] or [1])
+        self.lengths = sorted({n for fit in self.fit for n in fit})
 
     def all_grams(self) -> np.ndarray:
-        return np.unique(np.concatenate([grams(h, n) for h, n in zip(self.words, self.n, strict=True)] or [np.zeros(0, np.uint64)]))
-
-    def seeds(self, counts: dict[int, int]) -> dict[int, list[tuple[int, int]]]:
-        """seed -> (item, place in it): the rarest n * e + 1 places of every item."""
-        out = defaultdict(list)
-        for i, (h, e, n) in enumerate(zip(self.words, self.edits, self.n, strict=True)):
-            own = grams(h, n).tolist()
-            order = sorted(range(len(own)), key=lambda p: (counts.get(own[p], 0), own[p], p))
-            for p in order[: n * e + 1]:
-                out[own[p]].append((i, p))
-        return dict(out)
+        own = [grams(h, n) for h, fit in zip(self.words, self.fit, strict=True) for n in fit]
+        return np.unique(np.concatenate(own or [np.zeros(0, np.uint64)]))
+
+    def seeds(self, counts: dict[int, int]) -> dict[int, dict[int, list[tuple[int, int]]]]:
+        """n -> seed -> (item, place in it): the rarest places of every item, by the n whose places are rarest."""
+        out = {n: defaultdict(list) for n in self.lengths}
+        for i, (h, least, fit) in enumerate(zip(self.words, self.least, self.fit, strict=True)):
+            choices = []
+            for n in fit:
+                own = grams(h, n).tolist()
+                order = sorted((counts.get(v, 0), v, p) for p, v in enumerate(own))[: len(own) - sure(len(h), least, n) + 1]
+                choices.append((sum(c for c, _, _ in order), -n, order))
+            _, n, order = min(choices)
+            for _, v, p in order:
+                out[-n][v].append((i, p))
+        return {n: dict(x) for n, x in out.items() if x}
 
 
 class Lookup:
@@ -118,33 +131,34 @@ def smith_waterman(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int
     return best
 
 
-def find_items(h: np.ndarray, items: Items, seeds: dict, looks: dict[int, Lookup], own: list[np.ndarray], edits: float):
+def find_items(h: np.ndarray, items: Items, seeds: dict, looks: dict[int, Lookup], own: list[np.ndarray]):
     """(item number, score, begin, end) of each item that the text holds; the best place of each."""
-    regions: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    regions: dict[int, set[tuple[int, int]]] = defaultdict(set)
     for n, look in looks.items():
         g = grams(h, n)
         at = look.hits(g)
         for p, v in zip(at.tolist(), g[at].tolist(), strict=True):
-            for i, q in seeds[v]:
-                if items.n[i] == n:
-                    e = items.edits[i]
-                    regions[i].append((max(0, p - q - e), min(len(h), p - q + len(items.words[i]) + e)))
+            for i, q in seeds[n][v]:
+                length = len(items.words[i])
+                e = length - items.least[i]
+                regions[i].add((max(0, p - q - e), min(len(h), p - q + length + e)))
+    pairs = {n: grams(h, n) for n in (1, 2)} if regions else {}
     out = []
     for i, spans in regions.items():
-        item, e, n = items.words[i], items.edits[i], items.n[i]
-        spans = sorted(set(spans))
+        item, least = items.words[i], items.least[i]
+        spans = sorted(spans)
         merged = [list(spans[0])]
         for a, b in spans[1:]:
             if a <= merged[-1][1]:
                 merged[-1][1] = max(merged[-1][1], b)
             else:
                 merged.append([a, b])
-        least, best = max(1, len(item) - n + 1 - n * e), None
+        n, best = min(2, least), None
         for a, b in merged:
-            if int(np.isin(grams(h[a:b], n), own[i]).sum()) < min(least, len(own[i])):
+            if b - a < least or int(np.isin(pairs[n][a : b - n + 1], own[i]).sum()) < least - n + 1:
                 continue
             score, x, y = smith_waterman(item, h[a:b])
-            if score >= (1 - 2 * edits) * len(item) - 1e-9 and (best is None or score > best[1]):
+            if score >= least and (best is None or score > best[1]):
                 best = (i, score, a + x, a + y)
         if best:
             out.append(best)
@@ -167,18 +181,15 @@ def _counter(table, lengths: list[int]):
     return run
 
 
-def _matcher(shared, edits: float, item_kind: pa.DataType):
+def _matcher(shared, item_kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, seeds = shared.value
-        looks = {
-            n: Lookup(np.sort(np.array([v for v, at in seeds.items() if any(items.n[i] == n for i, _ in at)], np.uint64)))
-            for n in items.lengths
-        }
-        own = [np.unique(grams(h, n)) for h, n in zip(items.words, items.n, strict=True)]
+        looks = {n: Lookup(np.sort(np.array(list(x), np.uint64))) for n, x in seeds.items()}
+        own = [np.unique(grams(h, min(2, least))) for h, least in zip(items.words, items.least, strict=True)]
         for b in batches:
             rows, found = [], []
             for r, text in enumerate(b.column(2).to_pylist()):
-                for x in find_items(words(text), items, seeds, looks, own, edits):
+                for x in find_items(words(text), items, seeds, looks, own):
                     rows.append(r)
                     found.append(x)
             if not rows:
@@ -202,11 +213,12 @@ def find_leaks(
 ) -> DataFrame:
     """(doc_id, item_id, score, begin_word, end_word, text_key) of each document that holds a benchmark item.
 
-    score: Smith-Waterman score of the best alignment over the item's words; reported from 1 - 2 * edits on, which
-    every copy with at most ``edits`` of its words changed, dropped or put in reaches. Words are lower-cased runs
-    of letters, digits and non-ASCII characters; whole texts are searched.
+    score: Smith-Waterman score of the best alignment over the item's words; every passage that reaches 1 - 2 * edits
+    is reported, as every copy with at most ``edits`` of its words changed, dropped or put in does. Words are
+    lower-cased runs of letters, digits and non-ASCII characters; whole texts are searched.
 
-    Null or empty texts hold nothing; items of fewer than ``least_words`` words are no evidence and match nothing.
+    Null or empty texts and items without words hold nothing; items of fewer than ``least_words`` words are found
+    where their words stand in a row unchanged (score 1).
     Items with one text are reported each; repeated documents are reported each; ids may be null. Tables without
     rows give no rows. Other columns are not looked at.
     """
@@ -233,7 +245,7 @@ def find_leaks(
         counts = counts.groupBy("gram").agg(F.sum("n").alias("n"))
         seen = {r[0] & (2**64 - 1): r[1] for r in counts.collect()}  # at most the block's own n-grams
         shared = spark.sparkContext.broadcast((items, items.seeds(seen)))
-        found = materialise(rows.mapInArrow(_matcher(shared, edits, to_arrow_type(item_type)), schema), f"leaks{k}")
+        found = materialise(rows.mapInArrow(_matcher(shared, to_arrow_type(item_type)), schema), f"leaks{k}")
         out = found if out is None else out.unionByName(found)
     if out is None:
         out = spark.createDataFrame([], schema)

@@ -90,3 +90,33 @@ def test_empty_tables(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert D.find_leaks(docs, bench).count() == 0
     assert D.drop_leaks(docs.limit(0), bench).count() == 0
+
+
+def test_every_alignment_with_the_score_is_found(spark):
+    rnd = random.Random(6)
+    vocab = [f"w{i}" for i in range(300)]
+    items = [(i, rnd.choices(vocab, k=rnd.choice([1, 2, 3, 5, 7, 8, 9, 20, 50]))) for i in range(40)]
+    items += [(90, [f"a{i}" for i in range(50)]), (91, [f"b{i}" for i in range(20)])]
+    docs = []
+    for k in range(400):
+        _, own = items[k % 42]
+        for _ in range(rnd.randint(0, max(1, len(own) // 2))):
+            if own and rnd.random() < 0.3:
+                own = edited(rnd, own, 1, vocab)
+            else:
+                at = rnd.randint(0, len(own))
+                own = own[:at] + [rnd.choice(vocab)] + own[at:]
+        docs.append((k, rnd.choices(vocab, k=rnd.randint(0, 30)) + own + rnd.choices(vocab, k=rnd.randint(0, 30))))
+    docs.append((900, [w for i in range(50) for w in [f"a{i}"] + ["foreign"] * (i % 3 == 2)]))
+    docs.append((901, [w for i in range(20) for w in [f"b{i}"] + ["foreign"] * (i in (2, 4, 7, 9, 12, 14, 17))]))
+    want = {}
+    for k, b in docs:
+        for i, a in items:
+            score = plain_score(a, b)
+            if score >= (0.6 * len(a) - 1e-9 if len(a) >= 8 else len(a)):
+                want[k, i] = score / len(a)
+    assert want[900, 90] == 34 / 50 and want[901, 91] == 13 / 20
+    table = spark.createDataFrame([(k, " ".join(b)) for k, b in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(a)) for i, a in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in D.find_leaks(table, bench).collect()}
+    assert got == want
