@@ -101,7 +101,8 @@ def base_spans(text: Column, kind: str) -> Column:
 
 def candidates(text: Column, kind: str) -> Column:
     if kind == "contact":
-        can = F.contains(text, F.lit("@")) | F.contains(text, F.lit("(at)")) | F.contains(text, F.lit("[at]")) | F.contains(text, F.lit(" dot "))
+        # one of these stands in every match
+        can = F.contains(text, F.lit("@")) | F.contains(text, F.lit("(at)")) | F.contains(text, F.lit("[at]")) | F.contains(text, F.lit(" at "))
     else:
         can = text.rlike("[0-9]")
     return F.when(can, matches(text, GENERATORS[kind])).otherwise(F.array().cast(f"array<{_SPAN}>"))

@@ -69,6 +69,17 @@ def test_odd_texts(spark):
     assert pii.find_pii(docs.limit(0)).count() == 0
 
 
+def test_candidates_are_those_of_the_pattern(spark):
+    texts = ["write to jane at example.com", "jane(at)example.com", "jane [at] example [dot] com", "jane at example dot com now", "a@b.cd", "no dot here", "me at home", None]
+    texts += [f"{t} x@y" for t in texts if t]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    text = F.coalesce("text", F.lit(""))
+    for r in df.select("text", pii.candidates(text, "contact").alias("got"), pii.matches(text, pii.GENERATORS["contact"]).alias("want")).collect():
+        assert r.got == r.want, r.text
+    got = df.select(pii.candidates(text, "contact").alias("got")).first().got
+    assert [x.value for x in got] == ["jane at example.com"]
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "é call +1 (706) 555-3138 or me@site.org."), (2, None)], "doc_id long, text string")
     out = docs.join(pii.find_pii(docs), "doc_id").select("doc_id", pii.redacted(F.col("text"), F.col("spans")).alias("t"))
