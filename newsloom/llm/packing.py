@@ -149,6 +149,20 @@ def lower_bound(counts: dict[int, int], capacity: int = CAPACITY) -> int:
     return best
 
 
+def _segments(text: bytes) -> list[bytes]:
+    """The text cut at ASCII white space, in lower case where the ids are the same then.
+
+    The normaliser lowers case too, but composes first, and some letters compose with a mark in lower case only.
+    Marks that compose with an ASCII letter, or decompose to one that does, lie in U+0300 to U+037F, whose UTF-8
+    begins with CC or CD. Special strings, which are matched as they stand, all hold "<|".
+    """
+    if b"<|" in text:
+        return text.split()
+    if b"\xcc" in text or b"\xcd" in text:
+        return [s.lower() if s.isascii() else s for s in text.split()]
+    return text.lower().split()
+
+
 def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = load_tokenizer(path)
@@ -167,8 +181,7 @@ def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
             for i, text in enumerate(byte_rows(b.column(1))):
                 # no piece of the pre-tokenizer spans ASCII white space, and the normaliser drops it
                 text = text or b""
-                # it also lowers case; special strings, which are matched as they stand, all hold "<|"
-                ids = b"".join(cache.values((text if b"<|" in text else text.lower()).split())) + last
+                ids = b"".join(cache.values(_segments(text))) + last
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[at : at + 4 * capacity]
                     n = len(own) // 4

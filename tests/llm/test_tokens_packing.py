@@ -70,6 +70,24 @@ def test_packing_round_trip(spark, sf_dir):
     assert packing.pack_documents(docs.where(F.lit(False)), WORD).count() == 0
 
 
+def test_letters_that_compose_in_lower_case_only(spark):
+    import unicodedata
+
+    enc = encode(WORD)
+    five = ["T\u0308", "H\u0331", "W\u030a", "Y\u030a", "J\u030c"]
+    texts = [*five, "The " + " ".join(five) + " END", "T\u0331\u0308 J\u0f71\u030c W\u0344 X\u0344"]
+    texts += [" ".join(chr(c) + chr(m) for c in [*range(65, 91), *range(97, 123)]) for m in range(0x300, 0x370)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in packing.pack_documents(docs, WORD).collect()}
+    for i, t in enumerate(texts):
+        ids = np.array(enc(t).ids + [0], "<u4")
+        assert got[i] == (len(ids), zlib.crc32(ids.tobytes())), t
+    for m in filter(lambda m: not 0xD800 <= m < 0xE000, range(0x80, 0x110000)):
+        if chr(m).encode()[0] not in (0xCC, 0xCD):
+            for c in "thwyj":
+                assert unicodedata.normalize("NFC", c + chr(m))[0] == c
+
+
 def test_plans_are_whole_and_near_the_bound():
     rnd = random.Random(3)
     for _ in range(200):
