@@ -13,7 +13,7 @@ from ..constants import (
     SENTIMENT_STAGES, SIMILAR_TOPIC, UNRELATED_CATEGORY,
 )
 from ..functions.text import clean_invisible, non_blank
-from .clusters import first_summary, group_topics, merge_across, propagate, representatives
+from .clusters import Judge, first_summary, group_topics, merge_across, propagate, representatives
 
 LABELS = "brand_relevance string, brand_relevance_query_keywords array<string>, sentiment_stage string, news_category string, news_keyword_summary string"
 DANGER = "danger_level string, issue_category string"
@@ -179,11 +179,20 @@ def verify_clusters(df: DataFrame) -> DataFrame:
     return out.withColumn("source", F.coalesce("_v", "source")).drop("_k", "_c", "_v")
 
 
-def verify_and_regroup(df: DataFrame) -> DataFrame:
-    """Cluster verdicts, merge across queries, topics, then the consistency rules."""
+def component_judge(classifier: Classifier, mode: str = "topic") -> Judge:
+    """The judge that classifies a borderline component's representative and asks ``component_gate``."""
+    return lambda reps: classifier.first_pass(reps).where(component_gate(mode)).select("row")
+
+
+def verify_and_regroup(df: DataFrame, classifier: Classifier | None = None) -> DataFrame:
+    """Cluster verdicts, merge across queries, topics, then the consistency rules.
+
+    With a classifier, borderline components are judged by their representatives; without one they are left out.
+    """
     from .clusters import consistent
 
-    out = consistent(group_topics(merge_across(verify_clusters(df))))
+    judge = component_judge(classifier) if classifier else None
+    out = consistent(group_topics(merge_across(verify_clusters(df), judge=judge), judge=judge))
     return first_summary(out, "cluster_id", "cluster_summary", "row")
 
 

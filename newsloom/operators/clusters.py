@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CrossMerge, PressRelease, Topics
-from ..constants import GENERAL, PRESS_RELEASE, SIMILAR_TOPIC, UNRELATED_CATEGORY
+from ..constants import GENERAL, OUR, PRESS_RELEASE, SIMILAR_TOPIC, UNRELATED_CATEGORY
 from ..functions.dates import day_gap, fractional_days
 from ..functions.scores import blend
-from ..functions.text import clean_markup, cluster_label, cluster_number, jaccard, media_key, non_blank, query_prefix, summary_tokens, tokens
+from ..functions.text import clean_markup, cluster_label, cluster_number, jaccard, media_key, non_blank, normalise_group, query_prefix, summary_tokens, tokens
 from ..storage import materialise
 from .components import connected_components
 from .similarity import cosine_pairs, gram_weights, jaccard_pairs
@@ -62,9 +64,9 @@ def comparable(articles: DataFrame, block: str = "query", row: str = "row") -> D
     return out.where((F.col("title") != "") | (F.col("desc") != ""))
 
 
-def press_release_edges(articles: DataFrame, cfg: PressRelease = PressRelease(), borderline: bool = False) -> DataFrame:
+def press_release_edges(articles: DataFrame, cfg: PressRelease = PressRelease(), borderline: bool = False, block: str = "query") -> DataFrame:
     """(block, i, j, rule, scores) of related articles; with ``borderline`` also the pairs a judge would see."""
-    rows = materialise(comparable(articles), "comparable")
+    rows = materialise(comparable(articles, block), "comparable")
     least = (cfg.border_title_cosine, cfg.border_desc_cosine) if borderline else (cfg.title_cosine, cfg.desc_cosine)
     pairs = _sides(scored_pairs(rows, *least, 2), rows, ["day"])
     ruled = pairs.withColumn("rule", press_release_rule(day_gap(F.col("i_day"), F.col("j_day")), cfg))
@@ -83,21 +85,63 @@ def top_edges(edges: DataFrame, k: int = 3) -> DataFrame:
 
 
 def numbered_clusters(members: DataFrame, kind: str = "c", start: int = 0, per_prefix: bool = False) -> DataFrame:
-    """(row, cluster_id) of (row, component, prefix): numbered by prefix, then by first member.
+    """(row, cluster_id) of (row, component, prefix): numbered by prefix (by block, where there is one), then by first member.
 
     The window runs over clusters, one row each, not over articles.
     """
-    clusters = members.groupBy("component", "prefix").agg(F.min("row").alias("first"))
-    w = (Window.partitionBy("prefix") if per_prefix else Window.partitionBy()).orderBy(*([] if per_prefix else ["prefix"]), "first")
+    block = ["block"] if "block" in members.columns else []
+    clusters = members.groupBy("component", "prefix", *block).agg(F.min("row").alias("first"))
+    w = (Window.partitionBy("prefix") if per_prefix else Window.partitionBy()).orderBy(*([] if per_prefix else block or ["prefix"]), "first")
     ids = clusters.withColumn("cluster_id", cluster_label(query_prefix(F.col("prefix")), kind, F.row_number().over(w) + start))
     return members.join(ids.select("component", "cluster_id"), "component").select("row", "cluster_id")
 
 
-def detect_press_releases(articles: DataFrame, cfg: PressRelease = PressRelease(), start: int = 0) -> DataFrame:
-    """The articles with source and cluster_id: components of related articles in a block are press releases."""
-    edges = press_release_edges(articles, cfg)
+#: Representatives (row, query, group, title, description) of borderline components -> row of those that stand.
+Judge = Callable[[DataFrame], DataFrame]
+
+
+def approved_edges(border: DataFrame, articles: DataFrame, judge: Judge, least: int = 2) -> DataFrame:
+    """(i, j) that join the components of ``border`` of at least that many rows whose representative the judge approves."""
+    parts = connected_components(border, "i", "j").select(F.col("node").alias("row"), "component")
+    large = parts.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    parts = materialise(parts.join(large.select("component"), "component"), "borderline")
+    reps = materialise(longest_representatives(articles.join(parts, "row"), "component", "pub_datetime", "row"), "judged")
+    stands = materialise(judge(reps.select("row", "query", "group", "title", "description")).select("row"), "approved")
+    good = reps.join(stands, "row").select("component")
+    return parts.join(good, "component").where("row != component").select(F.col("component").alias("i"), F.col("row").alias("j"))
+
+
+def _border_scores(edges: DataFrame, cfg: PressRelease) -> DataFrame:
+    """Borderline edges with the scores of the channels that make them borderline; 0 in the other one."""
+    title = (F.col("t_cos") >= cfg.border_title_cosine) & (F.col("t_cos") < cfg.title_cosine) & (F.col("t_jac") >= cfg.border_title_jaccard)
+    desc = (F.col("d_cos") >= cfg.border_desc_cosine) & (F.col("d_cos") < cfg.desc_cosine) & (F.col("d_jac") >= cfg.border_desc_jaccard)
+    return edges.where(F.col("rule").startswith("border")).withColumns(
+        {c: F.when(title if c.startswith("t") else desc, F.col(c)).otherwise(0.0) for c in ("t_cos", "t_jac", "d_cos", "d_jac")}
+    )
+
+
+def detect_press_releases(
+    articles: DataFrame, cfg: PressRelease = PressRelease(), start: int = 0, judge: Judge | None = None, group_our_brands: bool = False
+) -> DataFrame:
+    """The articles with source and cluster_id: components of related articles in a block are press releases.
+
+    judge: what decides on borderline components of three or more (by each article's three best borderline edges);
+    without one they are left out. group_our_brands: own-brand articles are one block whatever their query.
+    """
+    own = F.when(normalise_group(F.col("group")) == OUR, OUR).otherwise(F.col("query")) if group_our_brands else F.col("query")
+    blocked = articles.withColumn("_block", own)
+    edges = press_release_edges(blocked, cfg, judge is not None, "_block")
+    if judge:
+        edges = materialise(edges, "ruled")
+        more = approved_edges(top_edges(_border_scores(edges, cfg)), articles, judge, 3)
+        edges = edges.where(~F.col("rule").startswith("border")).select("i", "j").unionByName(more)
     parts = connected_components(edges, "i", "j").select(F.col("node").alias("row"), "component")
-    members = parts.join(articles.select("row", F.col("query").alias("prefix")), "row")
+    members = parts.join(blocked.select("row", F.col("query").alias("prefix"), F.col("_block").alias("block")), "row")
+    if group_our_brands:
+        first = members.groupBy("component").agg(F.min_by("prefix", "row").alias("prefix"))
+        members = members.drop("prefix").join(first, "component")
+    else:
+        members = members.drop("block")
     ids = numbered_clusters(members, "c", start)
     out = articles.drop("source", "cluster_id").join(ids, "row", "left")
     return out.withColumn("source", F.when(F.col("cluster_id").isNull(), GENERAL).otherwise(PRESS_RELEASE)).withColumn(
@@ -155,7 +199,7 @@ def cross_rule(cfg: CrossMerge) -> Column:
         .when((t_cos >= cfg.title_cosine) & (t_jac >= cfg.title_jaccard), "auto")
         .when((d_cos >= cfg.desc_cosine) & (d_jac >= cfg.desc_jaccard), "auto")
         .when(t_jac >= cfg.border_jaccard_standalone, "border")
-        .when(border & ((F.col("i_media") == F.col("j_media")) | (F.col("gap") <= cfg.border_days)), "border")
+        .when(border & (((F.col("i_media") == F.col("j_media")) & (F.col("i_media") != "")) | (F.col("gap") <= cfg.border_days)), "border")
     )
 
 
@@ -178,12 +222,22 @@ def cross_edges(df: DataFrame, cfg: CrossMerge = CrossMerge()) -> DataFrame:
     return pairs.withColumn("rule", cross_rule(cfg)).where(F.col("rule").isNotNull()).select("i", "j", "rule", "t_cos", "t_jac", "d_cos", "d_jac")
 
 
-def merge_across(df: DataFrame, cfg: CrossMerge = CrossMerge(), start: int = 0) -> DataFrame:
+def with_approved(edges: DataFrame, sure: str, articles: DataFrame, judge: Judge | None) -> DataFrame:
+    """(i, j) of the edges whose rule is ``sure``, and of the borderline components that the judge approves."""
+    if judge is None:
+        return edges.where(F.col("rule") == sure)
+    edges = materialise(edges, "ruled")
+    more = approved_edges(edges.where("rule = 'border'"), articles, judge)
+    return edges.where(F.col("rule") == sure).select("i", "j").unionByName(more)
+
+
+def merge_across(df: DataFrame, cfg: CrossMerge = CrossMerge(), start: int = 0, judge: Judge | None = None) -> DataFrame:
     """Components over automatic edges share the least cluster id (else a new cross_m id) and one source.
 
-    The press-release label wins in a component; the first non-blank summary goes to all its rows.
+    The press-release label wins in a component; the first non-blank summary goes to all its rows. Borderline
+    components that ``judge`` approves are merged too; without one they are left out.
     """
-    edges = cross_edges(df, cfg).where("rule = 'auto'")
+    edges = with_approved(cross_edges(df, cfg), "auto", df, judge)
     parts = materialise(connected_components(edges, "i", "j").select(F.col("node").alias("row"), "component"), "merged")
     cand = parts.join(df.select("row", non_blank(F.col("cluster_id")).alias("old"), "source"), "row")
     groups = cand.groupBy("component").agg(
@@ -214,9 +268,12 @@ def topic_pairs(df: DataFrame, cfg: Topics = Topics()) -> DataFrame:
     return pairs.select("i", "j", "jaccard", F.when(F.col("jaccard") >= cfg.jaccard_high, "edge").otherwise("border").alias("rule"))
 
 
-def group_topics(df: DataFrame, cfg: Topics = Topics()) -> DataFrame:
-    """Components of sure pairs become similar topics, numbered on from each query prefix's largest _t number."""
-    edges = topic_pairs(df, cfg).where("rule = 'edge'")
+def group_topics(df: DataFrame, cfg: Topics = Topics(), judge: Judge | None = None) -> DataFrame:
+    """Components of sure pairs become similar topics, numbered on from each query prefix's largest _t number.
+
+    Borderline components that ``judge`` approves count as sure; without one they are left out.
+    """
+    edges = with_approved(topic_pairs(df, cfg), "edge", df, judge)
     parts = connected_components(edges, "i", "j").select(F.col("node").alias("row"), "component")
     members = parts.join(df.select("row", query_prefix(F.coalesce("query", F.lit(""))).alias("prefix")), "row")
     clusters = members.groupBy("component", "prefix").agg(F.min("row").alias("first"))

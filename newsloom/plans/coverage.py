@@ -83,7 +83,7 @@ def run(
         log.start("general_classification")
         model = classifier or classify.RuleClassifier()
         rows = classify.classify_articles(classify.classify_press_releases(rows, model, now), model, now)
-        rows = classify.summarise_clusters(classify.verify_and_regroup(materialise(rows, "classified")))
+        rows = classify.summarise_clusters(classify.verify_and_regroup(materialise(rows, "classified"), classifier))
         log.end("general_classification")
     rows = reports.add_time_columns(rows).withColumn("pub_datetime", F.col("iso"))
     if dry:

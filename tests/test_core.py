@@ -113,6 +113,49 @@ def test_press_release_rules(spark):
     assert all(out[k] == ("일반기사", "") for k in (3, 4, 7, 8, 9))
 
 
+class Only:
+    """Approves, as a classifier, the articles of these rows."""
+
+    def __init__(self, *rows):
+        self.rows = rows
+
+    def first_pass(self, articles):
+        new = {"brand_relevance": F.when(F.col("row").isin(*self.rows), "관련").otherwise("무관"), "sentiment_stage": F.lit("중립"), "news_category": F.lit("PR/보도자료")}
+        return articles.withColumns(new)
+
+
+def test_borderline_components_are_judged(spark):
+    d = lambda n: datetime(2026, 2, n)
+    summaries = ["a b c d", "a b c x", "a b y z", "k l m n", "k l m o p q", "u v w"]
+    rows = [(i, "q", "g", f"title{i}", f"text{i}", d(9 - i), "일반기사", "", "기타", s, "") for i, s in enumerate(summaries, 1)]
+    rows += [(7, "p", "g", "grand hotel lounge opening", "one", d(1), "일반기사", "", "기타", "", ""), (8, "r", "g", "grand hotel lounge tomorrow evening", "two", d(2), "일반기사", "", "기타", "", "")]
+    names = "row long, query string, `group` string, title string, description string, pub_datetime timestamp, source string, cluster_id string, news_category string, news_keyword_summary string, cluster_summary string"
+    df = spark.createDataFrame(rows, names).withColumn("media_domain", F.lit("")).withColumn("link", F.lit(""))
+    ids = lambda out: {r.row: r.cluster_id for r in out.collect() if r.cluster_id}
+    plain = ids(clusters.group_topics(df))
+    rules = {(r.i, r.j): r.rule for r in clusters.topic_pairs(df).collect()}
+    assert rules == {(1, 2): "edge", (4, 5): "border"} and plain == {1: "q_t00001", 2: "q_t00001"}
+    assert ids(clusters.group_topics(df, judge=classify.component_judge(Only(4)))) == plain
+    assert ids(clusters.group_topics(df, judge=classify.component_judge(Only(5)))) == plain | {4: "q_t00002", 5: "q_t00002"}
+    assert {(r.i, r.j): r.rule for r in clusters.cross_edges(df).collect()} == {(7, 8): "border"}
+    assert ids(clusters.merge_across(df)) == ids(clusters.merge_across(df, judge=classify.component_judge(Only(8)))) == {}
+    assert ids(clusters.merge_across(df, judge=classify.component_judge(Only(7)))) == {7: "cross_m00001", 8: "cross_m00001"}
+
+
+def test_press_release_options(spark):
+    d = lambda n: datetime(2026, 2, n)
+    t = "grand hotel opens new lounge in seoul today"
+    rows = [(i, q, t, "", d(1)) for i, q in enumerate(["a", "b", "c"], 1)]
+    df = arts(spark, rows).withColumn("group", F.when(F.col("row") < 3, "OUR").otherwise("x"))
+    assert {r.cluster_id for r in clusters.detect_press_releases(df).collect()} == {""}
+    got = {r.row: r.cluster_id for r in clusters.detect_press_releases(df, group_our_brands=True).collect()}
+    assert got == {1: "a_c00001", 2: "a_c00001", 3: ""}
+    cfg = PressRelease(title_cosine=1.1, border_title_cosine=0.6)
+    df = arts(spark, [(i, "a", t, "", d(i)) for i in (1, 2, 3)]).withColumn("group", F.lit("x"))
+    out = lambda *rows: {r.cluster_id for r in clusters.detect_press_releases(df, cfg, judge=classify.component_judge(Only(*rows), "press_release")).collect()}
+    assert out(1) == {"a_c00001"} and out(2, 3) == {""}
+
+
 def test_verdicts_and_rules(spark):
     rows = [("", "중립", "x"), ("판단 필요", "중립", "x"), ("관련", "부정 후보", "시설/오픈"), ("관련", "긍정", "x"), ("관련", "중립", "시설/오픈"), ("관련", "중립", "기타"), ("언급", "긍정", "시설/오픈"), (None, None, None)]
     df = spark.createDataFrame(rows, "brand_relevance string, sentiment_stage string, news_category string")
