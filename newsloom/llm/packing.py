@@ -16,20 +16,22 @@ sums, so no length, however common, gathers in one task.
 from __future__ import annotations
 
 import zlib
-from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_rows, materialise, tune
-from .tokens import SegmentCache, _loaded, load_tokenizer
+from .common import materialise, tune
+from .tokens import BLANK, NUMBER, UNKNOWN, SegmentCache, _loaded, joined_encoder, kinds, load_tokenizer, segments_of
 
 CAPACITY = 2048
+#: Segments whose ids are gathered at once.
+GATHERED = 1 << 20
 
 
 class Plan:
@@ -149,57 +151,97 @@ def lower_bound(counts: dict[int, int], capacity: int = CAPACITY) -> int:
     return best
 
 
-def _segments(text: bytes) -> list[bytes]:
-    """The text cut at ASCII white space, in lower case where the ids are the same then.
+def _keys(segments: pa.Array) -> list[str]:
+    """What segments are looked up by: without white space at the ends, in lower case where the ids are the same then.
 
-    The normaliser lowers case too, but composes first, and some letters compose with a mark in lower case only.
-    Marks that compose with an ASCII letter, or decompose to one that does, lie in U+0300 to U+037F, whose UTF-8
-    begins with CC or CD. Special strings, which are matched as they stand, all hold "<|".
+    The normaliser lowers case too, but composes first, and some letters compose with a mark in lower case only, so
+    only plain ASCII is lowered here. Special strings, which are matched as they stand, all hold "<|".
     """
-    if b"<|" in text:
-        return text.split()
-    if b"\xcc" in text or b"\xcd" in text:
-        return [s.lower() if s.isascii() else s for s in text.split()]
-    return text.lower().split()
+    bare = pc.ascii_trim_whitespace(segments)
+    plain = pc.and_(pc.string_is_ascii(bare), pc.invert(pc.match_substring(bare, "<|")))
+    return pc.if_else(plain, pc.ascii_lower(bare), bare).to_numpy(zero_copy_only=False).tolist()
+
+
+#: Characters that normalising and lower-casing keep as they are in kind and number: ASCII without controls,
+#: apostrophe and "<"; Latin letters but U+0130; basic Cyrillic; CJK; Hangul syllables.
+_PLAIN = np.zeros(0x110000, bool)
+for _a, _b in ((0x20, 0x7F), (0xC0, 0x180), (0x410, 0x450), (0x4E00, 0x9FA6), (0xAC00, 0xD7A4)):
+    _PLAIN[_a:_b] = True
+_PLAIN[[0x27, 0x3C, 0xD7, 0xF7, 0x130]] = False
+
+
+def pieces_of(segments: list[str]) -> np.ndarray:
+    """Pieces of each segment under the pre-tokenizer's pattern: runs of letters, single numbers, runs of other signs.
+
+    0 where that isn't proven: in segments of other than plain characters or with white space.
+    """
+    size = np.fromiter(map(len, segments), np.int64, len(segments))
+    out, some = np.zeros(len(size), np.int64), np.flatnonzero(size)
+    if not len(some):
+        return out
+    c = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), "<u4")
+    at, k = (np.cumsum(size) - size)[some], kinds(c)
+    turn = k == NUMBER
+    turn[at] = True
+    turn[1:] |= k[1:] != k[:-1]
+    good = np.logical_and.reduceat(_PLAIN[c] & (k > BLANK) & (k != UNKNOWN), at)
+    out[some] = np.where(good, np.add.reduceat(turn.astype(np.int64), at), 0)
+    return out
+
+
+def id_cache(tok) -> SegmentCache:
+    """Ids of segments as bytes. Each piece of the pre-tokenizer ends in a token that says so."""
+    last = np.zeros(tok.get_vocab_size(), bool)
+    for t, i in tok.get_vocab().items():
+        last[i] = t.endswith("</w>")
+    encode = joined_encoder(tok, " ", pieces_of, lambda ids: np.flatnonzero(last[ids]) + 1)
+    return SegmentCache(lambda xs: [x.tobytes() for x in encode(xs)])
+
+
+def token_ids(texts: pa.Array, cache: SegmentCache, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts, each followed by ``end_id``; where each text begins, and the number of ids at the end)."""
+    own, first = segments_of(texts)
+    d = own.dictionary_encode()
+    values = [*cache.values(_keys(d.dictionary)), np.array([end_id], "<u4").tobytes()]
+    size = np.fromiter(map(len, values), np.int64, len(values)) >> 2
+    flat, start = np.frombuffer(b"".join(values), "<u4"), np.cumsum(size) - size
+    index = np.insert(d.indices.to_numpy(), first[1:], len(values) - 1)
+    total = np.concatenate(([0], np.cumsum(size[index])))
+    begin = total[first + np.arange(len(first))]
+    out = np.empty(total[-1], "<u4")
+    for i in range(0, len(index), GATHERED):
+        k, a, b = index[i : i + GATHERED], total[i], total[min(i + GATHERED, len(index))]
+        n = size[k]
+        out[a:b] = flat[np.repeat(start[k] - (total[i : i + len(k)] - a), n) + np.arange(b - a)]
+    return out, begin
 
 
 def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = load_tokenizer(path)
         key = f"ids {path}"
         if key not in _loaded:
-            _loaded[key] = SegmentCache(
-                lambda xs: [
-                    array("I", e.ids).tobytes()
-                    for e in tok.encode_batch_fast([x.decode() for x in xs], add_special_tokens=False)
-                ]
-            )
-        cache, task = _loaded[key], TaskContext.get().partitionId()
-        seen, last = {}, np.array([end_id], "<u4").tobytes()
+            _loaded[key] = id_cache(load_tokenizer(path))
+        cache, task, seen = _loaded[key], TaskContext.get().partitionId(), {}
         for b in batches:
-            rows, piece, start, length, crc, rank, kept = [], [], [], [], [], [], []
-            for i, text in enumerate(byte_rows(b.column(1))):
-                # no piece of the pre-tokenizer spans ASCII white space, and the normaliser drops it
-                text = text or b""
-                ids = b"".join(cache.values(_segments(text))) + last
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    own = ids[at : at + 4 * capacity]
-                    n = len(own) // 4
-                    rows.append(i)
-                    piece.append(k)
-                    start.append(at // 4)
-                    length.append(n)
-                    crc.append(zlib.crc32(own))
-                    rank.append(seen.get(n, 0))
-                    seen[n] = rank[-1] + 1
-                    if with_ids:
-                        kept.append(own)
-            cols = [b.column(0).take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32())]
-            cols += [pa.array(x, pa.int64()) for x in (start, length, crc)]
-            cols += [pa.array([task] * len(rows), pa.int32()), pa.array(rank, pa.int64())]
+            ids, begin = token_ids(b.column(1), cache, end_id)
+            size = np.diff(begin)
+            pieces = -(-size // capacity)
+            row = np.repeat(np.arange(len(size)), pieces)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            start = piece * capacity
+            length = np.minimum(capacity, size[row] - start)
+            raw, at = memoryview(ids).cast("B"), (begin[row] + start) * 4
+            own = [raw[i : i + n] for i, n in zip(at.tolist(), (length * 4).tolist(), strict=True)]
+            rank = []
+            for n in length.tolist():
+                rank.append(seen.get(n, 0))
+                seen[n] = rank[-1] + 1
+            cols = [b.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length)]
+            cols += [pa.array([zlib.crc32(x) for x in own], pa.int64())]
+            cols += [pa.array(np.full(len(row), task, np.int32)), pa.array(rank, pa.int64())]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "rank"]
             if with_ids:
-                cols, names = [*cols, pa.array(kept, pa.binary())], [*names, "ids"]
+                cols, names = [*cols, pa.array([bytes(x) for x in own], pa.binary())], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return run

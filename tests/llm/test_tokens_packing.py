@@ -16,16 +16,64 @@ def encode(path):
     return lambda s: tok.encode(s, add_special_tokens=False)
 
 
-def test_spliced_chunks_equal_whole_text(sf_dir):
+def odd_texts(sf_dir, n=40):
     import pyarrow.parquet as pq
 
+    rnd = random.Random(1)
+    base = pq.read_table(f"{sf_dir}/documents.parquet")["text"].to_pylist()[:n]
+    return base + ODD + [rnd.choice(ODD).join(rnd.choices(ODD + base[:3], k=4)) for _ in range(n)]
+
+
+ODD += ["a\xa0 b\u3000 c\u2003\td \x85\ne\x1c f", "T\u0308 H\u0331 caf\u00e9 o'clock don't 'S 12,5 $3", "\u0e01\u0e33 \u0915\u094d \U0001f600\U0001f468\u200d\U0001f469 \u65e5\u672c\u8a9e\u3002\u30c6\u30b9\u30c8\u3001abc", "\x01 \x01a b\x01", "x\r\n\r\ny \x0b z", "</w> a</w>b </w>", "I\u0130\u0130 \u00df \u03a3\u03c3\u03c2 \u01c5"]
+
+
+def test_spliced_chunks_equal_whole_text(sf_dir):
     rnd, enc = random.Random(1), encode(BYTE)
-    base = pq.read_table(f"{sf_dir}/documents.parquet")["text"].to_pylist()[:40]
-    for t in base + ODD + [rnd.choice(ODD).join(rnd.choices(ODD + base[:3], k=4)) for _ in range(40)]:
-        want = enc(t).ids
-        assert tokens.encode_spliced(enc, t, rnd.choice([50, 200, 1000]), rnd.choice([4, 16, 64])) == want
-        cache = tokens.SegmentCache(lambda xs: [len(enc(x).ids) for x in xs], limit=20)
-        assert sum(cache.values(tokens.segments(t))) == len(want)
+    specials = tokens.special_strings(tokens.load_tokenizer(BYTE))
+    for t in odd_texts(sf_dir):
+        for _ in range(3):
+            assert tokens.encode_spliced(enc, t, rnd.choice([50, 200, 1000]), rnd.choice([4, 16, 64]), specials) == enc(t).ids
+
+
+def test_segments_have_the_ids_of_whole_texts(sf_dir):
+    import pyarrow as pa
+
+    texts = [None, "", *odd_texts(sf_dir)]
+    own, first = tokens.segments_of(pa.array(texts))
+    assert "".join(own.to_pylist()) == "".join(t or "" for t in texts) and first[-1] == len(own)
+    tok, enc = tokens.load_tokenizer(BYTE), encode(BYTE)
+    for limit in (20, 10**6):
+        got = tokens.segment_counts(pa.array(texts).slice(1), tokens.count_cache(tok, limit))
+        assert got.tolist() == [len(enc(t).ids) for t in texts[1:]]
+    tok, enc = tokens.load_tokenizer(WORD), encode(WORD)
+    ids, begin = packing.token_ids(pa.array(texts), packing.id_cache(tok), 7)
+    for i, t in enumerate(texts):
+        assert ids[begin[i] : begin[i + 1]].tolist() == enc(t or "").ids + [7], t
+
+
+def test_piece_counts_are_the_libraries(sf_dir):
+    """Every character that counts as plain: alone, doubled, after a letter, a digit and a sign."""
+    tok = tokens.load_tokenizer(WORD)
+    plain = np.flatnonzero(packing._PLAIN).tolist()
+    words = [f(chr(c)) for c in plain if c > 32 and (c < 0x460 or c % 97 == 0) for f in (str, lambda x: x + x, lambda x: "a" + x, lambda x: "1" + x, lambda x: "." + x)]
+    n = packing.pieces_of(words)
+    assert n.all()
+    for w, k in zip(words, n.tolist(), strict=True):
+        assert len(tok.pre_tokenizer.pre_tokenize_str(tok.normalizer.normalize_str(w))) == k, w
+
+
+def test_splicing_encodes_a_bounded_multiple_of_the_text():
+    enc, seen = encode(BYTE), []
+
+    def counted(s):
+        seen.append(len(s))
+        return enc(s)
+
+    japanese = "\u65e5\u672c\u8a9e\u306e\u6587\u7ae0\u3067\u3059\u3002\u6b21\u306e\u6587\u3001" * 12_000
+    for t in (japanese, "a" * 300_000, " " * 300_000, ("b" * 70_000 + "1") * 4, "\u65e5" * 200_000):
+        seen.clear()
+        assert tokens.encode_spliced(counted, t, 16_384) == enc(t).ids
+        assert sum(seen) <= 3 * len(t)
 
 
 def edge_docs(spark):
@@ -36,8 +84,8 @@ def edge_docs(spark):
 def test_counts_match_the_library(spark, sf_dir):
     enc = encode(BYTE)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for d, huge in ((docs, 1000), (edge_docs(spark), 2000)):
-        got = tokens.count_tokens(d, BYTE, huge=huge, chunk=400, overlap=16).collect()
+    for d, chunk in ((docs, 1000), (edge_docs(spark), 2000)):
+        got = tokens.count_tokens(d, BYTE, chunk=chunk, overlap=16).collect()
         want = sorted(((r.doc_id, len((r.text or "").encode()), len(enc(r.text or "").ids)) for r in d.collect()), key=str)
         assert sorted(map(tuple, got), key=str) == want
     assert tokens.count_tokens(docs.limit(0), BYTE).count() == 0
