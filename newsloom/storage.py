@@ -2,22 +2,34 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-DEFAULT_SCRATCH = "/tmp/checkpoints/newsloom"
-
-
 def scratch_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or a local default set only where it is unset (as in tests)."""
+    """``spark.checkpoint.dir``. Where it is unset, as in tests, a folder of this machine is set, but only for a master
+    that runs in this process: on a cluster executors couldn't read it, so there it is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = DEFAULT_SCRATCH
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="newsloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+def temporary(spark: SparkSession, label: str) -> str:
+    """A new folder's path in the shared folder; it goes when the driver's JVM ends."""
+    path = f"{scratch_dir(spark)}/newsloom-{uuid.uuid4().hex}/{label}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
@@ -25,11 +37,8 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     goes when the driver's JVM ends.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/newsloom-{uuid.uuid4().hex}/{label}"
+    path = temporary(spark, label)
     df.write.mode("overwrite").parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path).getParent()
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
 
 
