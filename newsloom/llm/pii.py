@@ -1,12 +1,20 @@
 """Personal data in texts, with DataFrame functions only.
 
-Base patterns with their format checks give spans that always count. Two high-recall generators propose further,
-overlapping candidates (written-out addresses, grouped numbers). Boosted trees over format and context features
-score them: a candidate that overlaps a base span is a positive example, any other a negative one, and what the
-format checks decide by (a leading plus, the checksum, octet values) is no feature, so the trees learn how such data
-looks and where it stands. Features are discrete, so training needs only counts by feature cell over all documents
-(at most CELLS rows reach the driver, whatever the input). The threshold is calibrated on the half of the documents
-not trained on: it is the lowest score from which the precision's lower bound reaches ``precision``.
+Base patterns with their format checks give spans that always count. Three high-recall generators propose further
+candidates, which may overlap them and each other: addresses however written out (contact), phone numbers without a
+plus (local), long numbers with any separators (number). Boosted trees over format and context features score them.
+
+What the trees learn from isn't what they choose among. Positives are candidates that a validated base span covers (an
+email for contact, a phone for local, a card for number), with what made it valid hidden: the at sign and dots are read
+like their written-out forms, the plus and country code lie outside the candidate and its context, the checksum is no
+feature. Negatives are hard ones with a reason of their own (``_refuted``): sentence ends, dates, prices, versions,
+failing checksums, octets. All others are unlabelled; only those can be chosen, so a span is added where an unlabelled
+candidate looks and stands like validated data and unlike the refuted.
+
+Features are discrete, so training needs only counts by feature cell over all documents (at most CELLS rows reach the
+driver, whatever the input). Each generator's threshold is calibrated on the half of the documents not trained on: the
+lowest score from which the precision's lower bound reaches ``precision``; without enough labelled candidates there is
+none, and nothing is added.
 """
 
 from __future__ import annotations
@@ -26,20 +34,22 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 KINDS = tuple(PATTERNS)
+_AT = r"\x20?(?:@|\(at\)|\[at\]|\x20at\x20)\x20?"
+_DOT = r"\x20?(?:\.|\(dot\)|\[dot\]|\x20dot\x20)\x20?"
 GENERATORS = {
-    "contact": (
-        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\]|\x20at\x20)\x20?[A-Za-z0-9-]{1,63}+"
-        r"\x20?(?:\.|\(dot\)|\[dot\]|\x20dot\x20)\x20?[A-Za-z]{2,24}+"
-    ),
-    "number": r"(?<![0-9A-Za-z])[(]?[0-9][0-9\x20().-]{5,40}[0-9](?![0-9A-Za-z])",
+    "contact": rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++{_AT}[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)(?:(?:\.|\(dot\)|\[dot\]|\x20dot\x20)[A-Za-z0-9-]++)*+",
+    "local": r"(?<![0-9A-Za-z.])[(]?[0-9]{2,4}[)]?[\x20./-]{1,2}[0-9]{3,4}[\x20./-]{1,2}[0-9]{3,4}(?![0-9A-Za-z])",
+    "number": r"(?<![0-9A-Za-z.])[0-9]++(?:[\x20./_-]{1,2}[0-9]++)*+(?![0-9A-Za-z])",
 }
+#: Base kind that makes a candidate of each generator a positive example.
+POSITIVE = {"contact": "email", "local": "phone", "number": "card"}
 CONTEXT = 24
 #: Feature name -> number of its values.
-FEATURES = {"kind": 2, "digits": 5, "groups": 4, "dots": 4, "context": 5, "line": 2, "length": 4}
+FEATURES = {"kind": 3, "shape": 5, "parts": 5, "first": 3, "context": 5, "line": 2, "length": 4}
 CELLS = math.prod(FEATURES.values())
 ROUNDS = 40
 RATE = 0.3
-PRECISION = 0.97
+PRECISION = 0.95
 
 _OCTET = r"^0*(?:[0-9]|[1-9][0-9]|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"
 _SPAN = "struct<begin:int,end:int,value:string,before:string>"
@@ -105,24 +115,57 @@ def candidates(text: Column, kind: str) -> Column:
         can = F.contains(text, F.lit("@")) | F.contains(text, F.lit("(at)")) | F.contains(text, F.lit("[at]")) | F.contains(text, F.lit(" at "))
     else:
         can = text.rlike("[0-9]")
-    return F.when(can, matches(text, GENERATORS[kind])).otherwise(F.array().cast(f"array<{_SPAN}>"))
+    found = matches(text, GENERATORS[kind])
+    if kind == "number":
+        found = F.filter(found, lambda x: F.char_length(_digits(x)).between(13, 19))
+    return F.when(can, found).otherwise(F.array().cast(f"array<{_SPAN}>"))
+
+
+def _before(x: Column) -> Column:
+    """The context in front, in lower case, without a plus and country code at its end."""
+    return F.regexp_replace(F.lower(x["before"]), r"\+[0-9]{0,3}[\x20().-]*$", "")
+
+
+def _refuted(kind: str, x: Column) -> Column:
+    """Whether a candidate is a hard negative."""
+    value, before = x["value"], _before(x)
+    if kind == "contact":  # "we met at noon. Then": a full stop that ends a sentence
+        return value.rlike(r"\.\x20")
+    price = before.rlike(r"(?:[$€£¥]|\b(?:usd|eur|gbp|price|cost|total)\W{0,3})$")
+    version = before.rlike(r"(?:\bv|version|release|build|\bver\.?|\bsection|\bchapter|\bno\.?|#)\W{0,2}$")
+    if kind == "number":
+        return price | version | ~luhn(_digits(x))
+    date = value.rlike(r"^(?:(?:19|20)[0-9]{2}|[0-3]?[0-9])[\x20./-]{1,2}[0-3]?[0-9]{1,2}[\x20./-]{1,2}(?:19|20)[0-9]{2}$") | value.rlike(
+        r"^(?:19|20)[0-9]{2}[\x20./-]{1,2}(?:19|20)[0-9]{2}[\x20./-]"
+    )
+    return price | version | date
 
 
 def _features(kind: str, x: Column) -> Column:
     """The discrete features of a candidate."""
-    value, before = x["value"], F.lower(x["before"])
+    value, before = x["value"], _before(x)
     bucket = lambda c, *cuts: sum((F.when(c >= k, 1).otherwise(0) for k in cuts), F.lit(0))
-    words = [r"(?:call|phone|tel|mobile|fax|ring)\W*$", r"(?:mail|contact|write|reach)\W*(?:\w+\W+)?$", r"(?:card|visa|account|iban|pay)\W*(?:\w+\W+)?$", r"(?:ip|host|server|address|login)\W*(?:\w+\W+)?$"]
+    words = [r"(?:call|phone|tel|mobile|fax|ring|dial)\W*(?:\w+\W+)?$", r"(?:mail|contact|write|reach|ask)\W*(?:\w+\W+)?$", r"(?:card|visa|account|iban|pay)\W*(?:\w+\W+)?$", r"(?:ip|host|server|address|login)\W*(?:\w+\W+)?$"]
     context = F.coalesce(*[F.when(before.rlike(w), F.lit(i + 1)) for i, w in enumerate(words)], F.lit(0))
+    if kind == "contact":
+        name, end = F.regexp_extract(value, r"^[A-Za-z0-9._%+-]+", 0), F.lower(F.regexp_extract(value, r"[A-Za-z0-9-]+$", 0))
+        shape = F.when(name.rlike("[0-9]"), 3).when(name.rlike(r"[A-Za-z][._%+-]+[A-Za-z]"), 2).when(F.char_length(name) > 3, 1).otherwise(0)
+        # the end of the host: a generic domain, two letters, something else
+        parts = F.when(end.isin("com", "org", "net", "edu", "gov", "io", "info", "biz", "dev", "app"), 2).when(end.rlike("^[a-z]{2}$"), 1).otherwise(0)
+        first = F.when(name.rlike("^[a-z]"), 0).when(name.rlike("^[A-Z]"), 1).otherwise(2)
+        length = bucket(F.char_length(F.regexp_replace(value, rf"{_AT}|{_DOT}", "")), 8, 14, 22)
+    else:
+        sizes = F.transform(F.regexp_extract_all(value, F.lit("[0-9]+"), F.lit(0)), lambda g: F.char_length(g).cast("string"))
+        own = F.array_join(sizes, "-")
+        shape = F.when(own.rlike(r"^3-3-4$"), 1).when(own.rlike(r"^4(?:-4)+$"), 2).when(F.size(sizes) == 1, 0).when(own.rlike(r"^4-6-5$|^2-4-4$|^3-4-4$"), 3).otherwise(4)
+        parts = bucket(F.size(sizes), 2, 3, 4, 5)
+        digit = F.regexp_extract(value, "[0-9]", 0)
+        first = F.when(digit.isin("4", "5"), 2).when(digit.isin("3", "6"), 1).otherwise(0)
+        length = bucket(F.char_length(_digits(x)), 10, 13, 16)
     out = {
-        "kind": F.lit(0 if kind == "contact" else 1),
-        "digits": bucket(F.char_length(_digits(x)), 7, 9, 12, 16),
-        "groups": bucket(F.size(F.regexp_extract_all(value, F.lit("[0-9A-Za-z]+"), F.lit(0))), 2, 3, 5),
-        "dots": bucket(F.char_length(F.regexp_replace(value, r"[^.]", "")), 1, 2, 3),
-        "context": context,
-        "line": F.when(before.rlike(r"(?:^|\n)\s*$"), 1).otherwise(0),
-        "length": bucket(F.char_length(value), 10, 14, 20),
-    }
+        "kind": F.lit(list(GENERATORS).index(kind)), "shape": shape, "parts": parts, "first": first, "context": context,
+        "line": F.when(before.rlike(r"(?:^|\n)\s*$"), 1).otherwise(0), "length": length,
+    }
     return F.struct(*[v.cast("int").alias(k) for k, v in out.items()])
 
 
@@ -209,19 +252,23 @@ def calibrated(trees: Trees, cells: list[tuple[tuple[int, ...], int, int]], prec
     return best
 
 
+def _overlaps(c: Column, spans: Column | str) -> Column:
+    return F.exists(spans, lambda b: (b["begin"] < c["end"]) & (c["begin"] < b["end"]))
+
+
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", precision: float = PRECISION) -> DataFrame:
     """doc_id and spans (kind, begin, end: code points, end exclusive) of every whole text, one row for each row.
 
     Base kinds email, ip, card and phone come first, in this order, each by begin; then what the trees select, as
-    contact or number. Null and empty texts have no span; ids may be null or repeat; a table without rows gives
-    none; other columns are not looked at.
+    contact, local or number; these overlap no base span, and local spans no number candidate. Null and empty texts have
+    no span; ids may be null or repeat; a table without rows gives none; other columns are not looked at.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
     plain = lambda a: F.transform(a, lambda x: F.struct(x["begin"].alias("begin"), x["end"].alias("end")))
 
     def described(k: str) -> Column:
-        one = lambda x: F.struct(x["begin"].alias("begin"), x["end"].alias("end"), _features(k, x).alias("x"))
+        one = lambda x: F.struct(x["begin"].alias("begin"), x["end"].alias("end"), _features(k, x).alias("x"), _refuted(k, x).alias("refuted"))
         return F.transform(candidates(F.col("text"), k), one).alias(k)
 
     def named(a: Column | str, k: str) -> Column:
@@ -236,22 +283,25 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pr
     rows = materialise(rows, "spans")
 
     def over(c: Column) -> Column:
-        hit = lambda k: F.exists(k, lambda b: (b["begin"] < c["end"]) & (c["begin"] < b["end"]))
-        return hit("email") | hit("ip") | hit("card") | hit("phone")
+        return _overlaps(c, "email") | _overlaps(c, "ip") | _overlaps(c, "card") | _overlaps(c, "phone")
+
+    def examples(k: str) -> Column:
+        """The labelled candidates: hit where a base span of the right kind covers it, else refuted ones."""
+        hit = lambda c: _overlaps(c, POSITIVE[k])
+        refuted = lambda c: c["refuted"] & ~over(c)
+        return F.transform(F.filter(k, lambda c: hit(c) | refuted(c)), lambda c: F.struct(c["x"].alias("x"), hit(c).alias("hit")))
 
-    proposed = F.concat(*[F.transform(k, lambda c: F.struct(c["x"].alias("x"), over(c).alias("hit"))) for k in GENERATORS])
-    cells = rows.select("train", F.explode(proposed).alias("c")).groupBy("train", *[f"c.x.{k}" for k in FEATURES])
+    cells = rows.select("train", F.explode(F.concat(*map(examples, GENERATORS))).alias("c")).groupBy("train", *[f"c.x.{k}" for k in FEATURES])
     counts = cells.agg(F.count_if("c.hit").alias("p"), F.count_if(~F.col("c.hit")).alias("n")).collect()
-    table = {t: [(tuple(r[k] for k in FEATURES), r["p"], r["n"]) for r in counts if r["train"] == t] for t in (True, False)}
-    table = {t: sorted(c) for t, c in table.items()}
+    table = {t: sorted((tuple(r[k] for k in FEATURES), r["p"], r["n"]) for r in counts if r["train"] == t) for t in (True, False)}
     trees = Trees(table[True])
-    least = calibrated(trees, table[False], precision)
+    least = {k: calibrated(trees, [c for c in table[False] if c[0][0] == i], precision) for i, k in enumerate(GENERATORS)}
 
     def chosen(k: str) -> Column:
-        if math.isinf(least):
+        if math.isinf(least[k]):
             return F.array().cast("array<struct<kind:string,begin:int,end:int>>")
-        good = F.filter(k, lambda c: (trees.column(c["x"]) >= least) & ~over(c))
-        return named(good, k)
+        free = lambda c: ~c["refuted"] & ~over(c) & (~_overlaps(c, "number") if k == "local" else F.lit(True))
+        return named(F.filter(k, lambda c: free(c) & (trees.column(c["x"]) >= least[k])), k)
 
     base = [named(k, k) for k in KINDS]
     return rows.select("doc_id", F.concat(*base, *[chosen(k) for k in GENERATORS]).alias("spans"))
