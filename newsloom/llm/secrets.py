@@ -11,10 +11,11 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, scratch_dir, tune
+from ..storage import exists, temporary
+from .common import materialise, tune
 
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -86,14 +87,25 @@ def _scanner(kinds: tuple[str, ...]):
     return run
 
 
-def _ledger(spark, path: str | None) -> DataFrame | None:
-    if not path:
-        return None
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
-        return None
-    return spark.read.schema(f"blob string, kind string, version string, spans {SPANS}").parquet(path)
+LEDGER = f"blob string, kind string, version string, spans {SPANS}"
+
+
+def _ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger at ``path``; an empty one where there is none yet."""
+    return spark.read.schema(LEDGER).parquet(path) if exists(spark, path) else spark.createDataFrame([], LEDGER)
+
+
+def unseen_pairs(blobs: DataFrame, ledger: DataFrame) -> DataFrame:
+    """The blobs (blob, ...) with ``todo``, the kinds whose (blob, rule version) pair the ledger lacks; others drop out.
+
+    Only the ledger's keys of these blobs are gathered: a small batch is broadcast to the ledger's scan.
+    """
+    known = ledger.select("blob", "kind", "version").join(blobs.select("blob"), "blob", "left_semi")
+    seen = known.groupBy("blob").agg(F.collect_set(F.concat_ws(":", "kind", "version")).alias("seen"))
+    now = F.array(*[F.lit(f"{k}:{v}") for k, v, _ in RULES])
+    todo = F.array_except(now, F.coalesce("seen", F.array().cast("array<string>")))
+    out = blobs.join(seen, "blob", "left").withColumn("todo", F.transform(todo, lambda x: F.split_part(x, F.lit(":"), F.lit(1))))
+    return out.where(F.size("todo") > 0).drop("seen")
 
 
 def scan_secrets(
@@ -101,40 +113,28 @@ def scan_secrets(
 ) -> DataFrame:
     """path, blob (hex SHA-256 of the text) and findings (kind, begin, end by begin, then rule order) of each version.
 
-    ledger: folder of the Parquet ledger (blob, kind, version, spans), which grows by what this call scans; None
-    scans everything in a ledger of this call's own. Spans are code points, end exclusive. Null text counts as
-    empty. Repeated rows give repeated results; paths may be null; a table without rows gives none. Columns other
-    than the two named are not looked at.
+    ledger: folder of the Parquet ledger (blob, kind, version, spans), which grows by the pairs this call scans, clean
+    ones included; None starts one below ``spark.checkpoint.dir`` that goes when the session ends. Spans are code
+    points, end exclusive. Null text counts as empty. Repeated rows give repeated results; paths may be null; a table
+    without rows gives none; texts of any length are scanned whole. Columns other than the two named are not looked at.
     """
     spark = versions.sparkSession
     tune(spark)
-    scratch_dir(spark)
+    ledger = ledger or temporary(spark, "ledger")
     rows = versions.select(F.col(path_col).alias("path"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     addressed = rows.withColumn("blob", F.sha2("text", 256))
     paths = materialise(addressed.select("path", "blob"), "paths")
     kinds = [k for k, _, _ in RULES]
     blobs = paths.groupBy("blob").agg(F.min(F.struct("path")).alias("holder"))
-    old = _ledger(spark, ledger)
-    if old is not None:
-        now = F.array(*[F.lit(f"{k}:{v}") for k, v, _ in RULES])
-        seen = old.groupBy("blob").agg(F.collect_set(F.concat_ws(":", "kind", "version")).alias("seen"))
-        todo = F.array_except(now, F.coalesce("seen", F.array().cast("array<string>")))
-        blobs = blobs.join(seen, "blob", "left").withColumn("todo", F.transform(todo, lambda x: F.split_part(x, F.lit(":"), F.lit(1))))
-        blobs = blobs.where(F.size("todo") > 0)
-    else:
-        blobs = blobs.withColumn("todo", F.array(*map(F.lit, kinds)))
-    chosen = blobs.select(F.col("blob").alias("_blob"), F.col("holder.path").alias("_path"), "todo")
+    todo = unseen_pairs(blobs, _ledger(spark, ledger))
+    chosen = todo.select(F.col("blob").alias("_blob"), F.col("holder.path").alias("_path"), "todo")
     unseen = addressed.join(
         chosen, addressed["path"].eqNullSafe(chosen["_path"]) & (addressed["blob"] == chosen["_blob"])
     ).select("blob", "text", "todo")
-    found = unseen.mapInArrow(_scanner(tuple(kinds)), f"blob string, kind string, version string, spans {SPANS}")
-    if ledger:
-        found.dropDuplicates(["blob", "kind", "version"]).write.mode("append").parquet(ledger)
-        known = _ledger(spark, ledger)
-        current = F.create_map(*[F.lit(x) for k, v, _ in RULES for x in (k, v)])
-        known = known.where(F.col("version") == current[F.col("kind")])
-    else:
-        known = materialise(found.where(F.size("spans") > 0), "findings")
+    # a version may be listed twice under one path: the pair is written for each, and read as one
+    unseen.mapInArrow(_scanner(tuple(kinds)), LEDGER).write.mode("append").parquet(ledger)
+    current = F.create_map(*[F.lit(x) for k, v, _ in RULES for x in (k, v)])
+    known = _ledger(spark, ledger).where(F.col("version") == current[F.col("kind")])
     place = F.create_map(*[x for i, k in enumerate(kinds) for x in (F.lit(k), F.lit(i))])
     per_blob = (
         known.where(F.size("spans") > 0)
