@@ -1,8 +1,9 @@
 """Quality classification by positive-unlabelled learning.
 
 Trusted positives are rows labelled good; everything without a label is unlabelled web text. The class prior is
-estimated from the two samples, and a small network over surface features minimises the non-negative unbiased
-risk  pi * R_p(+) + max(0, R_u(-) - pi * R_p(-)). Labels of bad quality are never used.
+estimated over all unlabelled rows (but for those that trained its ranker), and a small network over surface features
+minimises the non-negative unbiased risk  pi * R_p(+) + max(0, R_u(-) - pi * R_p(-)) on bounded samples. Labels of bad
+quality are never used.
 """
 
 from __future__ import annotations
@@ -58,20 +59,42 @@ def _forward(x, w1, b1, w2, b2):
     return h, h @ w2 + b2
 
 
-def class_prior(p: np.ndarray, u: np.ndarray) -> float:
-    """Share of positives among the unlabelled: least ratio of the tails of a score over u and over p.
+def prior_cuts(p: np.ndarray) -> np.ndarray:
+    return np.quantile(p, np.linspace(0.02, 0.98, 97))
 
-    Each tail ratio bounds the share from above as soon as the score ranks well; the added terms keep
-    small tails from winning by chance.
+
+def class_prior(p: np.ndarray, tails: np.ndarray, total: int) -> float:
+    """Share of positives among the unlabelled: least ratio of the tails of a score over the unlabelled and over p.
+
+    tails: how many of ``total`` unlabelled scores reach each of ``prior_cuts(p)``. Each tail ratio bounds the share
+    from above as soon as the score ranks well; the added terms keep small tails from winning by chance.
     """
-    cuts = np.quantile(p, np.linspace(0.02, 0.98, 97))
-    slack = np.sqrt(np.log(40) / 2 / len(p)) + np.sqrt(np.log(40) / 2 / len(u))
-    qp = np.array([(p >= c).mean() for c in cuts])
-    qu = np.array([(u >= c).mean() for c in cuts])
+    cuts = prior_cuts(p)
+    slack = np.sqrt(np.log(40) / 2 / len(p)) + np.sqrt(np.log(40) / 2 / total)
+    qp, qu = np.array([(p >= c).mean() for c in cuts]), tails / total
     best = int(np.argmin((qu + slack) / qp))
     return float(np.clip(qu[best] / qp[best], 0.02, 0.98))
 
 
+def risk_gradient(z: np.ndarray, k: int, prior: float | None) -> np.ndarray:
+    """Gradient by z of the non-negative risk; the first k outputs are positives. None: plain p against u.
+
+    With the logistic loss the plus side's derivative is s - 1, the minus side's s. Where the unbiased negative part
+    R_u(-) - prior * R_p(-) is below zero, the step goes back on that part alone.
+    """
+    s = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    g = np.zeros(len(z))
+    if prior is None:
+        g[:k], g[k:] = (s[:k] - 1) / k, s[k:] / (len(z) - k)
+        return g
+    minus = np.logaddexp(0, z)
+    if minus[k:].mean() - prior * minus[:k].mean() >= 0:
+        g[:k], g[k:] = prior * (s[:k] - 1) / k - prior * s[:k] / k, s[k:] / (len(z) - k)
+    else:
+        g[:k], g[k:] = prior * s[:k] / k, -s[k:] / (len(z) - k)
+    return g
+
+
 def _train(p: np.ndarray, u: np.ndarray, prior: float | None, steps: int, seed: int = 0):
     """Adam on the logistic loss; prior None: plain p against u, to rank for the prior's estimate."""
     rng = np.random.default_rng(seed)
@@ -82,20 +105,7 @@ def _train(p: np.ndarray, u: np.ndarray, prior: float | None, steps: int, seed:
     k = len(p)
     for t in range(1, steps + 1):
         h, z = _forward(x, *par)
-        s = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        g = np.zeros(len(x))  # of the risk by z; log-loss: plus side s - 1, minus side s
-        if prior is None:
-            g[:k] = (s[:k] - 1) / k
-            g[k:] = s[k:] / (len(x) - k)
-        else:
-            loss_minus = np.logaddexp(0, z)
-            rest = loss_minus[k:].mean() - prior * loss_minus[:k].mean()
-            if rest >= 0:
-                g[:k] = prior * (s[:k] - 1) / k - prior * s[:k] / k
-                g[k:] = s[k:] / (len(x) - k)
-            else:  # over-fitted negative part: step back on it
-                g[:k] = prior * s[:k] / k
-                g[k:] = -s[k:] / (len(x) - k)
+        g = risk_gradient(z, k, prior)
         back = np.outer(g, par[2]) * (1 - h * h)
         grads = [x.T @ back + 1e-4 * par[0], back.sum(0), h.T @ g + 1e-4 * par[2], g.sum()]
         for i, gr in enumerate(grads):
@@ -105,16 +115,24 @@ def _train(p: np.ndarray, u: np.ndarray, prior: float | None, steps: int, seed:
     return par
 
 
-def fit(p: np.ndarray, u: np.ndarray):
-    """(mean, scale, network, prior), or None if there is nothing to learn from."""
+def _scaled(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.clip((x - mean) / scale, -6, 6)
+
+
+def fit(p: np.ndarray, u: np.ndarray, tails_of):
+    """(mean, scale, network, prior), or None if there is nothing to learn from.
+
+    tails_of: (mean, scale, ranker, cuts) -> (tails, total) over unlabelled rows outside the first half of u.
+    """
     if len(p) < 20 or len(u) < 20:
         return None
     both = np.concatenate((p, u))
     mean, scale = both.mean(0), both.std(0) + 1e-3
-    p, u = np.clip((p - mean) / scale, -6, 6), np.clip((u - mean) / scale, -6, 6)
-    half_p, half_u = len(p) // 2, len(u) // 2
-    ranker = _train(p[:half_p], u[:half_u], None, 200)
-    prior = class_prior(_forward(p[half_p:], *ranker)[1], _forward(u[half_u:], *ranker)[1])
+    p, u = _scaled(p, mean, scale), _scaled(u, mean, scale)
+    half_p = len(p) // 2
+    ranker = _train(p[:half_p], u[: len(u) // 2], None, 200)
+    ranked = _forward(p[half_p:], *ranker)[1]
+    prior = class_prior(ranked, *tails_of(mean, scale, ranker, prior_cuts(ranked)))
     return mean, scale, _train(p, u, prior, 500), prior
 
 
@@ -122,14 +140,27 @@ def score_features(x: np.ndarray, model) -> np.ndarray:
     if model is None:
         return np.full(len(x), 0.5)
     mean, scale, par, _ = model
-    z = _forward(np.clip((x - mean) / scale, -6, 6), *par)[1]
+    z = _forward(_scaled(x, mean, scale), *par)[1]
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        x = [features(t or b"").tolist() for t in byte_rows(b.column(1))]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], names=["positive", "x"])
+        x = [features(t or b"").tolist() for t in byte_rows(b.column(2))]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(x, pa.list_(pa.float64()))], names=["positive", "doc_id", "x"])
+
+
+def _bins(shared):
+    """(doc_id, bin): how many of the cuts a row's score by the ranker reaches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mean, scale, ranker, cuts = shared.value
+        for b in batches:
+            x = np.array([features(t or b"") for t in byte_rows(b.column(1))]).reshape(b.num_rows, -1)
+            z = _forward(_scaled(x, mean, scale), *ranker)[1] if len(x) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.searchsorted(cuts, z, "right").astype(np.int32))], names=["doc_id", "bin"])
+
+    return run
 
 
 def _scores(model):
@@ -166,18 +197,39 @@ def train_quality(
     every = docs.select(F.col(id_col).alias("doc_id")).where(F.col("doc_id").isNotNull())
     free = _least_hashed(every.where(learn).join(known, "doc_id", "left_anti"), unlabelled)
     ids = {r[0]: True for r in good.collect()}
-    rest = [r[0] for r in free.collect()] or [r[0] for r in _least_hashed(every.where(learn), unlabelled).collect()]
+    rest = [r[0] for r in free.collect()]
+    unlabelled_left = bool(rest)
+    rest = rest or [r[0] for r in _least_hashed(every.where(learn), unlabelled).collect()]
     rows = [(k, True) for k in ids] + [(k, False) for k in rest]
     if not rows:
         return None
     kind = docs.schema[id_col].dataType.simpleString()
     chosen = spark.createDataFrame(rows, f"doc_id {kind}, positive boolean")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
-    got = texts.orderBy("positive", "doc_id", "text").select("positive", "text").mapInArrow(_features, "positive boolean, x array<double>")
-    p, u = [], []
+    # halves of the samples are halves by hash, not by id
+    order = F.xxhash64(F.lit(13), "doc_id")
+    got = texts.orderBy("positive", order, "doc_id", "text").select("positive", "doc_id", "text").mapInArrow(_features, f"positive boolean, doc_id {kind}, x array<double>")
+    p, u, free_ids = [], [], []
     for r in got.collect():
-        (p if r[0] else u).append(r[1])
-    return fit(np.array(p), np.array(u))
+        (p if r[0] else u).append(r[2])
+        if not r[0]:
+            free_ids.append(r[1])
+
+    def tails_of(mean, scale, ranker, cuts):
+        shared = spark.sparkContext.broadcast((mean, scale, ranker, cuts))
+        rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(F.col("doc_id").isNotNull() & learn)
+        bins = rows.mapInArrow(_bins(shared), f"doc_id {kind}, bin int")
+        if unlabelled_left:
+            bins = bins.join(known.select("doc_id").distinct(), "doc_id", "left_anti")
+        used = spark.createDataFrame([(k,) for k in dict.fromkeys(free_ids[: len(free_ids) // 2])], f"doc_id {kind}")
+        bins = bins.join(F.broadcast(used), "doc_id", "left_anti")
+        counts = np.zeros(len(cuts) + 1, np.int64)
+        for k, n in bins.groupBy("bin").agg(F.count(F.lit(1))).collect():
+            counts[k] = n
+        reach = counts[::-1].cumsum()[::-1]
+        return reach[1:], max(1, int(reach[0]))
+
+    return fit(np.array(p), np.array(u), tails_of)
 
 
 def score_quality(
@@ -209,6 +261,10 @@ def _passing(model, threshold: float, at: int):
 def keep_quality(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, **sizes
 ) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose score reaches ``threshold``; nothing is shuffled."""
+    """The rows of ``docs``, all columns as they are, whose score reaches ``threshold``; their texts aren't shuffled.
+
+    Null and empty texts are scored as texts without words; repeated rows share their fate; rows with a null id are
+    scored like others. Without enough labels every row stays. An empty table gives an empty result.
+    """
     model = docs.sparkSession.sparkContext.broadcast(train_quality(docs, labels, id_col, text_col, **sizes))
     return docs.mapInArrow(_passing(model, threshold, docs.columns.index(text_col)), docs.schema)

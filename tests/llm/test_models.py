@@ -31,7 +31,48 @@ def test_quality_edge_rows(spark):
 def test_class_prior_of_a_known_mixture():
     rng = np.random.default_rng(1)
     p, u = rng.normal(3, 1, 4000), np.concatenate((rng.normal(3, 1, 3500), rng.normal(-3, 1, 1500)))
-    assert abs(quality.class_prior(p, u) - 0.7) < 0.06
+    tails = np.array([(u >= c).sum() for c in quality.prior_cuts(p)])
+    assert abs(quality.class_prior(p, tails, len(u)) - 0.7) < 0.06
+
+
+def test_gradient_of_the_non_negative_risk():
+    """Against differences of the risk; where the negative part is below zero, against minus that part."""
+    rng = np.random.default_rng(3)
+    loss = lambda z, y: np.logaddexp(0, -y * z)
+    seen = set()
+    for shift, prior in ((0.0, 0.3), (0.0, 0.6), (3.0, 0.9), (4.0, 0.95)):
+        k, z = 30, np.concatenate((rng.normal(shift, 1, 30), rng.normal(0, 1, 50)))
+        negative = lambda z: loss(z[k:], -1).mean() - prior * loss(z[:k], -1).mean()
+        whole = lambda z: prior * loss(z[:k], 1).mean() + negative(z)
+        back = negative(z) < 0
+        seen.add(bool(back))
+        f = (lambda z: -negative(z)) if back else whole
+        g = quality.risk_gradient(z, k, prior)
+        for i in range(len(z)):
+            up, down = z.copy(), z.copy()
+            up[i] += 1e-5
+            down[i] -= 1e-5
+            assert abs((f(up) - f(down)) / 2e-5 - g[i]) < 1e-7
+    assert seen == {True, False}
+
+
+def test_folded_language_matrix_is_kernel_ridge(spark):
+    """Decisions by the folded matrix against ridge on an explicit kernel matrix of sets."""
+    texts = [(f"the house and {i} dogs run", "en") for i in range(12)] + [(f"das haus und {i} hunde laufen", "de") for i in range(12)] + [(f"la maison et {i} chiens", "fr") for i in range(9)]
+    df = spark.createDataFrame([(k, i, t) for i, (t, k) in enumerate(texts)], "lang string, rank int, text string").mapInArrow(langid._bits, "lang string, rank int, bits binary")
+    names, w = langid.fit(df, 100)
+    rows = [np.zeros(langid.PLACES, np.float32) for _ in texts]
+    for r, (t, _) in zip(rows, texts):
+        langid.presence(t, r)
+    sets = [set(np.flatnonzero(r).tolist()) for r in rows]
+    kernel = np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in sets] for a in sets])
+    y = np.where(np.array([k for _, k in texts])[:, None] == np.array(names)[None], 1.0, -1.0)
+    weight = np.array([len(texts) / (len(names) * sum(k == own for _, k in texts)) for _, own in texts])
+    lam = langid.RIDGE * len(texts) / 100
+    alpha = np.linalg.solve(kernel + lam * np.diag(1 / weight), y)  # all rows are landmarks: the map is exact
+    x = np.stack(rows)
+    got = (x / np.sqrt(x.sum(1, keepdims=True))) @ w
+    assert names == ["de", "en", "fr"] and np.abs(got - kernel @ alpha).max() < 1e-3
 
 
 def test_language_held_out_accuracy(spark):
