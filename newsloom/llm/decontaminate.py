@@ -253,7 +253,11 @@ def find_leaks(
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that hold no benchmark item."""
+    """The rows of ``docs``, all columns as they are, that hold no benchmark item.
+
+    Null and empty texts hold none and stay; repeated rows share their fate; rows with a null id are judged by their
+    text. Without items every row stays; an empty table gives an empty result.
+    """
     found = find_leaks(docs, benchmark, id_col, text_col, **options)
     gone = found.select(F.col("doc_id").alias("_gone"), F.col("text_key").alias("_key")).distinct()
     return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]) & (F.xxhash64(docs[text_col]) == gone["_key"]), "left_anti")

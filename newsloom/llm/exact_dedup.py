@@ -8,24 +8,15 @@ one row in ``counters`` and take the ordinary shuffle.
 
 from __future__ import annotations
 
-import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from string import ascii_lowercase, ascii_uppercase
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_rows, materialise, tune
-
-
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sha = hashlib.sha256
-    for b in batches:
-        found = [sha((x or b"").lower()).digest() for x in byte_rows(b.column(2))]
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), pa.array(found, pa.binary())], names=["doc_id", "text_key", "digest"]
-        )
+from .common import materialise, survivors, tune
 
 
 def trim_counters(counts: Counter, k: int) -> Counter:
@@ -58,10 +49,9 @@ def text_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     text_key is a hash of the text as it is, to find the row again.
     """
-    tune(docs.sparkSession)
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")).mapInArrow(
-        _digests, f"doc_id {kind}, text_key bigint, digest binary"
+    lowered = F.translate(F.coalesce(F.col(text_col), F.lit("")), ascii_uppercase, ascii_lowercase)
+    return docs.select(
+        F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.unhex(F.sha2(lowered, 256)).alias("digest")
     )
 
 
@@ -77,6 +67,7 @@ def exact_groups(
 
     counters: the most digests that are broadcast. least: smallest verified group that is broadcast.
     """
+    tune(docs.sparkSession)
     rows = materialise(text_digests(docs, id_col, text_col), "digests")
     summaries = rows.select("digest").mapInArrow(misra_gries(counters), "digest binary, seen bigint")
     candidates = (
@@ -105,8 +96,8 @@ def exact_groups(
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, all columns as they are, without those that ``exact_groups`` drops.
 
-    Rows that repeat both the id and the text of the row that stays can't be told from it and stay too.
+    Null and empty texts are equal to each other. Of rows that repeat both the id and the text of the row that stays,
+    one stays (an arbitrary one, should other columns differ). An empty table gives an empty result.
     """
-    gone = exact_groups(docs, id_col, text_col, **options).where(~F.col("kept"))
-    gone = gone.select(F.col("doc_id").alias("_gone"), F.col("text_key").alias("_key")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]) & (F.xxhash64(docs[text_col]) == gone["_key"]), "left_anti")
+    groups = exact_groups(docs, id_col, text_col, **options).withColumn("copies", F.lit(True))
+    return survivors(docs, groups, id_col, text_col)

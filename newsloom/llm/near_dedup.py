@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import byte_rows, materialise, shuffle_partitions, tune
+from .common import byte_rows, materialise, partitions_for, survivors, tune
 from .substring_dedup import mix, word_hashes, words_of
 
 ROWS = 6
@@ -37,6 +37,9 @@ ORDERS = 4
 FLUSH = 1_000_000
 MEMBERS = 4096
 BLOCK = 256
+#: Mixed regions that are broadcast (about 10 MB); more are joined by salted keys.
+FEW_REGIONS = 100_000
+SALTS = 64
 #: Sets smaller than this are confirmed without an estimate; standard errors that an estimate may fall short.
 CERTAIN = 2 * REGISTERS
 ERRORS = 5.0
@@ -261,12 +264,11 @@ def _confirm(percent: int):
     return run
 
 
-def confirm_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def confirm_pairs(pairs: DataFrame, sets: DataFrame, percent: int, parts: int) -> DataFrame:
     """The rows (a, b) of ``pairs`` whose full sets are similar enough.
 
     Sets travel once for a pair (the member's) and once for a share of at most about MEMBERS members of a leader.
     """
-    spark = pairs.sparkSession
     sizes = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("members"))
     shares = sizes.select("b", F.ceil(F.col("members") / MEMBERS).cast("int").alias("shares"))
     dealt = pairs.join(shares, "b").select(
@@ -279,7 +281,7 @@ def confirm_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
     return (
         members.unionByName(leaders)
-        .repartition(shuffle_partitions(spark), "leader", "salt")
+        .repartition(parts, "leader", "salt")
         .sortWithinPartitions("leader", "salt", F.col("member").asc_nulls_first())
         .mapInArrow(_confirm(percent), "a binary, b binary")
     )
@@ -335,15 +337,23 @@ def _across(percent: int):
     return run
 
 
-def link_across(pairs: DataFrame, components: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def in_mixed(rows: DataFrame, mixed: DataFrame) -> DataFrame:
+    """The rows (class, region, ...) of ``mixed`` regions. No region, however large, gathers in one task."""
+    mixed = materialise(mixed, "mixed")
+    if mixed.limit(FEW_REGIONS + 1).count() <= FEW_REGIONS:
+        return rows.join(F.broadcast(mixed), "region")
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("class"), F.lit(SALTS)).cast("int"))
+    return dealt.join(mixed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["region", "salt"]).drop("salt")
+
+
+def link_across(pairs: DataFrame, components: DataFrame, sets: DataFrame, percent: int, parts: int) -> DataFrame:
     """Links (a, b) between components that share a region of candidate ``pairs``.
 
     Every class outside a region's largest component meets all the region's classes, in blocks of about BLOCK.
     """
-    spark = pairs.sparkSession
     regions = connected_components(pairs, "a", "b").select(F.col("node").alias("class"), F.col("component").alias("region"))
-    parts = components.select(F.col("node").alias("class"), "component")
-    t = regions.join(parts, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    own = components.select(F.col("node").alias("class"), "component")
+    t = regions.join(own, "class", "left").withColumn("component", F.coalesce("component", "class"))
     t = materialise(t, "regions")
     sizes = t.groupBy("region", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("region").agg(
@@ -353,7 +363,7 @@ def link_across(pairs: DataFrame, components: DataFrame, sets: DataFrame, percen
         "region", F.col("top.component").alias("largest"), F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"),
         F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("shares"),
     )
-    rows = t.join(mixed, "region").join(sets, "class")
+    rows = in_mixed(t, mixed).join(sets, "class")
     up_to = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
     own = lambda seed, c: F.pmod(F.xxhash64(F.lit(seed), "class"), F.col(c)).cast("int")
     cols = ["region", "block", "share", "query", "class", "component", "set", "regs"]
@@ -364,7 +374,7 @@ def link_across(pairs: DataFrame, components: DataFrame, sets: DataFrame, percen
     return (
         members.select(*cols)
         .unionByName(queries.select(*cols))
-        .repartition(shuffle_partitions(spark), "region", "block", "share")
+        .repartition(parts, "region", "block", "share")
         .sortWithinPartitions("region", "block", "share")
         .mapInArrow(_across(percent), "a binary, b binary")
     )
@@ -391,7 +401,8 @@ def near_groups(
     rows = materialise(
         base.mapInArrow(_signatures(shingle), f"doc_id {kind}, key bigint, n bigint, class binary, regs binary"), "signatures"
     )
-    parts = shuffle_partitions(spark)
+    number, hashes = rows.where(F.col("class").isNotNull()).agg(F.count(F.lit(1)), F.sum("n")).first()
+    parts = partitions_for(spark, 32 * BANDS * number)
     stars = rows.select("class", "regs").mapInArrow(_local_stars(parts), "part bigint, frame binary")
     spread = F.when(F.col("part") >= 0, F.col("part")).otherwise(-1 - F.pmod(F.xxhash64("frame"), F.lit(parts)))
     pairs = stars.repartition(parts, spread).mapInArrow(_joined_stars, "a binary, b binary")
@@ -403,9 +414,11 @@ def near_groups(
     texts = base.join(holders, base["doc_id"].eqNullSafe(holders["_id"]) & (base["key"] == holders["_key"])).select("class", "text")
     sets = materialise(texts.mapInArrow(_sets(shingle), "class binary, set binary, regs binary"), "sets")
 
-    links = materialise(confirm_pairs(pairs, sets, percent), "links")
+    # a class has some leaders: about as many sets travel
+    wide = partitions_for(spark, 8 * ORDERS * (hashes or 0))
+    links = materialise(confirm_pairs(pairs, sets, percent, wide), "links")
     components = materialise(connected_components(links, "a", "b"), "components")
-    more = link_across(pairs, components, sets, percent)
+    more = link_across(pairs, components, sets, percent, wide)
     star = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
     final = connected_components(star.unionByName(more), "a", "b")
 
@@ -424,7 +437,10 @@ def near_groups(
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, without those that ``near_groups`` does not keep."""
-    gone = near_groups(docs, id_col, text_col, **options).where(~F.col("kept"))
-    gone = gone.select(F.col("doc_id").alias("_gone"), F.col("text_key").alias("_key")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]) & (F.xxhash64(docs[text_col]) == gone["_key"]), "left_anti")
+    """The rows of ``docs``, all columns as they are, without those that ``near_groups`` does not keep.
+
+    Null texts and texts without words all stay. Of rows that repeat both the id and the text of the row that stays, one
+    stays (an arbitrary one, should other columns differ). An empty table gives an empty result.
+    """
+    groups = near_groups(docs, id_col, text_col, **options).withColumn("copies", F.col("n_shingles") > 0)
+    return survivors(docs, groups, id_col, text_col)

@@ -11,6 +11,7 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the words of 35-word windows that start anywhere else removed. Null and empty texts: no words."""
     from .substring_dedup import substring_dedup
 
     out = substring_dedup(_docs(spark, sf_dir))
@@ -18,6 +19,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row with its group of texts equal after lower-casing A-Z; the largest doc_id stays. Null counts as empty."""
     from .exact_dedup import exact_groups
 
     out = exact_groups(_docs(spark, sf_dir))
@@ -25,6 +27,7 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every whole text. Null and empty texts have none and are not over the limit."""
     import public_tokenizers
 
     from .tokens import count_tokens
@@ -34,12 +37,14 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text; rows with crc32(doc_id) mod 5 = 0 are held out. Null and empty texts are scored."""
     from .quality import score_quality
 
     return score_quality(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every whole text, by way of a new ledger below ``spark.checkpoint.dir``. Null and empty texts have none."""
     from .secrets import BASE, scan_secrets, span_text
 
     found = scan_secrets(_docs(spark, sf_dir))
@@ -52,18 +57,21 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every whole text; ``und`` with score 0 for null and for texts without a letter."""
     from .langid import identify_languages
 
     return identify_languages(_docs(spark, sf_dir))
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component of near duplicates (two-word shingles, 80 %). Texts without words are alone."""
     from .near_dedup import near_groups
 
     return near_groups(_docs(spark, sf_dir), shingle=2).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each (document, benchmark item) with an alignment of 0.6 or more of the item; equal ones: the first in the text."""
     from .decontaminate import find_leaks
 
     found = find_leaks(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -71,6 +79,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every whole text. Null and empty texts have none."""
     from .pii import KINDS, find_pii
 
     found = find_pii(_docs(spark, sf_dir))
@@ -83,6 +92,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document in sequences of at most 2048 tokens. Null and empty texts are the end id alone."""
     import public_tokenizers
 
     from .packing import pack_documents

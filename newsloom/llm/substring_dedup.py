@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_rows, materialise, shuffle_partitions, tune
+from .common import byte_rows, materialise, partitions_for, tune
 
 WIDTH = 35
 M = 3
@@ -34,7 +34,9 @@ HEAVY_LEAST = 20_000
 #: Bytes of text worked on at once, and of packed strings gathered before frames are sent.
 SLICE = 1 << 20
 FLUSH = 24 << 20
-#: Buckets in a shuffle partition: a task sorts one at a time.
+#: Packed bytes for a byte of text; bytes a bucket is planned for (a task sorts one at a time); least buckets in a partition.
+PACKED = 2.2
+BUCKET_BYTES = 8 << 20
 BUCKETS_EACH = 4
 
 _SPACE = np.zeros(256, bool)
@@ -209,8 +211,9 @@ def _frequent(width: int):
                     for k in [k for k, c in counts.items() if c < least]:
                         del counts[k]
 
-        none, waiting = np.zeros(0, np.uint64), 0
+        none, waiting, size = np.zeros(0, np.uint64), 0, 0
         for _, _, pieces in _grouped(batches, width):
+            size += sum(map(len, pieces))
             _, _, _, _, _, least = superkmers(pieces, none, width)
             held.append(least)
             total += len(least)
@@ -222,20 +225,22 @@ def _frequent(width: int):
         least = max(2, -(-total // HEAVY_LIMIT))
         found = {k: c for k, c in counts.items() if c >= least}
         yield pa.RecordBatch.from_arrays(
-            [pa.array([*found, None], pa.int64()), pa.array([*found.values(), total], pa.int64())], names=["gram", "n"]
+            [pa.array([*found, None], pa.int64()), pa.array([*found.values(), total], pa.int64()), pa.array([0] * len(found) + [size], pa.int64())],
+            names=["gram", "n", "size"],
         )
 
     return run
 
 
-def frequent_minimisers(texts: DataFrame, width: int) -> np.ndarray:
-    """Sorted hashes of the m-mers that are minimisers of very many super-k-mers; at most HEAVY_LIMIT."""
-    counts = texts.mapInArrow(_frequent(width), "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+def frequent_minimisers(texts: DataFrame, width: int) -> tuple[np.ndarray, int]:
+    """Sorted hashes of the m-mers that are minimisers of very many super-k-mers, at most HEAVY_LIMIT; bytes of text."""
+    counts = texts.mapInArrow(_frequent(width), "gram bigint, n bigint, size bigint")
+    counts = counts.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("size").alias("size"))
     counts = materialise(counts.where(F.col("gram").isNull() | (F.col("n") >= HEAVY_LEAST)), "minimisers")
-    total = counts.where(F.col("gram").isNull()).agg(F.sum("n")).first()[0] or 0
-    least = max(HEAVY_LEAST, -(-total // HEAVY_LIMIT))
+    total, size = counts.where(F.col("gram").isNull()).agg(F.sum("n"), F.sum("size")).first()
+    least = max(HEAVY_LEAST, -(-(total or 0) // HEAVY_LIMIT))
     found = counts.where(F.col("gram").isNotNull() & (F.col("n") >= least)).select("gram").collect()
-    return np.sort(np.array([r[0] for r in found], dtype=np.uint64))
+    return np.sort(np.array([r[0] for r in found], dtype=np.uint64)), size or 0
 
 
 def bucket_of(least: np.ndarray, buckets: int) -> np.ndarray:
@@ -449,9 +454,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tune(spark)
     kind = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    heavy = spark.sparkContext.broadcast(frequent_minimisers(base.select("text"), width))
-    parts = shuffle_partitions(spark)
-    buckets = parts * BUCKETS_EACH
+    common, size = frequent_minimisers(base.select("text"), width)
+    heavy = spark.sparkContext.broadcast(common)
+    parts = partitions_for(spark, int(PACKED * size))
+    buckets = parts * max(BUCKETS_EACH, -(-int(PACKED * size) // (parts * BUCKET_BYTES)))
     marks = (
         base.select("text")
         .mapInArrow(_frames(heavy, buckets, width), "bucket bigint, frame binary")

@@ -86,10 +86,18 @@ def test_exact_groups_heavy_and_light(spark):
         assert sorted(((*r[:4], bytes(r[4])) for r in got), key=str) == sorted(want, key=str)
     left = exact_dedup.drop_exact_duplicates(docs, counters=4, least=5)
     assert left.columns == docs.columns
-    assert sorted({r.doc_id for r in left.collect()}) == sorted({w[0] for w in want if w[3]})
+    assert sorted(r.doc_id for r in left.collect()) == sorted({w[0] for w in want if w[3]})
     assert exact_dedup.exact_groups(docs.limit(0)).count() == 0
 
 
+def test_very_long_texts(spark):
+    long = "Wort\u00e9 " * 400_000
+    docs = spark.createDataFrame([(1, long), (2, long.lower()), (3, long + "x")], "doc_id long, text string")
+    got = {r.doc_id: r for r in exact_dedup.exact_groups(docs).collect()}
+    assert [got[k].keep_id for k in (1, 2, 3)] == [2, 2, 3]
+    assert bytes(got[1].digest) == hashlib.sha256(lower(long).encode()).digest()
+
+
 def test_misra_gries_keeps_every_frequent_digest():
     rnd = random.Random(4)
     seen = [rnd.choice([1, 1, 1, 2, *range(3, 300)]) for _ in range(5000)] + [1] * 2500

@@ -3,9 +3,9 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from newsloom.llm import near_dedup
-from newsloom.operators import components
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -86,6 +86,32 @@ def test_empty_and_columns_stay(spark):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, None]
     assert near_dedup.near_groups(docs.limit(0)).count() == 0
+    again = docs.unionByName(docs.withColumn("key", F.lit("again")))
+    assert sorted((r.doc_id for r in near_dedup.drop_near_duplicates(again).collect()), key=str) == [1, None, None]
+
+
+def test_many_mixed_regions(spark, monkeypatch):
+    """Regions joined by salted keys give the same links as broadcast ones."""
+    rnd = random.Random(12)
+    vocab = [f"w{i}" for i in range(3000)]
+    rows = []
+    for g in range(6):
+        base = rnd.choices(vocab, k=400)
+        for edits in (0, 10, 30, 60, 90):
+            own = list(base)
+            for i in rnd.sample(range(400), edits):
+                own[i] = rnd.choice(vocab)
+            rows.append((len(rows), " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(near_dedup, "FEW_REGIONS", 0)
+    got = near_dedup.near_groups(docs, shingle=2).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows, 2)
+
+
+def test_very_long_text(spark):
+    long = " ".join(f"w{i}" for i in range(300_000))
+    docs = spark.createDataFrame([(1, long), (2, long + " end"), (3, "w1 w2")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_dedup.near_groups(docs).collect()} == {1: 1, 2: 1, 3: 3}
 
 
 def test_register_share_estimates_jaccard():
@@ -100,20 +126,3 @@ def test_register_share_estimates_jaccard():
     x = [near_dedup.registers(np.sort(rng.integers(0, 2**63, 5000, dtype=np.uint64))) for _ in range(60)]
     chance = np.mean([(x[i] == x[i + 1]).mean() for i in range(59)])
     assert abs(chance - near_dedup.collision(5000, 5000)) < 5e-4
-
-
-def test_components_of_random_graphs(spark):
-    rnd = random.Random(6)
-    edges = [(rnd.randrange(200), rnd.randrange(200)) for _ in range(120)] + [(300 + i, 301 + i) for i in range(60)] + [(5, 5), (None, 4)]
-    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
-    least = {}
-    def find(x):
-        while least.setdefault(x, x) != x:
-            x = least[x]
-        return x
-    for a, b in edges:
-        if a is not None and a != b:
-            a, b = sorted((find(a), find(b)))
-            least[b] = a
-    assert got == {x: find(x) for x in least}
-    assert components.connected_components(spark.createDataFrame([], "u long, v long")).count() == 0

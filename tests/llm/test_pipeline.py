@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from test_decontaminate import plain_score
 from test_near_dedup import brute
@@ -71,3 +72,22 @@ def test_run_gives_the_rows_of_the_stages(spark, sf_dir, stages):
     got = P.run(spark, sf_dir).select(*cols).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, stages[-1][2].select(*cols).collect()))
     assert len(got) > 0 and np.all([r.length > 0 for r in got])
+
+
+def test_stages_of_odd_tables(spark, sf_dir):
+    """Nulls, empty and blank texts, repeated rows, null ids, an extra column with a clashing name; then no rows."""
+    import corpus_pipeline as P
+    from newsloom.llm.common import materialise
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, kept string, text_key string"
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "one two"), (4, "one two"), (5, "ONE two"), (None, "null id text"), (None, None), (6, "a b c d e f g h"), (7, "A b c d e f g h")]
+    docs = spark.createDataFrame([(k, t, None, None, None, "k", "t") for k, t in rows], schema)
+    want = (["2", "3", "5", "7", "None"], [], ["7"])  # of null texts the largest id
+    for table, left in zip((docs, docs.limit(0), docs.withColumn("text", F.lit(None).cast("string"))), want, strict=True):
+        for name, stage in P.STAGES:
+            table = materialise(stage(spark, table, sf_dir), name)
+            if name != "packing":
+                assert table.columns == docs.columns
+            if name == "exact_dedup":
+                assert sorted(str(r.doc_id) for r in table.collect()) == left
+        assert table.count() == 0 if not left else table.count() > 0
