@@ -58,6 +58,7 @@ REASONING_COLUMNS = [
     "article_id", "classified_at", "article_subject", "brand_role", "subject_test", "sentiment_rationale",
     "news_category_rationale", "severity_analysis", "attribution_analysis", "spread_signals", "final_judgment",
 ]
+FIRST_REASONS, SECOND_REASONS = REASONING_COLUMNS[2:7], REASONING_COLUMNS[7:]
 LOG_COLUMNS = ["run_id", "timestamp", "category", "stage", "message", "data_json"]
 KEYWORD_COLUMNS = ["sentiment_stage", "danger_level", "issue_category", "news_category", "brand_relevance"]
 RUN_HISTORY_COLUMNS = [

@@ -9,9 +9,12 @@ SUMMARY = "array<struct<cluster_id:string,summary:string>>"
 
 
 def response_text(payload: Column) -> Column:
-    """The answer's text: output_text, else the first output content, else the first choice's message."""
-    get = lambda p: F.nullif(F.get_json_object(payload, p), F.lit(""))
-    return F.coalesce(get("$.output_text"), get("$.output[0].content[0].text"), get("$.choices[0].message.content"))
+    """The answer's text: output_text, else the first text of any output's contents, else of any choice's message."""
+    x = F.from_json(payload, "output_text string, output array<struct<content:array<struct<text:string>>>>, choices array<struct<message:struct<content:string>>>")
+    given = lambda texts: F.get(F.filter(texts, lambda t: t.isNotNull() & (t != "")), F.lit(0))
+    contents = F.flatten(F.transform(F.filter(x["output"], lambda o: o["content"].isNotNull()), lambda o: F.transform(o["content"], lambda c: c["text"])))
+    messages = F.transform(x["choices"], lambda c: c["message"]["content"])
+    return F.coalesce(F.nullif(x["output_text"], F.lit("")), given(contents), given(messages))
 
 
 def repair(text: Column) -> Column:

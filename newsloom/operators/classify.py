@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import (
-    BRAND_RELEVANCE, ISSUE_CATEGORIES, NEGATIVE_STAGES, NEWS_CATEGORIES, OTHER_CATEGORY, PR_CATEGORIES, PRESS_RELEASE,
-    SENTIMENT_STAGES, SIMILAR_TOPIC, UNRELATED_CATEGORY,
+    BRAND_RELEVANCE, DANGER_LEVELS, FIRST_REASONS, ISSUE_CATEGORIES, NEGATIVE_STAGES, NEWS_CATEGORIES, OTHER_CATEGORY, PR_CATEGORIES, PRESS_RELEASE,
+    SECOND_REASONS, SENTIMENT_STAGES, SIMILAR_TOPIC, UNRELATED_CATEGORY,
 )
 from ..functions.text import clean_invisible, non_blank
+from ..storage import materialise
 from .clusters import Judge, first_summary, group_topics, merge_across, propagate, representatives
 
 LABELS = "brand_relevance string, brand_relevance_query_keywords array<string>, sentiment_stage string, news_category string, news_keyword_summary string"
@@ -140,7 +141,8 @@ def component_gate(mode: str) -> Column:
 
 def _label(rows: DataFrame, classifier: Classifier, now: str) -> DataFrame:
     """row and all label columns of the rows, both passes."""
-    first = classifier.first_pass(rows.select("row", "query", "group", "title", "description"))
+    # written before the second pass asks for it: a model is called once for each article
+    first = materialise(classifier.first_pass(rows.select("row", "query", "group", "title", "description")), "first_pass")
     second = classifier.second_pass(first.where(negative_gate()).select("row", "query", "group", "title", "description"))
     both = first.join(second.select("row", "danger_level", "issue_category"), "row", "left")
     return both.select("row", *FIRST_PASS, F.coalesce("danger_level", F.lit("")).alias("danger_level"), F.coalesce("issue_category", F.lit("")).alias("issue_category")).withColumn("classified_at", F.lit(now))
@@ -158,7 +160,8 @@ def classify_press_releases(df: DataFrame, classifier: Classifier, now: str) ->
     df = with_label_columns(df)
     press = df.where((F.col("source") == PRESS_RELEASE) & non_blank(F.col("cluster_id")).isNotNull())
     reps = representatives(press, "cluster_id", "pub_datetime", "row").select("row", "query", "group", "title", "description", "cluster_id")
-    labels = _label(reps, classifier, now).join(reps.select("row", "cluster_id"), "row")
+    reps = materialise(reps, "press_representatives")
+    labels = materialise(_label(reps, classifier, now).join(reps.select("row", "cluster_id"), "row"), "press_labels")
     marked = df.withColumn("_press", F.when(F.col("source") == PRESS_RELEASE, F.col("cluster_id")))
     out = propagate(marked, labels.select(F.col("cluster_id").alias("_press"), *LABEL_COLUMNS), "_press", LABEL_COLUMNS)
     return out.drop("_press")
@@ -167,7 +170,7 @@ def classify_press_releases(df: DataFrame, classifier: Classifier, now: str) ->
 def classify_articles(df: DataFrame, classifier: Classifier, now: str) -> DataFrame:
     """Every article that still needs it is classified on its own."""
     df = with_label_columns(df)
-    return propagate(df, _label(df.where(needs_classification()), classifier, now), "row", LABEL_COLUMNS)
+    return propagate(df, materialise(_label(df.where(needs_classification()), classifier, now), "labels"), "row", LABEL_COLUMNS)
 
 
 def verify_clusters(df: DataFrame) -> DataFrame:
@@ -192,8 +195,11 @@ def verify_and_regroup(df: DataFrame, classifier: Classifier | None = None) -> D
     from .clusters import consistent
 
     judge = component_judge(classifier) if classifier else None
-    out = consistent(group_topics(merge_across(verify_clusters(df), judge=judge), judge=judge))
-    return first_summary(out, "cluster_id", "cluster_summary", "row")
+    # each step reads its input several times: a written table keeps plans from doubling at every step
+    verified = materialise(verify_clusters(df), "verified")
+    merged = materialise(merge_across(verified, judge=judge), "merged_across")
+    grouped = materialise(consistent(group_topics(merged, judge=judge)), "grouped")
+    return first_summary(grouped, "cluster_id", "cluster_summary", "row")
 
 
 def summarise_clusters(df: DataFrame, summarise: Callable[[Column], Column] | None = None) -> DataFrame:
@@ -216,9 +222,9 @@ def other_articles(df: DataFrame, least: int = 3) -> DataFrame:
 def response_schema(second: bool = False) -> dict:
     """JSON schema of a model's answer for either pass, with the labels as enumerations."""
     text = {"type": "string"}
-    reasons = ["severity_analysis", "attribution_analysis", "spread_signals", "final_judgment"] if second else ["article_subject", "brand_role", "subject_test", "sentiment_rationale", "news_category_rationale"]
+    reasons = SECOND_REASONS if second else FIRST_REASONS
     own = (
-        {"danger_level": {"type": ["string", "null"], "enum": ["상", "중", "하", None]}, "issue_category": {"type": ["string", "null"], "enum": [*ISSUE_CATEGORIES, None]}}
+        {"danger_level": {"type": ["string", "null"], "enum": [*DANGER_LEVELS, None]}, "issue_category": {"type": ["string", "null"], "enum": [*ISSUE_CATEGORIES, None]}}
         if second
         else {
             "brand_relevance": {"type": "string", "enum": BRAND_RELEVANCE},

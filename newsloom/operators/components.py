@@ -8,9 +8,24 @@ from pyspark.sql import functions as F
 from ..storage import materialise
 
 
-def _least_neighbour(edges: DataFrame) -> DataFrame:
-    """(node, least): map-side combined, so a hub's edges don't meet in one task."""
-    return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("least"))
+#: A node that holds more than one in so many of the edges is a hub; at most so many nodes are, by their sum.
+HUBS = 1000
+
+
+def _with_least(edges: DataFrame, count: int) -> DataFrame:
+    """The edges (u, v) with ``least``, the least v of each u.
+
+    Minima are combined map-side. Those of hubs, at most HUBS rows, are broadcast, so that a hub's edges don't meet in
+    one task; all other edges are joined by u.
+    """
+    low = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("least"), F.count(F.lit(1)).alias("n"))
+    low = materialise(low, "least")
+    hubs = F.broadcast(low.where(F.col("n") > count / HUBS).select("node", "least"))
+    rest = low.where(F.col("n") <= count / HUBS).select("node", "least")
+    out = edges.join(hubs, F.col("u") == hubs["node"], "left").drop("node")
+    done = out.where(F.col("least").isNotNull())
+    todo = out.where(F.col("least").isNull()).drop("least")
+    return done.unionByName(todo.join(rest, F.col("u") == rest["node"]).drop("node"))
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -32,18 +47,16 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
     Loops and repeated edges don't matter; an edge with a null end is no edge; without edges the result is empty. Every
     edge runs from a larger to a smaller node and both steps keep what is connected, so the result is right, exactly,
     as soon as the edges are stars; that is what ends the loop. Each round is written to the shared folder, so lineage
-    stays short; joins on hubs are inner joins that AQE can split.
+    stays short.
     """
     now = edges.select(F.greatest(u, v).alias("u"), F.least(F.col(u), F.col(v)).alias("v"))
     now = materialise(now.where(F.col(u).isNotNull() & F.col(v).isNotNull() & (F.col("u") != F.col("v"))).distinct(), "edges")
     while not _is_star_forest(now):
-        both = _both_ways(now)
-        low = _least_neighbour(both).select("node", F.least("least", "node").alias("least"))
-        large = both.join(low, both["u"] == low["node"]).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("least").alias("v"))
+        both = _with_least(_both_ways(now), 2 * now.count())
+        large = both.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.least("least", "u").alias("v"))
         # every edge now runs from the larger to the smaller node
         large = materialise(large.where("u != v").distinct(), "large")
-        low = _least_neighbour(large)
-        joined = large.join(low, large["u"] == low["node"])
+        joined = _with_least(large, large.count())
         small = joined.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("least").alias("v")), F.struct(F.col("u"), F.col("least").alias("v")))).alias("e"))
         now = materialise(small.select("e.u", "e.v").where("u != v").distinct(), "edges")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Settings, load_settings
-from ..constants import RESULT_COLUMNS
+from ..constants import FIRST_REASONS, REASONING_COLUMNS, RESULT_COLUMNS, SECOND_REASONS
 from ..functions.dates import parse_pubdate, pubdate_iso
-from ..functions.text import article_id, cluster_number, strip_html
+from ..functions.scores import cost
+from ..functions.text import article_id, cluster_number, non_blank, strip_html
 from ..operators import audit, classify, clusters, keyed, reports
 from ..sources.tables import Table, filter_by_best_date
 from ..storage import materialise
@@ -45,21 +46,57 @@ def preprocess(raw: DataFrame, directory: DataFrame, top_article: int, top_clust
     """(normalised, deduplicated articles with clusters, summaries and outlets; new outlets)."""
     rows = keyed.dedupe_latest(normalise(raw, top_article), "published", "link")
     rows = materialise(rows.withColumn("row", F.col("article_no")), "normalised").withColumn("iso", F.col("pub_datetime")).withColumn("pub_datetime", F.col("published"))
-    found = clusters.detect_press_releases(rows, settings.press_release, top_cluster)
-    return reports.add_outlets(classify.summarise_clusters(found), directory)
+    found = materialise(clusters.detect_press_releases(rows, settings.press_release, top_cluster), "detected")
+    named = materialise(classify.summarise_clusters(found), "summarised")
+    return reports.add_outlets(named, directory)
+
+
+TABLES = ("raw_data", "total_result", "media_directory", "reasoning", "keywords", "run_history", "errors", "events")
+
+
+def _result_rows(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Rows as the result table holds them: strings of its columns, dated on or after the start date."""
+    dated = reports.add_time_columns(rows).withColumn("pub_datetime", F.col("iso"))
+    text = {c: (F.to_json(c) if c.endswith("keywords") else F.col(c).cast("string")) if c in dated.columns else F.lit("") for c in RESULT_COLUMNS}
+    return filter_by_best_date(dated.select(*[v.alias(c) for c, v in text.items()]), settings.date_filter_start)
+
+
+def _save(tables: dict[str, Table], rows: DataFrame, settings: Settings, log: RunLog, stage: str) -> int:
+    """Upserts a stage's rows, so that a later failure costs only what came after. A failed save is logged, not raised."""
+    try:
+        got = tables["total_result"].upsert(materialise(_result_rows(rows, settings), "result").withColumn("row_pos", F.monotonically_increasing_id()), force=True)
+    except Exception as error:  # whatever the store answers: the run goes on and the next stage saves again
+        log.error("sync", stage, "the stage could not be saved", error=str(error)[:500])
+        return 0
+    log.event("sync", stage, "stage saved", added=got["added"], updated=got["updated"])
+    return got["added"] + got["updated"]
+
+
+def reasoning_rows(rows: DataFrame, now: str) -> DataFrame:
+    """The reasoning table's rows, all strings, of articles whose classifier gave any reason; absent columns are ''."""
+    have = [c for c in FIRST_REASONS + SECOND_REASONS if c in rows.columns]
+    if not have:
+        return rows.sparkSession.createDataFrame([], ", ".join(f"{c} string" for c in REASONING_COLUMNS))
+    some = rows.where(F.coalesce(*[non_blank(F.col(c)) for c in have]).isNotNull())
+    cells = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in rows.columns else F.lit("") for c in REASONING_COLUMNS} | {"classified_at": F.lit(now)}
+    return some.select(*[v.alias(c) for c, v in cells.items()])
 
 
 def run(
     spark: SparkSession, store: str, mode: str = "full", classifier: classify.Classifier | None = None, settings: Settings | None = None,
-    now: str = "", collected: DataFrame | None = None, run_id: str = "run",
+    now: str = "", collected: DataFrame | None = None, run_id: str = "run", limit: int | None = None,
 ) -> RunLog:
-    """One run over the tables below ``store``; a dry run calls no classifier and writes no table."""
+    """One run over the tables below ``store``; a dry run calls no classifier and writes no table.
+
+    Rows are written to the shared folder between phases and saved into the result table after processing and after
+    each classification phase. limit: process only so many articles, the first by link.
+    """
     settings, log, dry = settings or load_settings(), RunLog(run_id, now, mode), mode == "dry_run"
-    tables = {t: Table(spark, f"{store}/{t}") for t in ("raw_data", "total_result", "media_directory", "keywords", "run_history", "errors", "events")}
+    tables = {t: Table(spark, f"{store}/{t}") for t in TABLES}
     if collected is not None and mode != "recheck_only" and not dry:
         log.start("collection")
-        got = tables["raw_data"].upsert(collected.withColumn("row_pos", F.monotonically_increasing_id()))
-        log.log(articles_collected_total=got["attempted"], existing_links_skipped=got["skipped"])
+        got = tables["raw_data"].upsert(materialise(collected, "collected").withColumn("row_pos", F.monotonically_increasing_id()))
+        log.log(articles_collected_total=got["attempted"], existing_links_skipped=got["skipped"], sheets_rows_uploaded_raw=got["added"] + got["updated"])
         log.end("collection")
     raw = tables["raw_data"].read()
     if raw is None:
@@ -69,30 +106,46 @@ def run(
     if mode == "raw_only":
         return _finish(spark, log, tables, dry)
     result = tables["total_result"].read()
-    todo = audit.reprocess_targets(raw, result)
-    todo = materialise(todo.where(parse_pubdate(F.col("pubDate")) >= F.to_timestamp(F.lit(settings.date_filter_start))), "todo")
-    log.log(reprocess_targets_total=todo.count())
+    todo = audit.reprocess_targets(raw, result).where(parse_pubdate(F.col("pubDate")) >= F.to_timestamp(F.lit(settings.date_filter_start)))
+    todo = materialise(todo if limit is None else todo.orderBy("link").limit(limit), "todo")
+    targets = todo.count()
+    log.log(reprocess_targets_total=targets)
+    if not targets:
+        return _finish(spark, log, tables, dry)
     log.start("processing")
     directory = tables["media_directory"].read("domain string, media_name string, media_group string, media_type string")
     top = result.agg(F.max(F.col("article_no").try_cast("bigint")), F.max(cluster_number(F.col("cluster_id"), "c"))).first() if result is not None else (0, 0)
     rows, outlets = preprocess(todo.drop("row_pos"), directory, top[0] or 0, top[1] or 0, settings)
-    rows = materialise(rows, "processed")
-    log.log(articles_processed=rows.count())
+    rows, outlets = materialise(rows, "processed"), materialise(outlets, "outlets")
+    stats = reports.distinct_clusters(rows).first()
+    n = rows.count()
+    log.log(articles_processed=n, duplicates_removed=targets - n, press_releases_detected=stats["articles"], press_release_groups=stats["groups"], press_release_avg_cluster_size=stats["avg_size"], media_domains_new=outlets.count())
     log.end("processing")
-    if mode in ("full", "recheck_only"):
-        log.start("general_classification")
-        model = classifier or classify.RuleClassifier()
-        rows = classify.classify_articles(classify.classify_press_releases(rows, model, now), model, now)
-        rows = classify.summarise_clusters(classify.verify_and_regroup(materialise(rows, "classified"), classifier))
-        log.end("general_classification")
-    rows = reports.add_time_columns(rows).withColumn("pub_datetime", F.col("iso"))
     if dry:
         return log
     tables["media_directory"].append(outlets)
-    text = {c: (F.to_json(c) if c.endswith("keywords") else F.col(c).cast("string")) if c in rows.columns else F.lit("") for c in RESULT_COLUMNS}
-    final = filter_by_best_date(rows.select(*[v.alias(c) for c, v in text.items()]), settings.date_filter_start)
-    got = tables["total_result"].upsert(final.withColumn("row_pos", F.monotonically_increasing_id()), force=True)
-    log.log(sheets_rows_uploaded_result=got["added"] + got["updated"])
+    saved = _save(tables, rows, settings, log, "processing")
+    if mode in ("full", "recheck_only"):
+        model = classifier or classify.RuleClassifier()
+        log.start("pr_classification")
+        rows = materialise(classify.classify_press_releases(rows, model, now), "press_classified")
+        saved = _save(tables, rows, settings, log, "pr_classification")
+        log.end("pr_classification")
+        log.start("general_classification")
+        rows = materialise(classify.classify_articles(rows, model, now), "classified")
+        saved = _save(tables, rows, settings, log, "general_classification")
+        done = rows.where(F.col("classified_at") == now).count()
+        log.log(articles_classified_llm=done, classification_errors=n - done, llm_cost_estimated=round(spark.range(1).select(cost(F.lit(done))).first()[0], 4))
+        log.end("general_classification")
+        log.start("source_verification")
+        rows = materialise(classify.verify_and_regroup(rows, classifier), "verified")
+        rows = materialise(classify.summarise_clusters(rows), "regrouped")
+        saved = _save(tables, rows, settings, log, "source_verification")
+        log.end("source_verification")
+        reasons = reasoning_rows(rows, now)
+        if not reasons.isEmpty():
+            tables["reasoning"].append(reasons)
+    log.log(sheets_rows_uploaded_result=saved)
     whole = tables["total_result"].read()
     if whole is not None:
         log.log(**reports.kpis(whole).first().asDict())
@@ -117,11 +170,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--store", required=True)
     p.add_argument("--now", default="")
     p.add_argument("--settings")
+    p.add_argument("--limit", type=int)
     for m in MODES[:-1]:
         p.add_argument(f"--{m}", action="store_true")
     a = p.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    log = run(spark, a.store, run_mode(a.dry_run, a.raw_only, a.preprocess_only, a.recheck_only), settings=load_settings(a.settings), now=a.now)
+    log = run(spark, a.store, run_mode(a.dry_run, a.raw_only, a.preprocess_only, a.recheck_only), settings=load_settings(a.settings), now=a.now, limit=a.limit)
     for k, v in log.metrics.items():
         print(f"{k}: {v}")
 
