@@ -33,5 +33,10 @@ def summaries(text: Column) -> Column:
     return F.when(x.startswith("["), F.from_json(x, SUMMARY)).otherwise(inside)
 
 
+def decode(c: Column, schema: str) -> Column:
+    """A JSON object's fields as a struct; null where it doesn't parse."""
+    return F.from_json(c, schema)
+
+
 def encode_list(c: Column) -> Column:
     return F.to_json(c)

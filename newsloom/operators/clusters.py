@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import CrossMerge, PressRelease, Topics
@@ -12,8 +12,9 @@ from ..constants import GENERAL, OUR, PRESS_RELEASE, SIMILAR_TOPIC, UNRELATED_CA
 from ..functions.dates import day_gap, fractional_days
 from ..functions.scores import blend
 from ..functions.text import clean_markup, cluster_label, cluster_number, jaccard, media_key, non_blank, normalise_group, query_prefix, summary_tokens, tokens
-from ..storage import materialise
+from ..storage import exists, materialise
 from .components import connected_components
+from .keyed import row_numbers
 from .similarity import cosine_pairs, gram_weights, jaccard_pairs
 
 
@@ -42,6 +43,13 @@ def scored_pairs(rows: DataFrame, title_least: float, desc_least: float, least_d
     )
 
 
+def saved_pairs(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table at ``path``; what ``build`` gives is written there first, unless a whole one is there already."""
+    if not exists(spark, f"{path}/_SUCCESS"):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def press_release_rule(gap: Column, cfg: PressRelease) -> Column:
     """title, desc, strong or border_title, border_desc; null: no relation. A null date makes no edge."""
     near = gap <= cfg.day_window
@@ -84,15 +92,13 @@ def top_edges(edges: DataFrame, k: int = 3) -> DataFrame:
     return best.select(F.least("node", "other").alias("i"), F.greatest("node", "other").alias("j"), "score").distinct()
 
 
-def numbered_clusters(members: DataFrame, kind: str = "c", start: int = 0, per_prefix: bool = False) -> DataFrame:
+def numbered_clusters(members: DataFrame, kind: str = "c", start: int = 0) -> DataFrame:
     """(row, cluster_id) of (row, component, prefix): numbered by prefix (by block, where there is one), then by first member.
-
-    The window runs over clusters, one row each, not over articles.
-    """
+"""
     block = ["block"] if "block" in members.columns else []
     clusters = members.groupBy("component", "prefix", *block).agg(F.min("row").alias("first"))
-    w = (Window.partitionBy("prefix") if per_prefix else Window.partitionBy()).orderBy(*([] if per_prefix else block or ["prefix"]), "first")
-    ids = clusters.withColumn("cluster_id", cluster_label(query_prefix(F.col("prefix")), kind, F.row_number().over(w) + start))
+    ids = row_numbers(clusters, [F.col((block or ["prefix"])[0]).asc(), F.col("first").asc()], "_n")
+    ids = ids.withColumn("cluster_id", cluster_label(query_prefix(F.col("prefix")), kind, F.col("_n") + start))
     return members.join(ids.select("component", "cluster_id"), "component").select("row", "cluster_id")
 
 
@@ -243,9 +249,11 @@ def merge_across(df: DataFrame, cfg: CrossMerge = CrossMerge(), start: int = 0,
     groups = cand.groupBy("component").agg(
         F.min("old").alias("least"), F.bool_or(F.col("source") == PRESS_RELEASE).alias("press"), F.min("row").alias("first")
     )
-    w = Window.partitionBy(F.col("least").isNull()).orderBy("first")
-    fresh = F.concat(F.lit("cross_m"), F.lpad((F.row_number().over(w) + start).cast("string"), 5, "0"))
-    groups = groups.select("component", F.coalesce("least", fresh).alias("target"), F.when(F.col("press"), PRESS_RELEASE).otherwise(SIMILAR_TOPIC).alias("label"))
+    groups = materialise(groups, "groups")
+    fresh = row_numbers(groups.where(F.col("least").isNull()), [F.col("first").asc()], "_n")
+    fresh = fresh.withColumn("least", F.concat(F.lit("cross_m"), F.lpad((F.col("_n") + start).cast("string"), 5, "0"))).drop("_n")
+    named = groups.where(F.col("least").isNotNull()).unionByName(fresh)
+    groups = named.select("component", F.col("least").alias("target"), F.when(F.col("press"), PRESS_RELEASE).otherwise(SIMILAR_TOPIC).alias("label"))
     by_row = parts.join(groups, "component").select(F.col("row").alias("_row"), "target", "label")
     by_cluster = cand.where(F.col("old").isNotNull()).join(groups, "component").select(F.col("old").alias("_old"), F.col("target").alias("_target"), F.col("label").alias("_label")).distinct()
     out = df.join(by_row, df["row"] == by_row["_row"], "left").join(by_cluster, df["cluster_id"] == by_cluster["_old"], "left")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..constants import UPSERT_FIELDS
 from ..functions.text import clean_invisible, header_key, non_blank
+from ..storage import materialise
 
 
 def keep_one(df: DataFrame, key: str, order: Sequence[Column], keep_blank: bool = False) -> DataFrame:
@@ -52,25 +53,25 @@ def dedupe_latest(df: DataFrame, ts: str = "pub_datetime", tie: str = "link") ->
     return latest.join(names, "pk", "left").withColumn("query", F.coalesce("_query", "query")).drop("_query")
 
 
-def number_rows(df: DataFrame, column: str, ts: str, tie: str, start: int | Column = 0) -> DataFrame:
-    """Rows without a number get one: start + 1, ... in (time, nulls last, tie) order; existing numbers stay.
+def row_numbers(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """``df`` with 1, 2, ... in ``order``, which should be unique, as ``name``.
 
     Ranks come from a range partitioning and per-partition counts, not from one task's window over all rows.
     """
-    have = df.withColumn(column, F.col(column).try_cast("bigint"))
-    todo = have.where(F.col(column).isNull()).drop(column)
-    order = [F.col(ts).asc_nulls_last(), F.col(tie)]
-    ranged = todo.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    ranged = ranged.withColumn("_at", F.monotonically_increasing_id() - F.shiftleft(F.col("_part").cast("long"), 33))
-    from ..storage import materialise
-
-    ranged = materialise(ranged, "ranged")
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    ranged = materialise(ranged.withColumn("_at", F.monotonically_increasing_id() - F.shiftleft(F.col("_part").cast("long"), 33)), "ranged")
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
     counts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return ranged.join(F.broadcast(counts), "_part").withColumn(name, (F.col("_before") + F.col("_at") + 1).cast("bigint")).drop("_part", "_at", "_before")
+
+
+def number_rows(df: DataFrame, column: str, ts: str, tie: str, start: int | Column = 0) -> DataFrame:
+    """Rows without a number get one: start + 1, ... in (time, nulls last, tie) order; existing numbers stay."""
+    have = df.withColumn(column, F.col(column).try_cast("bigint"))
+    todo = row_numbers(have.where(F.col(column).isNull()).drop(column), [F.col(ts).asc_nulls_last(), F.col(tie)], column)
     base = start if isinstance(start, Column) else F.lit(start)
-    numbered = ranged.join(F.broadcast(counts), "_part").withColumn(column, (base + F.col("_before") + F.col("_at") + 1).cast("bigint"))
-    return have.where(F.col(column).isNotNull()).unionByName(numbered.drop("_part", "_at", "_before"))
+    return have.where(F.col(column).isNotNull()).unionByName(todo.withColumn(column, (base + F.col(column)).cast("bigint")))
 
 
 def new_rows(df: DataFrame, known: DataFrame, key: str = "link") -> DataFrame:
@@ -92,7 +93,7 @@ def reset_where(df: DataFrame, targets: DataFrame, key: str = "link", column: st
 
 def islands(df: DataFrame, row: str) -> DataFrame:
     """Contiguous ranges (first_row, last_row, rows) of integer row numbers."""
-    ranked = df.select(F.col(row).alias("_r")).distinct().withColumn("_g", F.col("_r") - F.row_number().over(Window.orderBy("_r")))
+    ranked = row_numbers(df.select(F.col(row).alias("_r")).distinct(), [F.col("_r").asc()], "_n").withColumn("_g", F.col("_r") - F.col("_n"))
     return ranked.groupBy("_g").agg(F.min("_r").alias("first_row"), F.max("_r").alias("last_row"), F.count(F.lit(1)).alias("rows")).drop("_g")
 
 

@@ -17,6 +17,8 @@ from ..storage import materialise
 
 #: Rows of a block in one cell of the grid.
 CELL = 128
+#: Rows of the largest block that a grid may have: it compares all pairs.
+GRID_ROWS = 8192
 
 
 def gram_weights(df: DataFrame, block: str, row: str, text: str, least_df: int = 1) -> DataFrame:
@@ -46,15 +48,15 @@ def cosine_pairs(weights: DataFrame, least: float, strategy: str = "auto") -> Da
 
     prefix: candidates from rare grams, see ``_prefix_pairs``; best where texts share few grams. grid: all pairs of a
     block in cells of about 2 * CELL rows, by matrix products; best where a block's texts share most grams. auto
-    counts what the prefix join would make and takes the cheaper.
+    counts what the prefix join would make and takes the cheaper; a grid only where no block has over GRID_ROWS rows.
     """
     rest = materialise(_with_rest(weights), "weights")
     if strategy == "auto":
         prefix = rest.where(F.col("rest") >= least / 2).groupBy("block", "gram").agg(F.count(F.lit(1)).alias("n"))
         made = prefix.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0
         rows = rest.select("block", "row").distinct().groupBy("block").agg(F.count(F.lit(1)).alias("n"))
-        pairs = rows.agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0
-        strategy = "prefix" if made < 2 * pairs else "grid"
+        pairs, largest = rows.agg(F.sum(F.col("n") * F.col("n")), F.max("n")).first()
+        strategy = "prefix" if made < 2 * (pairs or 0) or (largest or 0) > GRID_ROWS else "grid"
     return _prefix_pairs(rest, least) if strategy == "prefix" else _grid_pairs(rest, least)
 
 

@@ -16,7 +16,7 @@ from ..functions.dates import parse_pubdate, pubdate_iso
 from ..functions.scores import cost
 from ..functions.text import article_id, cluster_number, non_blank, strip_html
 from ..operators import audit, classify, clusters, keyed, reports
-from ..sources.tables import Table, filter_by_best_date
+from ..sources.tables import Table, filter_by_best_date, on_or_after
 from ..storage import materialise
 from .runlog import RunLog
 
@@ -106,7 +106,7 @@ def run(
     if mode == "raw_only":
         return _finish(spark, log, tables, dry)
     result = tables["total_result"].read()
-    todo = audit.reprocess_targets(raw, result).where(parse_pubdate(F.col("pubDate")) >= F.to_timestamp(F.lit(settings.date_filter_start)))
+    todo = on_or_after(audit.reprocess_targets(raw, result), parse_pubdate(F.col("pubDate")), settings.date_filter_start)
     todo = materialise(todo if limit is None else todo.orderBy("link").limit(limit), "todo")
     targets = todo.count()
     log.log(reprocess_targets_total=targets)

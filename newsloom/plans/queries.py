@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..constants import AUDIT_FIELDS, PR_CATEGORIES
 from ..functions import dates, json, scores, text
 from ..operators import audit, classify, clusters, keyed, reports, similarity
+from ..storage import temporary
 from .articles import ARTICLES_SQL, LABELLED_SQL, articles, labelled, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,7 +36,8 @@ def _with(*parts: str) -> str:
 
 @query("SELECT lang AS query, count(*) AS articles FROM documents GROUP BY lang")
 def q01_articles_per_query(spark, d):
-    return table(spark, d, "documents").groupBy(F.col("lang").alias("query")).agg(F.count(F.lit(1)).alias("articles"))
+    counts = reports.value_counts(table(spark, d, "documents"), ["lang"])
+    return counts.select(F.col("value").alias("query"), F.col("n").alias("articles"))
 
 
 _STRIP = "trim(regexp_replace({}, '<[^>]+>', '', 'g'), e' \\t\\n\\r')"
@@ -186,7 +188,9 @@ def q17_reset_on_key(spark, d):
 
 @query("SELECT count(*) AS kept, min(o_orderdate)::VARCHAR AS first_date FROM orders WHERE o_orderdate >= TIMESTAMP '1997-02-01'")
 def q18_date_cutoff(spark, d):
-    kept = table(spark, d, "orders").where(F.col("o_orderdate") >= F.to_timestamp(F.lit("1997-02-01")))
+    from ..sources.tables import on_or_after
+
+    kept = on_or_after(table(spark, d, "orders"), F.col("o_orderdate"), "1997-02-01")
     return kept.agg(F.count(F.lit(1)).alias("kept"), F.date_format(F.min("o_orderdate"), "yyyy-MM-dd HH:mm:ss").alias("first_date"))
 
 
@@ -231,7 +235,7 @@ _UPSERT = """old AS (
 new AS (
   SELECT o_orderkey AS row_pos, CASE WHEN o_orderkey % 101 = 0 THEN '' ELSE o_orderkey::VARCHAR END AS link, 'T' || o_orderpriority AS title,
          CASE WHEN o_orderkey % 5 = 0 THEN '' WHEN o_orderkey % 7 = 0 THEN 'Z' ELSE o_orderstatus END AS source, 'm' AS month
-  FROM orders WHERE o_orderkey % 4 < 2),
+  FROM orders WHERE o_orderkey % 4 <> 2),
 probe AS (
   SELECT new.*, old.row_pos AS old_pos, old.title AS old_title, old.source AS old_source,
          CASE WHEN old.row_pos IS NULL THEN 'added' WHEN (new.source <> '' AND new.source <> old.source) OR new.month <> '' THEN 'updated' ELSE 'skipped' END AS action
@@ -242,7 +246,7 @@ def _upsert(spark, d):
     o = table(spark, d, "orders")
     key, status = F.col("o_orderkey"), F.col("o_orderstatus")
     old = o.where(key % 2 == 0).select(key.alias("row_pos"), key.cast("string").alias("﻿Link "), F.col("o_orderpriority").alias("title"), F.when(key % 3 == 0, "").otherwise(status).alias("source"))
-    new = o.where(key % 4 < 2).select(
+    new = o.where(key % 4 != 2).select(
         key.alias("row_pos"), F.when(key % 101 == 0, "").otherwise(key.cast("string")).alias("link"), F.concat(F.lit("T"), "o_orderpriority").alias("title"),
         F.when(key % 5 == 0, "").when(key % 7 == 0, "Z").otherwise(status).alias("source"), F.lit("m").alias("month"),
     )
@@ -651,7 +655,22 @@ def q48_log_odds_keywords(spark, d):
     return reports.log_odds_keywords(labelled(spark, d), "query", reports.word_list(F.col("text")))
 
 
-@query()
+_KEYWORD_SETS = ["sentiment_stage", "danger_level", "news_category", "brand_relevance"]
+_KEYWORD_TABLE = [
+    _KEYWORDS.replace("SELECT query AS category", f"SELECT {c} AS category").replace("FROM labelled", f"FROM labelled WHERE {c} <> ''").replace(
+        "flat AS", f"flat{i} AS").replace("cnt AS", f"cnt{i} AS").replace("tot AS", f"tot{i} AS").replace("wrd AS", f"wrd{i} AS").replace("whole AS", f"whole{i} AS").replace("odds AS", f"odds{i} AS")
+    .replace("FROM flat", f"FROM flat{i}").replace("FROM cnt", f"FROM cnt{i} cnt").replace("FROM wrd", f"FROM wrd{i}").replace("JOIN wrd ON", f"JOIN wrd{i} wrd ON").replace("JOIN tot ON", f"JOIN tot{i} tot ON").replace(", whole WHERE", f", whole{i} WHERE")
+    for i, c in enumerate(_KEYWORD_SETS)
+]
+
+
+@query(
+    _with(LABELLED_SQL, *_KEYWORD_TABLE)
+    + "\nUNION ALL ".join(
+        f"""SELECT '{c}' AS category_type, * FROM (SELECT category, row_number() OVER (PARTITION BY category ORDER BY log_odds_score DESC, keyword)::INT AS rank, keyword, log_odds_score FROM odds{i}) WHERE rank <= 20"""
+        for i, c in enumerate(_KEYWORD_SETS)
+    )
+)
 def q49_keyword_table(spark, d):
     return reports.keyword_table(labelled(spark, d), reports.word_list(F.col("text")))
 
@@ -664,9 +683,13 @@ def _bucket_sql(t: str, tj: str, dd: str, dj: str) -> str:
 WHEN t_cos >= 0.58 AND t_cos < {t} AND t_jac >= 0.2 THEN 'border_title' WHEN d_cos >= 0.48 AND d_cos < {dd} AND d_jac >= 0.12 THEN 'border_desc' ELSE 'no_merge' END"""
 
 
+_PAIRS: dict[tuple[str, str], str] = {}
+
+
 def _tuner_pairs(spark, d):
-    """Pair scores of one language's articles with a cosine of 0.3 or more in either channel."""
-    return clusters.scored_pairs(clusters.comparable(articles(spark, d)), 0.3, 0.3, 1)
+    """Pair scores of one language's articles with a cosine of 0.3 or more in either channel; scored once a session."""
+    path = _PAIRS.setdefault((spark.sparkContext.applicationId, d), temporary(spark, "pairs"))
+    return clusters.saved_pairs(spark, path, lambda: clusters.scored_pairs(clusters.comparable(articles(spark, d)), 0.3, 0.3, 1))
 
 
 @query(
@@ -717,7 +740,7 @@ def q53_merge_reasoning(spark, d):
 
 @query("SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events")
 def q54_json_props(spark, d):
-    return table(spark, d, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+    return table(spark, d, "events").select("event_id", json.decode(F.col("props"), "k bigint")["k"].alias("k"))
 
 
 @query("""SELECT item_id, item_id::VARCHAR AS cluster_id, 's' || item_id AS summary FROM benchmark""")
@@ -779,6 +802,223 @@ def q61_streaming_upsert(spark, d):
     return latest_by_key(spark, f"{d}/events.parquet", table(spark, d, "events").schema, "user_id", ["ts", "event_id"], ["event_type"])
 
 
+# ---- keys, tables, formats ------------------------------------------------------------------------------------------
+
+
+@query("SELECT DISTINCT source AS link FROM documents WHERE source <> ''")
+def q62_known_keys(spark, d):
+    from ..sources.tables import known_keys
+
+    return known_keys(table(spark, d, "documents").select(F.concat(F.lit("﻿ "), "source").alias("﻿LINK ")))
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)")
+def q63_selected_rows(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "source")
+    return keyed.selected_rows(docs, table(spark, d, "labels").where("toxic = 1"), "doc_id")
+
+
+@query(
+    """SELECT first(doc_id ORDER BY side, doc_id) AS doc_id, source, first(side ORDER BY side, doc_id) AS side FROM (
+SELECT doc_id, source, doc_id % 2 AS side FROM documents) GROUP BY source"""
+)
+def q64_merge_keep_first(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "source", (F.col("doc_id") % 2).alias("side"))
+    return keyed.merge_keep(docs.where("side = 0"), docs.where("side = 1"), "source", "doc_id", last=False)
+
+
+@query(
+    """SELECT doc_id FROM (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '2026-01-01' WHEN 1 THEN chr(65279) WHEN 2 THEN NULL ELSE 'x' END AS c,
+CASE WHEN doc_id % 5 = 0 THEN '' ELSE substr(md5(source), 1, 12) END AS a FROM documents) WHERE NOT (length(coalesce(replace(c, chr(65279), ''), '')) > 1) AND length(a) >= 6"""
+)
+def q65_needs_classification(spark, d):
+    at = F.col("doc_id") % 4
+    rows = table(spark, d, "documents").select(
+        "doc_id", F.when(at == 0, "2026-01-01").when(at == 1, "﻿").when(at == 3, "x").alias("classified_at"),
+        F.when(F.col("doc_id") % 5 == 0, "").otherwise(text.article_id(F.col("source"))).alias("article_id"),
+    )
+    return rows.where(classify.needs_classification()).select("doc_id")
+
+
+@query("SELECT doc_id, source AS link, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE lang END AS query FROM documents")
+def q66_clean_table(spark, d):
+    from ..sources.tables import clean_table
+
+    rows = table(spark, d, "documents").select(
+        "doc_id", F.concat(F.lit("﻿ "), "source", F.lit("​")).alias("link"), F.when(F.col("doc_id") % 3 != 0, F.concat(F.lit("­"), "lang")).alias("query")
+    )
+    return clean_table(rows)[0]
+
+
+@query("SELECT 2 * count(*) - count(*) FILTER (WHERE doc_id % 3 = 0) AS changed FROM documents")
+def q67_changed_cells(spark, d):
+    from ..sources.tables import clean_table
+
+    rows = table(spark, d, "documents").select(
+        F.concat(F.lit("﻿ "), "source", F.lit("​")).alias("link"), F.when(F.col("doc_id") % 3 != 0, F.concat(F.lit("­"), "lang")).alias("query")
+    )
+    return clean_table(rows)[1]
+
+
+@query("""SELECT doc_id, CASE WHEN lang = 'en' THEN '자사' WHEN lang = 'de' THEN '경쟁사' ELSE lang END AS "group" FROM documents""")
+def q68_migrate_groups(spark, d):
+    from ..sources.tables import migrate_group_labels
+
+    old = F.when(F.col("lang") == "en", " OUR").when(F.col("lang") == "de", "competitor").otherwise(F.col("lang"))
+    return migrate_group_labels(table(spark, d, "documents").select("doc_id", old.alias("group")))
+
+
+@query(_with(_AUDIT) + """SELECT link, bool_or(brand_relevance = '' OR sentiment_stage = chr(65279) OR date_only IS NULL) AS missing FROM result GROUP BY link""")
+def q69_analysis_status(spark, d):
+    return audit.analysis_status(_audit_result(spark, d), AUDIT_FIELDS)
+
+
+@query("""SELECT o_orderkey, (o_orderdate::DATE)::VARCHAR AS own_date, o_orderdate::DATE - DATE '1997-02-01' AS days FROM orders""")
+def q70_local_dates(spark, d):
+    own = dates.local_date(F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+09:00")))
+    rows = table(spark, d, "orders").select("o_orderkey", own.alias("own"))
+    return rows.select("o_orderkey", F.col("own").cast("string").alias("own_date"), F.datediff("own", F.lit("1997-02-01").cast("date")).cast("long").alias("days"))
+
+
+@query("""SELECT source, to_json(list_sort(list_distinct(list(lang))))::VARCHAR AS queries FROM documents GROUP BY source""")
+def q71_encode_list(spark, d):
+    grouped = table(spark, d, "documents").groupBy("source").agg(F.array_sort(F.collect_set("lang")).alias("l"))
+    return grouped.select("source", json.encode_list(F.col("l")).alias("queries"))
+
+
+@query("""SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY ALL""")
+def q72_windowed_counts(spark, d):
+    from ..streaming.ingest import windowed_counts
+
+    out = windowed_counts(table(spark, d, "events"), "ts", "event_type")
+    return out.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+
+
+@query("SELECT doc_id, source, lang FROM documents UNION ALL SELECT doc_id, source, NULL FROM documents")
+def q73_table_append(spark, d):
+    from ..sources.tables import Table
+
+    kept = Table(spark, temporary(spark, "table"))
+    docs = table(spark, d, "documents").select("doc_id", "source", "lang")
+    kept.overwrite(docs)
+    kept.append(docs.drop("lang"))
+    return kept.read()
+
+
+@query("SELECT doc_id::VARCHAR AS doc_id, source, lang FROM documents")
+def q74_csv_round_trip(spark, d):
+    from ..sources.tables import read_strings, write_csv
+
+    path = temporary(spark, "csv")
+    docs = table(spark, d, "documents").select("doc_id", F.concat("source", F.lit("​")).alias("source"), "lang")
+    write_csv(docs, f"{path}/inner")
+    return read_strings(spark, path, recursive=True)
+
+
+@query(
+    """SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey::VARCHAR) AS article_no,
+substr(md5(o_orderkey::VARCHAR), 1, 12) AS article_id, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '+09:00' AS pub_datetime, o_orderpriority AS title FROM orders"""
+)
+def q75_normalise(spark, d):
+    from .coverage import normalise
+
+    raw = table(spark, d, "orders").select(
+        "o_orderkey", F.col("o_orderkey").cast("string").alias("link"), F.concat(F.lit("<b>"), "o_orderpriority", F.lit("</b>")).alias("title"), F.lit("").alias("description"),
+        F.concat(F.date_format("o_orderdate", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0900")).alias("pubDate"),
+    )
+    return normalise(raw).select("o_orderkey", "article_no", "article_id", "pub_datetime", "title")
+
+
+@query(
+    _with(LABELLED_SQL)
+    + f""", first AS (SELECT outlet, arg_min(struct_pack(b := brand_relevance, s := sentiment_stage, c := news_category), "row") AS f FROM labelled GROUP BY outlet)
+SELECT l."row", CASE WHEN coalesce(f.b, '') = '' OR f.b = '판단 필요' THEN '보도자료' WHEN f.b = '관련' AND f.s IN ('부정 후보', '부정 확정') THEN '유사주제'
+WHEN f.b = '관련' AND f.s = '긍정' THEN '보도자료' WHEN f.b = '관련' AND f.s = '중립' AND f.c IN ({_PR}) THEN '보도자료' ELSE '유사주제' END AS source FROM labelled l JOIN first ON first.outlet = l.outlet"""
+)
+def q76_verify_clusters(spark, d):
+    rows = labelled(spark, d).withColumns({"source": F.lit("보도자료"), "cluster_id": F.col("outlet")})
+    return classify.verify_clusters(rows).select("row", "source")
+
+
+_WORDS = """rated AS (SELECT "row", query, lower(title || ' ' || description) AS t, title, pub_datetime FROM articles),
+labels_ AS (SELECT "row", CASE WHEN trim(t) = '' THEN '판단 필요' WHEN query <> '' AND contains(t, query) THEN '관련' ELSE '언급' END AS brand_relevance,
+  CASE WHEN {severe} THEN '부정 확정' WHEN {negative} THEN '부정 후보' WHEN {positive} THEN '긍정' ELSE '중립' END AS sentiment_stage,
+  CASE WHEN {negative} THEN '리스크/위기' ELSE 'PR/보도자료' END AS news_category,
+  CASE WHEN NOT ({severe} OR {negative}) THEN '' WHEN {severe} THEN '상' ELSE '중' END AS danger_level FROM rated)""".format(
+    **{k: "(" + " OR ".join(f"contains(t, '{w}')" for w in getattr(classify.RuleClassifier, k)) + ")" for k in ("severe", "negative", "positive")}
+)
+
+
+def _unlabelled(spark, d):
+    return articles(spark, d).withColumns({"article_id": text.article_id(F.col("link")), "classified_at": F.lit("")})
+
+
+@query(_with(ARTICLES_SQL, _WORDS) + """SELECT "row", brand_relevance, sentiment_stage, news_category, danger_level, 'now' AS classified_at FROM labels_""")
+def q77_classify_articles(spark, d):
+    out = classify.classify_articles(_unlabelled(spark, d), classify.RuleClassifier(), "now")
+    return out.select("row", "brand_relevance", "sentiment_stage", "news_category", "danger_level", "classified_at")
+
+
+@query(
+    _with(ARTICLES_SQL, _WORDS)
+    + """, reps AS (SELECT "row", c FROM (SELECT "row", query || ("row" % 20) AS c, row_number() OVER (PARTITION BY query || ("row" % 20) ORDER BY pub_datetime NULLS LAST, "row") AS r FROM rated) WHERE r = 1)
+SELECT a."row", l.brand_relevance, l.sentiment_stage, l.danger_level, l.news_category FROM rated a LEFT JOIN (
+  SELECT c, l.* FROM reps JOIN labels_ l ON l."row" = reps."row") l ON l.c = a.query || (a."row" % 20)"""
+)
+def q78_classify_press_releases(spark, d):
+    rows = _unlabelled(spark, d).withColumns({"source": F.lit("보도자료"), "cluster_id": F.concat("query", (F.col("row") % 20).cast("string"))})
+    out = classify.classify_press_releases(rows, classify.RuleClassifier(), "now")
+    return out.select("row", "brand_relevance", "sentiment_stage", "danger_level", "news_category")
+
+
+@query(
+    _with(ARTICLES_SQL)
+    + """SELECT a."row", CASE WHEN c = '' THEN '' ELSE coalesce(first_value(s) OVER w, '') END AS cluster_summary FROM (
+SELECT *, CASE WHEN "row" % 4 = 0 THEN '' ELSE query || ("row" % 20) END AS c, substr(title, 1, 15) AS s FROM articles) a WINDOW w AS (PARTITION BY c ORDER BY pub_datetime NULLS LAST, "row")"""
+)
+def q79_summarise_clusters(spark, d):
+    cluster = F.when(F.col("row") % 4 == 0, "").otherwise(F.concat("query", (F.col("row") % 20).cast("string")))
+    out = classify.summarise_clusters(articles(spark, d).withColumns({"cluster_id": cluster, "cluster_summary": F.lit("")}))
+    return out.select("row", "cluster_summary")
+
+
+_JUDGED = """border AS (SELECT i, j FROM tp WHERE jaccard >= 0.35 AND jaccard < 0.5 UNION SELECT j, i FROM tp WHERE jaccard >= 0.35 AND jaccard < 0.5),
+breach AS (SELECT i AS "row", i AS r FROM border UNION SELECT breach."row", border.j FROM breach JOIN border ON breach.r = border.i),
+bcomp AS (SELECT "row", min(r) AS component FROM breach GROUP BY "row"),
+breps AS (SELECT component, "row" FROM (SELECT component, a."row", row_number() OVER (PARTITION BY component ORDER BY pub_datetime IS NULL, pub_datetime, length(title) + length(description) DESC, a."row") AS r
+  FROM bcomp JOIN articles a ON a."row" = bcomp."row") WHERE r = 1),
+sure AS (SELECT i, j FROM tp WHERE jaccard >= 0.5 UNION SELECT bcomp.component, bcomp."row" FROM bcomp JOIN breps ON breps.component = bcomp.component AND breps."row" % 2 = 0 WHERE bcomp."row" <> bcomp.component),
+links AS (SELECT i, j FROM sure UNION SELECT j, i FROM sure),
+reach AS (SELECT i AS "row", i AS r FROM links UNION SELECT reach."row", links.j FROM reach JOIN links ON reach.r = links.i),
+comp AS (SELECT "row", min(r) AS component FROM reach GROUP BY "row"),
+tops AS (SELECT query, max("row" % 4) AS top FROM m WHERE cluster_id <> '' GROUP BY query),
+ids AS (SELECT component, x.query || '_t' || lpad((row_number() OVER (PARTITION BY x.query ORDER BY component) + coalesce(top, 0))::VARCHAR, 5, '0') AS id
+  FROM (SELECT DISTINCT component, query FROM comp JOIN m ON m."row" = comp."row") x LEFT JOIN tops ON tops.query = x.query)"""
+
+
+@query(
+    _with(ARTICLES_SQL, _TOPIC, _JUDGED)
+    + """SELECT m."row", coalesce(id, cluster_id) AS cluster_id, CASE WHEN id IS NOT NULL THEN '유사주제' ELSE source END AS source
+FROM m LEFT JOIN comp ON comp."row" = m."row" LEFT JOIN ids ON ids.component = comp.component"""
+)
+def q80_topic_groups_judged(spark, d):
+    a = articles(spark, d).select("row", "group", "title", "description", "pub_datetime")
+    rows = _for_topics(spark, d).join(a, "row")
+    judge = lambda reps: reps.where("row % 2 = 0").select("row")
+    return clusters.group_topics(rows, judge=judge).select("row", "cluster_id", "source")
+
+
+@query(
+    """SELECT doc_id, 'pass' AS gate FROM documents WHERE lang = 'en'"""
+)
+def q81_component_gate(spark, d):
+    rows = table(spark, d, "documents").select(
+        "doc_id", F.when(F.col("lang").isin("en", "de"), "관련").otherwise("무관").alias("brand_relevance"),
+        F.when(F.col("lang") == "de", "부정 확정").otherwise("중립").alias("sentiment_stage"), F.lit("시설/오픈").alias("news_category"),
+    )
+    return rows.where(classify.component_gate("press_release")).select("doc_id", F.lit("pass").alias("gate"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Press-release clusters of the articles."""
     return q32_press_release_clusters(spark, sf_dir)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import COMPETITOR, DATE_COLUMNS, OUR
@@ -109,6 +109,11 @@ def max_counters(df: DataFrame) -> DataFrame:
     return df.agg(F.max(number).alias("max_cluster"), F.max(F.col("article_no").try_cast("bigint")).alias("max_article"))
 
 
+def on_or_after(df: DataFrame, instant: Column, cutoff: str) -> DataFrame:
+    """Rows whose time is ``cutoff`` or later; rows without a time go."""
+    return df.where(instant >= F.to_timestamp(F.lit(cutoff)))
+
+
 def filter_by_best_date(df: DataFrame, cutoff: str, columns: Sequence[str] = tuple(DATE_COLUMNS)) -> DataFrame:
     """Rows on or after ``cutoff`` by the candidate column with most kept, then most valid dates; ties: the first."""
     have = [c for c in columns if c in df.columns]
@@ -118,7 +123,7 @@ def filter_by_best_date(df: DataFrame, cutoff: str, columns: Sequence[str] = tup
     marks = [x for c in have for x in (F.count_if(to_instant(F.col(c)) >= day).alias(f"k_{c}"), F.count(to_instant(F.col(c))).alias(f"v_{c}"))]
     got = df.agg(*marks).first()
     best = max(have, key=lambda c: (got[f"k_{c}"], got[f"v_{c}"], -have.index(c)))
-    return df.where(to_instant(F.col(best)) >= day)
+    return on_or_after(df, to_instant(F.col(best)), cutoff)
 
 
 def migrate_group_labels(df: DataFrame) -> DataFrame:
