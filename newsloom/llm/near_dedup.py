@@ -425,7 +425,8 @@ def near_groups(
     classes = rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("least"))
     named = classes.join(final.withColumnRenamed("node", "class"), "class", "left")
     named = materialise(named.withColumn("component", F.coalesce("component", "class")), "classes")
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    # written, so that the join of a large component can be split
+    least = materialise(named.groupBy("component").agg(F.min("least").alias("component_id")), "component_ids")
     ids = named.join(least, "component").select("class", "component_id")
     out = rows.drop("regs").join(ids, "class", "left")
     return out.select(
