@@ -58,6 +58,9 @@ REASONING_COLUMNS = [
     "article_id", "classified_at", "article_subject", "brand_role", "subject_test", "sentiment_rationale",
     "news_category_rationale", "severity_analysis", "attribution_analysis", "spread_signals", "final_judgment",
 ]
+# Names of the link and of the brand column, in order of preference.
+ORIGINAL_LINK_NAMES = ["originallink", "original_link", "original link"]
+BRAND_NAMES = ["brand_relevance", "brand relevance"]
 FIRST_REASONS, SECOND_REASONS = REASONING_COLUMNS[2:7], REASONING_COLUMNS[7:]
 LOG_COLUMNS = ["run_id", "timestamp", "category", "stage", "message", "data_json"]
 KEYWORD_COLUMNS = ["sentiment_stage", "danger_level", "issue_category", "news_category", "brand_relevance"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -155,6 +157,14 @@ def header_key(name: str) -> str:
     return re.sub(pattern, "", name or "").strip().lower()
 
 
+def find_column(names: Iterable[str], candidates: Sequence[str]) -> str | None:
+    """The first of ``names`` that is the first possible of ``candidates``, compared by ``header_key``; None if none is."""
+    known: dict[str, str] = {}
+    for n in names:
+        known.setdefault(header_key(n), n)
+    return next((known[header_key(c)] for c in candidates if header_key(c) in known), None)
+
+
 def column_letter(n: int) -> str:
     """1 -> A, 27 -> AA."""
     out = ""

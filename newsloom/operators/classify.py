@@ -14,7 +14,7 @@ from ..constants import (
 )
 from ..functions.text import clean_invisible, non_blank
 from ..storage import materialise
-from .clusters import Judge, first_summary, group_topics, merge_across, propagate, representatives
+from .clusters import Judge, first_summary, first_values, group_topics, merge_across, propagate, representatives
 
 LABELS = "brand_relevance string, brand_relevance_query_keywords array<string>, sentiment_stage string, news_category string, news_keyword_summary string"
 DANGER = "danger_level string, issue_category string"
@@ -203,22 +203,54 @@ def verify_and_regroup(df: DataFrame, classifier: Classifier | None = None) -> D
 
 
 def summarise_clusters(df: DataFrame, summarise: Callable[[Column], Column] | None = None) -> DataFrame:
-    """Clusters without any summary get one from their earliest article: ``summarise``, else its title's first 15 characters."""
+    """Clusters without any summary get one from their earliest title: ``summarise``, else its first 15 characters."""
     df = df if "cluster_summary" in df.columns else df.withColumn("cluster_summary", F.lit(None).cast("string"))
     make = summarise or (lambda title: F.substring(F.coalesce(title, F.lit("")), 1, 15))
     clustered = df.where(non_blank(F.col("cluster_id")).isNotNull())
     with_any = clustered.where(non_blank(F.col("cluster_summary")).isNotNull()).select("cluster_id").distinct()
-    reps = representatives(clustered.join(with_any, "cluster_id", "left_anti"), "cluster_id", "pub_datetime", "row")
+    reps = first_values(clustered.join(with_any, "cluster_id", "left_anti"), "cluster_id", "pub_datetime", "row", ["title"])
     fresh = reps.select("cluster_id", make(F.col("title")).alias("cluster_summary"))
     return first_summary(propagate(df, fresh, "cluster_id", ["cluster_summary"]), "cluster_id", "cluster_summary", "row")
 
 
-def other_articles(df: DataFrame, least: int = 3) -> DataFrame:
+def other_articles(df: DataFrame, least: int = 3, category: str = "issue_category") -> DataFrame:
     """Articles of the category for everything else, if there are ``least`` or more of them."""
-    other = df.where(F.col("news_category") == OTHER_CATEGORY)
+    other = df.where(F.col(category) == OTHER_CATEGORY)
     return other.crossJoin(F.broadcast(other.agg(F.count(F.lit(1)).alias("_n")))).where(F.col("_n") >= least).drop("_n")
 
 
+SUGGESTION = "category_name string, count bigint, rationale string, article_ids array<string>"
+
+
+def discover_categories(df: DataFrame, suggest: Callable[[list[str]], list[dict] | None], least: int = 3, batch: int = 500) -> DataFrame:
+    """New categories that ``suggest`` proposes for the articles that fit none: SUGGESTION's columns.
+
+    ``suggest`` gets one line an article ("- [id] title / summary", else the description's first 80 characters) in Arrow
+    batches of at most ``batch`` lines, as much as a model's prompt holds; no answer proposes nothing. Proposals of one
+    name are added up, with the rationale that sorts first. Fewer than ``least`` articles, or no column of issue
+    categories, give no rows. A name that is blank or the category for everything else is left out.
+    """
+    import pandas as pd
+
+    if "issue_category" not in df.columns:
+        return df.sparkSession.createDataFrame([], SUGGESTION)
+    text = lambda c: F.coalesce(F.col(c), F.lit("")) if c in df.columns else F.lit("")
+    detail = F.coalesce(non_blank(text("news_keyword_summary")), F.substring(text("description"), 1, 80))
+    lines = other_articles(df, least).select(F.concat(F.lit("- ["), text("article_id"), F.lit("] "), text("title"), F.lit(" / "), detail).alias("line"))
+
+    def ask(frames):
+        for f in frames:
+            for at in range(0, len(f), batch):
+                got = suggest(f["line"].iloc[at : at + batch].tolist()) or []
+                rows = [(g.get("category_name"), int(g.get("count") or 0), g.get("rationale") or "", list(g.get("article_ids") or [])) for g in got]
+                yield pd.DataFrame(rows, columns=["category_name", "count", "rationale", "article_ids"])
+
+    each = materialise(lines.mapInPandas(ask, SUGGESTION), "suggestions")
+    each = each.where(non_blank(F.col("category_name")).isNotNull() & (F.col("category_name") != OTHER_CATEGORY))
+    ids = F.array_sort(F.array_distinct(F.flatten(F.collect_list("article_ids"))))
+    return each.groupBy("category_name").agg(F.sum("count").alias("count"), F.min("rationale").alias("rationale"), ids.alias("article_ids"))
+
+
 def response_schema(second: bool = False) -> dict:
     """JSON schema of a model's answer for either pass, with the labels as enumerations."""
     text = {"type": "string"}

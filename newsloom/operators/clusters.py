@@ -161,6 +161,15 @@ def representatives(df: DataFrame, group: str, ts: str, tie: str) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
 
 
+def first_values(df: DataFrame, group: str, ts: str, tie: str, columns: list[str]) -> DataFrame:
+    """Each group's first non-null value of every column by time (nulls last), then ``tie``; null if it has none.
+
+    One map-side combined aggregate: no group gathers in a task.
+    """
+    at = F.struct(F.col(ts).isNull().alias("late"), F.col(ts).alias("ts"), F.col(tie).alias("tie"))
+    return df.groupBy(group).agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in columns])
+
+
 def longest_representatives(df: DataFrame, group: str, ts: str, tie: str) -> DataFrame:
     """Dated rows first, then the earliest, then the one with the longest title and description."""
     size = F.char_length(F.coalesce("title", F.lit(""))) + F.char_length(F.coalesce("description", F.lit("")))

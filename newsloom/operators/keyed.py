@@ -91,6 +91,16 @@ def reset_where(df: DataFrame, targets: DataFrame, key: str = "link", column: st
     return joined.withColumn(column, F.when(F.col("_hit"), "").otherwise(F.col(column))).drop("_key", "_hit")
 
 
+def attach(df: DataFrame, source: DataFrame, columns: Sequence[str], key: str = "link") -> DataFrame:
+    """``df`` with ``columns`` taken from the row of ``source`` with its key, in place of its own; '' where there is none.
+
+    A key that ``source`` repeats gives a row for each of its rows; null keys match nothing.
+    """
+    right = source.select(F.col(key).alias("_key"), *columns)
+    out = df.drop(*columns).join(right, df[key] == right["_key"], "left").drop("_key")
+    return out.fillna("", subset=list(columns))
+
+
 def islands(df: DataFrame, row: str) -> DataFrame:
     """Contiguous ranges (first_row, last_row, rows) of integer row numbers."""
     ranked = row_numbers(df.select(F.col(row).alias("_r")).distinct(), [F.col("_r").asc()], "_n").withColumn("_g", F.col("_r") - F.col("_n"))

@@ -178,6 +178,8 @@ def main(argv: list[str] | None = None) -> None:
     log = run(spark, a.store, run_mode(a.dry_run, a.raw_only, a.preprocess_only, a.recheck_only), settings=load_settings(a.settings), now=a.now, limit=a.limit)
     for k, v in log.metrics.items():
         print(f"{k}: {v}")
+    if "total_result_count" in log.metrics:
+        print(reports.headline(log.metrics))
 
 
 if __name__ == "__main__":

@@ -606,7 +606,7 @@ def q43_negative_gate(spark, d):
 
 @query(_with(LABELLED_SQL) + """SELECT "row" FROM labelled WHERE news_category = '기타' AND (SELECT count(*) FROM labelled WHERE news_category = '기타') >= 3""")
 def q44_other_articles(spark, d):
-    return classify.other_articles(labelled(spark, d)).select("row")
+    return classify.other_articles(labelled(spark, d), category="news_category").select("row")
 
 
 # ---- reports --------------------------------------------------------------------------------------------------------------
@@ -1019,6 +1019,50 @@ def q81_component_gate(spark, d):
     return rows.where(classify.component_gate("press_release")).select("doc_id", F.lit("pass").alias("gate"))
 
 
+@query(
+    _with(*_TUNER_CTES)
+    + f"""SELECT bucket, i, j FROM (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY md5('42:' || i || ':' || j), i, j) AS r FROM (
+SELECT i, j, {_bucket_sql("0.65", "0.15", "0.55", "0.08")} AS bucket FROM pairs)) WHERE r <= 5"""
+)
+def q82_bucket_sample(spark, d):
+    return reports.bucket_sample(_tuner_pairs(spark, d), reports.default_bucket()).select("bucket", "i", "j")
+
+
+@query(_with(_DUPES) + "SELECT row_idx, link FROM dupes WHERE row_idx NOT IN (SELECT row_idx FROM losers)")
+def q83_delete_duplicates(spark, d):
+    from ..sources.tables import Table
+
+    rows = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
+    stored = Table(spark, temporary(spark, "duplicates"))
+    stored.overwrite(
+        rows.select((F.col("doc_id") + 2).alias("row_pos"), F.col("source").alias("Original Link"), F.when(F.col("quality") == 1, "x").otherwise("").alias("brand_relevance"))
+    )
+    stored.delete_duplicates()
+    return stored.read().select(F.col("row_pos").alias("row_idx"), F.col("Original Link").alias("link"))
+
+
+@query(
+    """WITH x AS (SELECT conv_id, turn, nullif(turn, 1) AS t, CASE WHEN turn % 2 = 0 THEN length(text) END AS n, role FROM conversations)
+SELECT conv_id, first(n ORDER BY t NULLS LAST, turn) FILTER (WHERE n IS NOT NULL) AS n, first(role ORDER BY t NULLS LAST, turn) FILTER (WHERE role IS NOT NULL) AS role
+FROM x GROUP BY conv_id"""
+)
+def q84_first_values(spark, d):
+    x = table(spark, d, "conversations").select(
+        "conv_id", "turn", F.when(F.col("turn") != 1, F.col("turn")).alias("t"), F.when(F.col("turn") % 2 == 0, F.char_length("text").cast("long")).alias("n"), "role"
+    )
+    return clusters.first_values(x, "conv_id", "t", "turn", ["n", "role"])
+
+
+@query(
+    """SELECT d.doc_id, coalesce(l.quality::VARCHAR, '') AS quality, coalesce(l.toxic::VARCHAR, '') AS toxic
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"""
+)
+def q85_attach(spark, d):
+    labels = table(spark, d, "labels").select("doc_id", F.col("quality").cast("string").alias("quality"), F.col("toxic").cast("string").alias("toxic"))
+    docs = table(spark, d, "documents").select("doc_id", F.lit("old").alias("quality"))
+    return keyed.attach(docs, labels, ["quality", "toxic"], "doc_id")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Press-release clusters of the articles."""
     return q32_press_release_clusters(spark, sf_dir)

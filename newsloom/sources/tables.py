@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import COMPETITOR, DATE_COLUMNS, OUR
+from ..constants import BRAND_NAMES, COMPETITOR, DATE_COLUMNS, ORIGINAL_LINK_NAMES, OUR
 from ..functions.dates import to_instant
-from ..functions.text import clean_invisible, header_key
-from ..operators.keyed import keep_one, upsert
-from ..storage import exists
+from ..functions.text import clean_invisible, find_column, header_key
+from ..operators.keyed import align_headers, duplicate_losers, keep_one, upsert
+from ..storage import exists, materialise
 
 
 class Table:
@@ -74,6 +74,52 @@ class Table:
         return {"before": before, "after": after, "removed": before - after}
 
 
+    def delete(self, rows: DataFrame, row: str = "row_pos", dry_run: bool = False, attempts: int = 3) -> tuple[int, bool]:
+        """(rows deleted, whether it was given up): a snapshot without the rows whose position is in ``rows``.
+
+        A dry run counts only. A snapshot counts whole or not at all, so a failed write is done again; after
+        ``attempts`` of them nothing is deleted and the table stays as it was.
+        """
+        old = self.read()
+        if old is None:
+            return 0, False
+        gone = materialise(rows.select(row).distinct(), "deleted")
+        n = old.join(gone, row, "left_semi").count()
+        if dry_run or not n:
+            return n, False
+        for _ in range(attempts):
+            try:
+                self.overwrite(old.join(gone, row, "left_anti"))
+                return n, False
+            except Exception:  # whatever the store answers
+                continue
+        return 0, True
+
+    def delete_duplicates(self, row: str = "row_pos", last: bool = False, dry_run: bool = False) -> tuple[int, bool]:
+        """Deletes what ``duplicate_losers`` finds by original link; without such a column, or a table, nothing.
+
+        Without a brand column the order of rows alone decides.
+        """
+        old = self.read()
+        link = find_column(old.columns, ORIGINAL_LINK_NAMES) if old is not None else None
+        if link is None:
+            return 0, False
+        brand = find_column(old.columns, BRAND_NAMES)
+        own = old.select(row, F.col(f"`{link}`").alias("_link"), (F.col(f"`{brand}`") if brand else F.lit("")).alias("_brand"))
+        return self.delete(duplicate_losers(own, "_link", "_brand", row, last), row, dry_run)
+
+    def backfill(self, columns: Sequence[str]) -> int:
+        """How many of ``columns`` were added, empty, on the right; names match as in ``align_headers``."""
+        old = self.read()
+        if old is None:
+            self.overwrite(self.spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns)))
+            return len(columns)
+        more = align_headers(columns, old.columns)[0][len({header_key(c) for c in old.columns}) :]
+        if more:
+            self.overwrite(old.withColumns({c: F.lit("") for c in more}))
+        return len(more)
+
+
 def read_strings(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """CSV with a header as strings; a byte-order mark and invisible characters in names don't count."""
     df = spark.read.option("header", True).option("recursiveFileLookup", recursive).option("multiLine", True).option("escape", '"').csv(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.config import PressRelease, load_settings
 from newsloom.functions import dates, json, scores, text
-from newsloom.operators import audit, classify, clusters, keyed, reports, similarity
+from newsloom.operators import audit, chunks, classify, clusters, keyed, reports, similarity
 from newsloom.plans import coverage
 from newsloom.sources import search
 from newsloom.sources.tables import Table, clean_table, filter_by_best_date, known_keys, migrate_group_labels, read_strings, write_csv
@@ -200,6 +200,71 @@ def test_tables(spark, tmp_path):
     assert filter_by_best_date(spark.createDataFrame([("2026-03-01", "x"), ("2026-01-01", "y")], "date_only string, k string"), "2026-02-01").count() == 1
 
 
+def test_duplicates_are_deleted(spark, tmp_path):
+    t = Table(spark, str(tmp_path / "t"))
+    assert t.delete_duplicates() == (0, False)
+    rows = [(2, "a", ""), (3, " a", "x"), (4, "a", "y"), (5, "", ""), (6, None, "x"), (7, "b", ""), (8, "b", None)]
+    t.overwrite(spark.createDataFrame(rows, "row_pos long, `Original Link` string, `brand relevance` string"))
+    left = lambda: sorted(r.row_pos for r in t.read().collect())
+    assert t.delete_duplicates(dry_run=True) == (3, False) and len(left()) == 7
+    assert t.delete_duplicates() == (3, False) and left() == [3, 5, 6, 7] and t.delete_duplicates() == (0, False)
+    t.overwrite(spark.createDataFrame(rows, "row_pos long, original_link string, other string"))
+    assert t.delete_duplicates(last=True) == (3, False) and left() == [4, 5, 6, 8]
+
+    class Full(Table):
+        tried = 0
+
+        def overwrite(self, df):
+            self.tried += 1
+            raise OSError("full")
+
+    full = Full(spark, t.path)
+    assert full.delete(spark.createDataFrame([(4,), (99,)], "row_pos long")) == (0, True) and full.tried == 3 and left() == [4, 5, 6, 8]
+    assert t.backfill(["Other ", "new"]) == 1 and t.read().columns == ["row_pos", "original_link", "other", "new"] and t.backfill(["new"]) == 0
+    assert Table(spark, str(tmp_path / "n")).backfill(["a", "b"]) == 2
+    assert text.find_column(["x", "B ", "A", "a"], ["c", "a", "b"]) == "A" and text.find_column([], ["a"]) is None
+
+
+def test_chunks(spark):
+    rows = spark.createDataFrame([(i,) for i in range(7)], "k long")
+    good, bad, synced = [], [], []
+
+    def work(df):
+        if df.where("k = 4").count():
+            raise ValueError("refused")
+        return df.withColumn("status", F.when(F.col("k") == 1, "failed").when(F.col("k") != 2, "ok"))
+
+    def sync(*counts):
+        synced.append(counts)
+        raise OSError("no store")
+
+    got = chunks.run_in_chunks(rows, [F.col("k")], work, lambda d: good.extend(r.k for r in d.collect()), lambda d, why: bad.append((sorted(r.k for r in d.collect()), why)), sync, 3)
+    assert got == {"processed": 7, "success": 2, "failed": 5, "chunks": 3, "sync_failed": 3} and sorted(good) == [0, 6]
+    assert bad == [([1, 2], "no answer"), ([3, 4, 5], "ValueError: refused")] and synced == [(1, 3, 1, 2), (2, 3, 0, 3), (3, 3, 1, 0)]
+    none = chunks.run_in_chunks(rows.where("k < 0"), [F.col("k")], work, good.append)
+    assert none == {"processed": 0, "success": 0, "failed": 0, "chunks": 0, "sync_failed": 0}
+
+
+def test_category_suggestions(spark):
+    df = spark.createDataFrame([(f"id{i}", f"t{i}", "s" if i else " ", "long " * 40, "기타" if i < 5 else "평판/PR") for i in range(6)], "article_id string, title string, news_keyword_summary string, description string, issue_category string")
+
+    def suggest(lines):
+        if any("id0" in x for x in lines):
+            assert any(x == "- [id0] t0 / " + ("long " * 40)[:80] for x in lines)
+        return [{"category_name": "환경/소음", "count": len(lines), "rationale": "r", "article_ids": [x[3:6] for x in lines]}, {"category_name": "기타", "count": 1}, {"category_name": " "}]
+
+    got = classify.discover_categories(df, suggest, batch=2).collect()
+    assert [(r.category_name, r["count"], r.rationale, r.article_ids) for r in got] == [("환경/소음", 5, "r", [f"id{i}" for i in range(5)])]
+    assert classify.discover_categories(df, suggest, least=6).count() == 0 and classify.discover_categories(df.drop("issue_category"), suggest).count() == 0
+    assert classify.discover_categories(df, lambda lines: None).count() == 0
+
+
+def test_headline():
+    names = ("our_brands_relevant", "our_brands_negative", "our_brands_positive", "danger_high", "danger_medium", "competitor_articles", "total_result_count")
+    got = reports.headline(dict.fromkeys(names, 2) | {"danger_high": None})
+    assert got == "own brands: 2 negative, 2 positive; danger: 0 high, 2 medium; competitors: 2 articles; 2 in all"
+
+
 def test_search_pages(spark):
     pages = {1: ["a", "b"], 3: ["b", "c"], 5: ["c", "b"], 7: ["a", "b"], 9: ["c", "a"], 11: ["new"]}
     asked = []
