@@ -187,7 +187,7 @@ def train_quality(
     """Model from at most ``positives`` rows labelled 1 and ``unlabelled`` rows without a label.
 
     Labels count only where crc32(doc_id as text) mod 5 is not 0. Where every row has a label, the unlabelled
-    sample is drawn from all rows of that part, their labels unseen.
+    sample is drawn from all rows of that part, their labels unseen. Of a repeated id the least text is learned from.
     """
     spark = docs.sparkSession
     tune(spark)
@@ -206,6 +206,8 @@ def train_quality(
     kind = docs.schema[id_col].dataType.simpleString()
     chosen = spark.createDataFrame(rows, f"doc_id {kind}, positive boolean")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
+    # one text an id, however often it is repeated: the samples' bounds hold for what reaches the driver
+    texts = texts.groupBy("positive", "doc_id").agg(F.min("text").alias("text"))
     # halves of the samples are halves by hash, not by id
     order = F.xxhash64(F.lit(13), "doc_id")
     got = texts.orderBy("positive", order, "doc_id", "text").select("positive", "doc_id", "text").mapInArrow(_features, f"positive boolean, doc_id {kind}, x array<double>")

@@ -152,3 +152,12 @@ def test_ledger_scans_only_unseen_pairs(spark, tmp_path, monkeypatch):
 
 def secrets_text(r):
     return ",".join(f"{x.kind}:{x.begin}:{x.end}" for x in r.findings)
+
+
+def test_quality_samples_are_bounded_with_repeated_ids(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda p, u, tails: seen.append((len(p), len(u))))
+    docs = spark.createDataFrame([(i, f"t{i} {k}" if k else None) for i in range(20) for k in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(10)], "doc_id long, quality int")
+    quality.train_quality(docs, labels, positives=2, unlabelled=3)
+    assert seen == [(2, 3)]
