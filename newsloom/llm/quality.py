@@ -175,9 +175,18 @@ def _scores(model):
     return run
 
 
-def _least_hashed(ids: DataFrame, n: int) -> DataFrame:
-    """``n`` ids by least hash: a top-n that each task trims before rows move."""
-    return ids.distinct().orderBy(F.xxhash64(F.lit(11), "doc_id"), "doc_id").limit(n)
+def _least_hashed(ids: DataFrame, n: int) -> list:
+    """The ``n`` ids of least hash. Tasks send their top-n to the driver, so only hashes below a cut, under which about
+    2n + 1000 ids lie, take part: what is sent doesn't grow with the tasks. Too few below it, by repeated ids: a higher cut.
+    """
+    at = F.xxhash64(F.lit(11), "doc_id")
+    share = (2 * n + 1000) / max(1, ids.count())
+    while True:
+        some = ids if share >= 1 else ids.where(at < int(-(2**63) + share * 2**64))
+        found = [r[0] for r in some.distinct().orderBy(at, "doc_id").limit(n).collect()]
+        if len(found) == n or share >= 1:
+            return found
+        share *= 8
 
 
 def train_quality(
@@ -196,11 +205,10 @@ def train_quality(
     good = _least_hashed(known.where(learn & (F.col("quality") == 1)).select("doc_id"), positives)
     every = docs.select(F.col(id_col).alias("doc_id")).where(F.col("doc_id").isNotNull())
     free = _least_hashed(every.where(learn).join(known, "doc_id", "left_anti"), unlabelled)
-    ids = {r[0]: True for r in good.collect()}
-    rest = [r[0] for r in free.collect()]
+    rest = free
     unlabelled_left = bool(rest)
-    rest = rest or [r[0] for r in _least_hashed(every.where(learn), unlabelled).collect()]
-    rows = [(k, True) for k in ids] + [(k, False) for k in rest]
+    rest = rest or _least_hashed(every.where(learn), unlabelled)
+    rows = [(k, True) for k in good] + [(k, False) for k in rest]
     if not rows:
         return None
     kind = docs.schema[id_col].dataType.simpleString()

@@ -161,3 +161,11 @@ def test_quality_samples_are_bounded_with_repeated_ids(spark, monkeypatch):
     labels = spark.createDataFrame([(i, 1) for i in range(10)], "doc_id long, quality int")
     quality.train_quality(docs, labels, positives=2, unlabelled=3)
     assert seen == [(2, 3)]
+
+
+def test_least_hashed_ids_are_the_first_by_hash(spark):
+    ids = spark.range(40000).selectExpr("id % 9000 AS doc_id").unionByName(spark.range(20000).selectExpr("5L AS doc_id"))
+    want = [r[0] for r in ids.distinct().orderBy(F.xxhash64(F.lit(11), "doc_id"), "doc_id").limit(700).collect()]
+    assert quality._least_hashed(ids, 700) == want
+    assert quality._least_hashed(ids.where("doc_id < 9"), 700) == quality._least_hashed(ids.where("doc_id < 9"), 9)
+    assert quality._least_hashed(ids.where("doc_id < 0"), 7) == []
