@@ -146,8 +146,8 @@ def score_features(x: np.ndarray, model) -> np.ndarray:
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        x = [features(t or b"").tolist() for t in byte_rows(b.column(2))]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(x, pa.list_(pa.float64()))], names=["positive", "doc_id", "x"])
+        x = [features(t or b"").tolist() for t in byte_rows(b.column(3))]
+        yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(x, pa.list_(pa.float64()))], names=["positive", "doc_id", "hash", "x"])
 
 
 def _bins(shared):
@@ -216,12 +216,12 @@ def train_quality(
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
     # one text an id, however often it is repeated: the samples' bounds hold for what reaches the driver
     texts = texts.groupBy("positive", "doc_id").agg(F.min("text").alias("text"))
-    # halves of the samples are halves by hash, not by id
-    order = F.xxhash64(F.lit(13), "doc_id")
-    got = texts.orderBy("positive", order, "doc_id", "text").select("positive", "doc_id", "text").mapInArrow(_features, f"positive boolean, doc_id {kind}, x array<double>")
+    got = texts.select("positive", "doc_id", F.xxhash64(F.lit(13), "doc_id").alias("hash"), "text")
+    got = got.mapInArrow(_features, f"positive boolean, doc_id {kind}, hash bigint, x array<double>")
     p, u, free_ids = [], [], []
-    for r in got.collect():
-        (p if r[0] else u).append(r[2])
+    # halves of the samples are halves by hash, not by id; sorted here, as a sort in Spark would sample its keys to the driver
+    for r in sorted(got.collect(), key=lambda r: (r[2], r[1])):
+        (p if r[0] else u).append(r[3])
         if not r[0]:
             free_ids.append(r[1])
 
