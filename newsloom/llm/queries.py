@@ -100,6 +100,22 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_docs(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every valid vector with its cluster after five exact integer k-means rounds. Other vectors are left out."""
+    from .centroids import centroid_clusters
+
+    out, clusters = centroid_clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    info = F.broadcast(clusters.select("cluster", "cluster_inertia", "inertia", "centroid_sha256"))  # CENTROIDS rows at most
+    return out.join(info, "cluster").select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations. Rows without a conversation id belong to none."""
+    from .trie import prefix_trie, rebuilt, turn_arrays
+
+    return prefix_trie(rebuilt(turn_arrays(spark.read.parquet(f"{sf_dir}/conversations.parquet"))))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -111,6 +127,8 @@ QUERIES = {
     "op7_decontamination": op7_decontamination,
     "op8_pii": op8_pii,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES = {
@@ -169,3 +187,70 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM t WINDOW w AS (PARTITION BY text_sha256)
 """,
 }
+
+
+def _centroid_sql(clusters: int = 40, rounds: int = 5) -> str:
+    """The rounds written out one after the other; v: long form (vec_id, component number, value)."""
+    nearest = """a{r} AS MATERIALIZED (
+  SELECT row, arg_min(k, d * 1000 + k) AS k, min(d) AS d FROM (
+    SELECT v.row, c.k, sum((v.x - c.x) * (v.x - c.x)) AS d FROM v JOIN c{r} c ON v.i = c.i GROUP BY v.row, c.k) GROUP BY row),"""
+    moved = """c{n} AS MATERIALIZED (
+  SELECT c.k, c.i, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN (
+    SELECT a.k, v.i, CAST((sum(v.x) - ((sum(v.x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS x
+    FROM a{r} a JOIN v ON a.row = v.row GROUP BY a.k, v.i) m ON c.k = m.k AND c.i = m.i),"""
+    steps = "\n".join(nearest.replace("{r}", str(r)) + "\n" + moved.replace("{n}", str(r + 1)).replace("{r}", str(r)) for r in range(rounds))
+    return f"""
+WITH e AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, embedding AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS MATERIALIZED (
+  SELECT row, vec_id, unnest(range(1, 65)) AS i, unnest(list_transform(e, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))) AS x FROM e),
+s AS (
+  SELECT row, row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, e) - 1 AS k FROM e),
+c0 AS MATERIALIZED (SELECT s.k, v.i, v.x FROM v JOIN s ON v.row = s.row WHERE s.k < {clusters}),
+{steps}
+{nearest.replace("{r}", str(rounds))}
+h AS (SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY k)
+SELECT e.vec_id, CAST(a.k AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance, CAST(sum(a.d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.d) OVER () AS BIGINT) AS inertia, h.centroid_sha256
+FROM a{rounds} a JOIN e ON a.row = e.row JOIN h ON a.k = h.k
+"""
+
+
+ORACLES["op11_centroid_clusters"] = _centroid_sql()
+
+#: h is CRC-32, bit by bit, modulo 6; DuckDB has no function for it.
+ORACLES["op13_prefix_trie"] = """
+WITH t AS (
+  SELECT conv_id, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS t,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list(t ORDER BY p) AS turns, CAST(conv_id AS VARCHAR) AS s FROM t GROUP BY conv_id),
+crc AS (
+  SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+    list_transform(range(0, 8 * len(s)), lambda i: (CAST(ascii(s[i // 8 + 1]) AS BIGINT) >> (i % 8)) & 1)),
+    lambda c, b: xor(c >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN 3988292384 ELSE 0 END)), 4294967295) % 6 AS h
+  FROM own),
+r AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns[1 : c.h], []), c.turns[c.h + 1 :]) AS turns
+  FROM crc c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100),
+pre AS (
+  SELECT conv_id, turns, d, turns[1 : d] AS prefix FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM r)),
+node AS (
+  SELECT d, prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(turns) = d), '')) AS ends_sha256
+  FROM pre GROUP BY d, prefix),
+child AS (SELECT d - 1 AS d, prefix[1 : d - 1] AS prefix, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+own_sums AS (
+  SELECT node.d, node.prefix, CASE WHEN n IS NULL THEN 1 ELSE 0 END AS leaf,
+         CASE WHEN node.d = 0 THEN 0 ELSE (n_convs - 1) * length(node.prefix[node.d].text) END AS saved
+  FROM node LEFT JOIN child USING (d, prefix)),
+below AS (
+  SELECT a AS d, prefix[1 : a] AS prefix, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM own_sums) GROUP BY ALL)
+SELECT node.conv_id, node.d AS depth, up.conv_id AS parent_conv_id, node.n_convs, CAST(coalesce(child.n, 0) AS BIGINT) AS n_children,
+       CAST(below.n_leaves AS BIGINT) AS n_leaves, CAST(below.saved_tokens AS BIGINT) AS saved_tokens, node.ends_sha256
+FROM node JOIN below USING (d, prefix) LEFT JOIN child USING (d, prefix)
+LEFT JOIN node up ON up.d = node.d - 1 AND up.prefix = node.prefix[1 : node.d - 1]
+"""
