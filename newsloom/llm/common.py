@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..storage import materialise, scratch_dir
 
-__all__ = ["byte_rows", "materialise", "partitions_for", "scratch_dir", "shuffle_partitions", "survivors", "tune"]
+__all__ = ["byte_rows", "component_ids", "materialise", "partitions_for", "scratch_dir", "shuffle_partitions", "survivors", "tune"]
 
 ARROW_ROWS = 2000
 ARROW_BYTES = 8 << 20
@@ -70,3 +70,18 @@ def survivors(docs: DataFrame, verdicts: DataFrame, id_col: str, text_col: str)
     first = Window.partitionBy(F.col(id_col), F.xxhash64(text_col)).orderBy(F.lit(0))
     one = one.withColumn("_newsloom_rank", F.row_number().over(first)).where("_newsloom_rank = 1").drop("_newsloom_rank")
     return docs.join(both, same(both), "left_anti").unionByName(one)
+
+
+def component_ids(rows: DataFrame, components: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, class, ...) with component_id, the least doc_id of the classes that (node, component) joins.
+
+    Rows of one class belong together; a null class stands alone and keeps its own id. What is joined back is written
+    first, so that the join of a large class or component can be split.
+    """
+    classes = rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("least"))
+    named = classes.join(components.withColumnRenamed("node", "class"), "class", "left")
+    named = materialise(named.withColumn("component", F.coalesce("component", "class")), "classes")
+    least = materialise(named.groupBy("component").agg(F.min("least").alias("component_id")), "component_ids")
+    ids = materialise(named.join(least, "component").select("class", "component_id"), "class_ids")
+    out = rows.join(ids, "class", "left")
+    return out.withColumn("component_id", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))

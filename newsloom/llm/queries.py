@@ -109,6 +109,13 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.join(info, "cluster").select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component of five-word n-gram similarity 0.8 or more. Texts without words are alone."""
+    from .ngram_join import ngram_groups
+
+    return ngram_groups(_docs(spark, sf_dir))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of the rebuilt conversations. Rows without a conversation id belong to none."""
     from .trie import prefix_trie, rebuilt, turn_arrays
@@ -128,6 +135,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_ngram_join": op12_ngram_join,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
@@ -219,6 +227,29 @@ FROM a{rounds} a JOIN e ON a.row = e.row JOIN h ON a.k = h.k
 
 ORACLES["op11_centroid_clusters"] = _centroid_sql()
 
+ORACLES["op12_ngram_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i : i + 4], ' ')) END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM (SELECT g.*, n.n FROM g JOIN n ON g.doc_id = n.doc_id) a
+  JOIN (SELECT g.*, n.n FROM g JOIN n ON g.doc_id = n.doc_id) b
+    ON a.s = b.s AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM documents
+  UNION
+  SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.r = links.x)
+SELECT reach.doc_id, any_value(coalesce(n.n, 0))::BIGINT AS n_shingles, min(r) AS component_id
+FROM reach LEFT JOIN n ON reach.doc_id = n.doc_id GROUP BY reach.doc_id
+"""
+
 #: h is CRC-32, bit by bit, modulo 6; DuckDB has no function for it.
 ORACLES["op13_prefix_trie"] = """
 WITH t AS (
