@@ -2,7 +2,7 @@
 
 A turn is a 16-byte digest of its role and text, a conversation the concatenation of its turns' digests, so that byte
 order puts every prefix's conversations next to each other. Equal conversations are one key with a count, their ids
-streamed in order into the hash of the node where they end. Keys are range-partitioned and sorted; a task sweeps
+joined in segments that go in order into the hash of the node where they end. Keys are range-partitioned and sorted; a task sweeps
 its keys with a stack: the length of the common prefix (LCP) of neighbours closes the nodes that are deeper and opens
 those of the new key, and a node that closes hands its sums to its parent. A closed LCP interval is a node.
 
@@ -28,6 +28,8 @@ EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 ROOT = bytes(DIGEST)
 #: Nodes in an output batch.
 BATCH = 20_000
+#: Ids in a segment of a list of ids at most.
+SEGMENT = 4096
 #: Keys that Spark samples for each range partition, so that long keys don't add up on the driver.
 SAMPLED = 20
 
@@ -178,7 +180,7 @@ def _stitch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(digest of the key, members, least, SHA-256 of their ids) of rows sorted by (digest, id), ids streamed."""
+    """(digest of the key, members, least, SHA-256 of their ids) of segments sorted by (digest, least id), hashed as they come."""
     now, n, least, sha = None, 0, 0, hashlib.sha256()
     out: list[tuple] = []
 
@@ -188,13 +190,13 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["same", "n", "least", "ends"])
 
     for b in batches:
-        for same, conv in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+        for same, first, number, ids in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
             if same != now:
                 if now is not None:
                     out.append((now, n, least, sha.hexdigest()))
-                now, n, least, sha = same, 0, conv, hashlib.sha256()
-            sha.update(f",{conv}".encode() if n else str(conv).encode())
-            n += 1
+                now, n, least, sha = same, 0, first, hashlib.sha256()
+            sha.update(f",{ids}".encode() if n else ids.encode())
+            n += number
         if len(out) >= BATCH:
             yield batch()
             out = []
@@ -203,6 +205,19 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield batch()
 
 
+def ends_of(seqs: DataFrame, parts: int) -> DataFrame:
+    """(same, n, least, ends): of every digest the conversations that have it, and the hash of their ids in order.
+
+    A hash over a list must be fed in order, but not row by row: ids are gathered, sorted and joined in segments of
+    a range of SEGMENT ids, so that of a large group one task only hashes finished segments.
+    """
+    segment = seqs.groupBy("same", F.floor(F.col("conv_id") / SEGMENT).alias("segment")).agg(F.sort_array(F.collect_list("conv_id")).alias("ids"))
+    text = F.array_join(F.transform("ids", lambda x: x.cast("string")), ",")
+    rows = segment.select("same", F.element_at("ids", 1).alias("first"), F.size("ids").cast("bigint").alias("number"), text.alias("ids"))
+    rows = rows.repartition(parts, "same").sortWithinPartitions("same", "first")
+    return rows.mapInArrow(_ends, "same binary, n bigint, least bigint, ends string")
+
+
 def turn_arrays(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """(conv_id, turns): of every conversation its turns in order, each as digest and code points of the text.
 
@@ -243,8 +258,8 @@ def prefix_trie(arrays: DataFrame) -> DataFrame:
     all below it; ends_sha256 hashes the ids of the members that end there, ascending. Turnless conversations end at the root.
 
     Without conversations there is no node. One conversation's digests (16 bytes a turn) and one path of open nodes must fit a
-    task's memory; nothing else that grows is held. The ids of equal conversations are hashed in one stream of 24-byte rows,
-    since the hash is over their whole list.
+    task's memory; nothing else that grows is held. The segments of equal conversations are hashed in one stream, since the hash
+    is over their whole list.
     """
     spark = arrays.sparkSession
     tune(spark)
@@ -253,8 +268,7 @@ def prefix_trie(arrays: DataFrame) -> DataFrame:
     seqs = materialise(seqs.withColumn("same", F.unhex(F.substring(F.sha2("key", 256), 1, 2 * DIGEST))), "turn_arrays")
     size = seqs.agg(F.sum(F.length("key") + 60)).first()[0] or 0
     parts = partitions_for(spark, size)
-    ids = seqs.select("same", "conv_id").repartition(parts, "same").sortWithinPartitions("same", "conv_id")
-    ids = ids.mapInArrow(_ends, "same binary, n bigint, least bigint, ends string")
+    ids = ends_of(seqs, parts)
     keys = seqs.groupBy("same").agg(F.first("key").alias("key"), F.first("points").alias("points"))
     keys = materialise(keys.join(ids, "same").select("key", "points", "n", "least", "ends"), "keys")
 

@@ -56,8 +56,9 @@ def rows_of(seed, n=120):
 
 
 @pytest.mark.parametrize("seed,parts", [(1, 1), (2, 4), (3, 13), (4, 60), (5, 300)])
-def test_nodes_equal_brute_force(spark, seed, parts):
-    """Many partitions hold a key or two, or none: nearly every node crosses partitions then."""
+def test_nodes_equal_brute_force(spark, monkeypatch, seed, parts):
+    """Many partitions hold a key or two, or none: nearly every node crosses partitions then. Segments of three ids or all."""
+    monkeypatch.setattr(trie, "SEGMENT", 3 if seed % 2 else 4096)
     was = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", parts)
     try:
