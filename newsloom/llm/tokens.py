@@ -3,8 +3,9 @@
 A text longer than a chunk is encoded in overlapping chunks with offsets. Neighbouring chunks are spliced where both
 have a token start at a *stable* boundary: a place where the pre-tokenizer must begin a new piece whatever stands
 before it, which the kinds of the two characters around it prove (letter, number, other sign, white space; only
-characters whose kind has not changed since Unicode 3.2). Behind such a place both encodings are equal, so the splice
-is exact. Boundaries are looked for before anything is encoded; where an overlap has none it is widened, and a chunk
+characters whose kind has not changed since Unicode 3.2), and which no special string touches: what is in front of such
+a place doesn't depend on whether a chunk's end cuts a special string behind it. On either side of it both encodings
+are equal, so the splice is exact. Boundaries are looked for before anything is encoded; where an overlap has none it is widened, and a chunk
 without any runs on to the next boundary of the text, so every character is encoded a bounded number of times.
 
 A chunk's own pieces are cut at every stable boundary in front of ASCII white space. Cutting and telling the different
@@ -198,13 +199,17 @@ def stable(text: str, begin: int, end: int) -> np.ndarray:
 
 
 class Boundaries:
-    """Stable boundaries of a text outside its special strings, which the library matches as they stand."""
+    """Stable boundaries of a text that no special string touches.
+
+    The library parts a text at its special strings first, and a chunk's end may cut one that begins further on. In front of
+    one the white space is parted as at the end of a text, so a boundary right before or behind one isn't safe.
+    """
 
     def __init__(self, text: str, specials: Sequence[str] = ()):
         self.text, self.specials = text, specials
 
     def _free(self, p: int) -> bool:
-        return all(self.text.find(s, max(0, p - len(s) + 1), p + len(s) - 1) < 0 for s in self.specials)
+        return all(self.text.find(s, max(0, p - len(s)), p + len(s)) < 0 for s in self.specials)
 
     def last(self, begin: int, end: int) -> int | None:
         """The last one in [begin, end)."""

@@ -35,6 +35,28 @@ def test_spliced_chunks_equal_whole_text(sf_dir):
             assert tokens.encode_spliced(enc, t, rnd.choice([50, 200, 1000]), rnd.choice([4, 16, 64]), specials) == enc(t).ids
 
 
+def test_chunks_end_anywhere_in_a_special_string():
+    """White space in front of a special string is parted otherwise than in front of other signs."""
+    enc, special = encode(BYTE), ["<|endoftext|>"]
+    for blanks in ("", " ", "  ", "\n\n", " \n", "\n \n", "\u00a0 "):
+        for place in range(340, 420):
+            t = ("plain words, " * 40)[:place] + blanks + "<|endoftext|>" + blanks + "more of it. " * 60
+            assert tokens.encode_spliced(enc, t, 400, 16, special) == enc(t).ids, (blanks, place)
+    rnd = random.Random(5)
+    bits = ["<|endoftext|>", "<|endoftext|>", " ", "  ", "\n", "\n\n", "\t", "word", "'s", "12", "!", "<|endo", "é日", "<|", "|>"]
+    for _ in range(400):
+        t = "".join(rnd.choices(bits, k=rnd.randint(100, 600)))
+        assert tokens.encode_spliced(enc, t, rnd.choice([60, 100, 400]), rnd.choice([4, 16]), special) == enc(t).ids
+
+
+def test_special_strings_at_the_end_of_default_chunks(spark):
+    prose = "It was plain prose, and it went on. " * 3000
+    rows = [(i, prose[: tokens.CHUNK - 20 + i] + "\n\n<|endoftext|>" + prose[:30_000]) for i in range(30)]
+    enc = encode(BYTE)
+    got = tokens.count_tokens(spark.createDataFrame(rows, "doc_id long, text string"), BYTE).collect()
+    assert {r.doc_id: r.n_tokens for r in got} == {i: len(enc(t).ids) for i, t in rows}
+
+
 def test_segments_have_the_ids_of_whole_texts(sf_dir):
     import pyarrow as pa
 
