@@ -24,9 +24,8 @@ from pyspark.sql import functions as F
 from .common import materialise, tune
 from .substring_dedup import mix, word_hashes, words_of
 
-#: Share of an item's words that may be edited; least words of an item that is aligned, shorter ones match as they stand; words of items in a block.
+#: Share of an item's words that may be edited; words of items in a block.
 EDITS = 0.2
-LEAST_WORDS = 8
 BLOCK_WORDS = 2_000_000
 
 _Q = np.uint64(0x9E3779B97F4A7C15)
@@ -57,13 +56,13 @@ def sure(length: int, least: int, n: int) -> int:
 class Items:
     """Benchmark items of a block: words, least score, n-gram lengths that can seed."""
 
-    def __init__(self, rows: list[tuple], edits: float, least_words: int):
+    def __init__(self, rows: list[tuple], edits: float):
         self.ids, self.words, self.least, self.fit = [], [], [], []
         for k, text in rows:
             h = words(text)
             if not len(h):
                 continue
-            least = max(1, math.ceil((1 - 2 * edits) * len(h) - 1e-9)) if len(h) >= least_words else len(h)
+            least = max(1, math.ceil((1 - 2 * edits) * len(h) - 1e-9))
             self.ids.append(k)
             self.words.append(h)
             self.least.append(least)
@@ -209,7 +208,7 @@ def _matcher(shared, item_kind: pa.DataType):
 
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    item_id_col: str = "item_id", item_text_col: str = "text", edits: float = EDITS, least_words: int = LEAST_WORDS,
+    item_id_col: str = "item_id", item_text_col: str = "text", edits: float = EDITS,
 ) -> DataFrame:
     """(doc_id, item_id, score, begin_word, end_word, text_key) of each document that holds a benchmark item.
 
@@ -217,8 +216,8 @@ def find_leaks(
     is reported, as every copy with at most ``edits`` of its words changed, dropped or put in does. Words are
     lower-cased runs of letters, digits and non-ASCII characters; whole texts are searched.
 
-    Null or empty texts and items without words hold nothing; items of fewer than ``least_words`` words are found
-    where their words stand in a row unchanged (score 1).
+    Null or empty texts and items without words hold nothing. The score alone decides for items of any length: one of three
+    words is found where two of them stand in a row, so an item of few common words is found in many texts.
     Items with one text are reported each; repeated documents are reported each; ids may be null. Tables without
     rows give no rows. Other columns are not looked at.
     """
@@ -236,7 +235,7 @@ def find_leaks(
     out = None
     for k in range(blocks):
         own = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) if blocks > 1 else bench
-        items = Items([tuple(r) for r in own.collect()], edits, least_words)
+        items = Items([tuple(r) for r in own.collect()], edits)
         table = items.all_grams()
         if not len(table):
             continue

@@ -65,10 +65,10 @@ def test_every_edited_copy_is_found(spark):
     for k, t, _ in docs:
         for i, text in items:
             a, b = D.words(text).tolist(), D.words(t).tolist()
-            if len(a) >= 8 and plain_score(a, b) >= 0.6 * len(a) - 1e-9:
+            if len(a) and plain_score(a, b) >= 0.6 * len(a) - 1e-9:
                 want.add((k, i))
     assert planted <= got and {(None, 1), (5, 2)} <= got
-    assert got <= want
+    assert got == want
     left = D.drop_leaks(table, bench)
     assert left.columns == table.columns
     gone = {k for k, _ in got}
@@ -95,7 +95,7 @@ def test_empty_tables(spark):
 def test_every_alignment_with_the_score_is_found(spark):
     rnd = random.Random(6)
     vocab = [f"w{i}" for i in range(300)]
-    items = [(i, rnd.choices(vocab, k=rnd.choice([1, 2, 3, 5, 7, 8, 9, 20, 50]))) for i in range(40)]
+    items = [(i, rnd.choices(vocab, k=i % 12 + 1 if i < 36 else rnd.choice([20, 50]))) for i in range(40)]
     items += [(90, [f"a{i}" for i in range(50)]), (91, [f"b{i}" for i in range(20)])]
     docs = []
     for k in range(400):
@@ -113,10 +113,25 @@ def test_every_alignment_with_the_score_is_found(spark):
     for k, b in docs:
         for i, a in items:
             score = plain_score(a, b)
-            if score >= (0.6 * len(a) - 1e-9 if len(a) >= 8 else len(a)):
+            if score >= 0.6 * len(a) - 1e-9:
                 want[k, i] = score / len(a)
     assert want[900, 90] == 34 / 50 and want[901, 91] == 13 / 20
     table = spark.createDataFrame([(k, " ".join(b)) for k, b in docs], "doc_id long, text string")
     bench = spark.createDataFrame([(i, " ".join(a)) for i, a in items], "item_id long, text string")
     got = {(r.doc_id, r.item_id): r.score for r in D.find_leaks(table, bench).collect()}
     assert got == want
+
+
+def test_one_word_of_seven_replaced(spark):
+    """5 of 7 points: above the 0.6 that is reported, as it is for eight words; a pipeline stage drops the document."""
+    docs = spark.createDataFrame([(1, "x a b c other e f g y"), (2, "a b c d"), (3, "b a d c f e g")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "a b c d e f g")], "item_id long, text string")
+    assert [(r.doc_id, round(r.score, 6)) for r in D.find_leaks(docs, bench).collect()] == [(1, round(5 / 7, 6))]
+    assert sorted(r.doc_id for r in D.drop_leaks(docs, bench).collect()) == [2, 3]
+
+
+def test_repeated_rows_without_ids_are_judged_by_their_texts(spark):
+    docs = spark.createDataFrame([(None, "a b c d e"), (None, "a b c d e"), (None, "k l m"), (None, "k l m"), (None, None), (4, "word " * 400_000 + "a b c d e")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "a b c d e")], "item_id long, text string")
+    assert sorted((str(r.doc_id), r.text) for r in D.drop_leaks(docs, bench).collect() if r.text) == [("None", "k l m")] * 2
+    assert D.drop_leaks(docs, bench).count() == 3
