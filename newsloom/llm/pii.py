@@ -11,16 +11,17 @@ feature. Negatives are hard ones with a reason of their own (``_refuted``): sent
 failing checksums, octets. All others are unlabelled; only those can be chosen, so a span is added where an unlabelled
 candidate looks and stands like validated data and unlike the refuted.
 
-Features are discrete, so training needs only counts by feature cell over all documents (at most CELLS rows reach the
-driver, whatever the input). Each generator's threshold is calibrated on the half of the documents not trained on: the
-lowest score from which the precision's lower bound reaches ``precision``; without enough labelled candidates there is
-none, and nothing is added.
+Features are discrete, so training needs only counts by feature cell over all documents (at most CELLS rows a fold reach
+the driver, whatever the input). Each generator's threshold is calibrated over all documents, each scored by trees that
+didn't see its fold: the lowest score from which the precision's lower bound reaches ``precision``; without enough
+labelled candidates there is none, and nothing is added.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,33 +45,64 @@ GENERATORS = {
 #: Base kind that makes a candidate of each generator a positive example.
 POSITIVE = {"contact": "email", "local": "phone", "number": "card"}
 CONTEXT = 24
+#: Matches whose places are added up at once; spans that are looked through one by one, more are halved.
+BLOCK = 64
+FEW_SPANS = 12
 #: Feature name -> number of its values.
 FEATURES = {"kind": 3, "shape": 5, "parts": 5, "first": 3, "context": 5, "line": 2, "length": 4}
 CELLS = math.prod(FEATURES.values())
 ROUNDS = 40
 RATE = 0.3
+FOLDS = 5
 PRECISION = 0.95
 
 _OCTET = r"^0*(?:[0-9]|[1-9][0-9]|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"
 _SPAN = "struct<begin:int,end:int,value:string,before:string>"
 
 
+def _with(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the lambdas in the body use it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def matches(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches: begin and end in code points, the match, what stands before it."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
+    """Leftmost non-overlapping matches: begin and end in code points, the match, what stands before it.
 
-    def step(acc: Column, i: Column) -> Column:
-        gap, value = F.element_at(acc["gaps"], i), F.element_at(acc["found"], i)
-        begin = acc["at"] + F.char_length(gap)
-        end = begin + F.char_length(value)
-        one = F.struct(begin.alias("begin"), end.alias("end"), value.alias("value"), F.right(gap, F.lit(CONTEXT)).alias("before"))
-        return F.struct(acc["found"].alias("found"), acc["gaps"].alias("gaps"), end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+    Places add up over gaps and matches. A fold that appends copies what it has, so it runs over blocks of BLOCK matches,
+    and over the blocks' lengths: the work follows the number of matches.
+    """
+    both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("gaps"))
+    empty = F.array().cast(f"array<{_SPAN}>")
+
+    def block(m: Column, b: Column) -> Column:
+        """Matches of block b with places from the block's begin, and its length."""
+
+        def step(acc: Column, i: Column) -> Column:
+            gap, value = F.element_at(m["gaps"], i), F.element_at(m["found"], i)
+            begin = acc["at"] + F.char_length(gap)
+            end = begin + F.char_length(value)
+            one = F.struct(begin.alias("begin"), end.alias("end"), value.alias("value"), F.right(gap, F.lit(CONTEXT)).alias("before"))
+            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+        own = F.sequence(b * BLOCK + 1, F.least((b + 1) * BLOCK, F.size(m["found"])))
+        return F.aggregate(own, F.struct(F.lit(0).alias("at"), empty.alias("out")), step)
+
+    def placed(blocks: Column) -> Column:
+        def sums(acc: Column, x: Column) -> Column:
+            return F.concat(acc, F.array(F.element_at(acc, -1) + x["at"]))
 
-    start = F.struct(found.alias("found"), gaps.alias("gaps"), F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
-    none = F.array().cast(f"array<{_SPAN}>")
-    folded = F.aggregate(F.sequence(F.lit(1), F.size(found)), start, step, lambda acc: acc["out"])
-    return F.when(F.size(found) == 0, none).otherwise(folded)
+        def moved(starts: Column) -> Column:
+            shift = lambda x, by: F.struct((x["begin"] + by).alias("begin"), (x["end"] + by).alias("end"), x["value"].alias("value"), x["before"].alias("before"))
+            return F.flatten(F.transform(blocks, lambda x, i: F.transform(x["out"], lambda y: shift(y, F.element_at(starts, i + 1)))))
+
+        one = F.size(blocks) == 1
+        return F.when(one, F.element_at(blocks, 1)["out"]).otherwise(_with(F.aggregate(blocks, F.array(F.lit(0)), sums), moved))
+
+    def found(m: Column) -> Column:
+        last = F.floor((F.size(m["found"]) - 1) / BLOCK).cast("int")
+        return F.when(F.size(m["found"]) == 0, empty).otherwise(_with(F.transform(F.sequence(F.lit(0), last), lambda b: block(m, b)), placed))
+
+    return _with(both, found)
 
 
 def luhn(digits: Column) -> Column:
@@ -173,41 +205,39 @@ class Trees:
     """Boosted regression trees of two levels on the logistic loss, over weighted cells of discrete features."""
 
     def __init__(self, cells: list[tuple[tuple[int, ...], int, int]], rounds: int = ROUNDS, rate: float = RATE):
-        pos, neg = sum(c[1] for c in cells), sum(c[2] for c in cells)
-        self.start = math.log((pos + 1) / (neg + 1))
+        x = np.array([c[0] for c in cells], np.int64).reshape(-1, len(FEATURES))
+        pos, neg = (np.array([c[i] for c in cells], float) for i in (1, 2))
+        self.start, self.rate = math.log((pos.sum() + 1) / (neg.sum() + 1)), rate
         self.trees: list[tuple] = []
-        margin = [self.start] * len(cells)
-        for _ in range(rounds if pos and neg else 0):
-            g, h = [], []
-            for (_, p, n), m in zip(cells, margin, strict=True):
-                q = 1 / (1 + math.exp(-m))
-                g.append(p - (p + n) * q)
-                h.append((p + n) * q * (1 - q) + 1e-9)
-            tree = self._grow(cells, g, h, list(range(len(cells))), 2)
+        margin = np.full(len(cells), self.start)
+        for _ in range(rounds if pos.sum() and neg.sum() else 0):
+            q = 1 / (1 + np.exp(-margin))
+            g, h = pos - (pos + neg) * q, (pos + neg) * q * (1 - q) + 1e-9
+            tree = self._grow(x, g, h, np.ones(len(cells), bool), 2)
             if not isinstance(tree, tuple):
                 break
             self.trees.append(tree)
-            margin = [m + rate * self._leaf(tree, c[0]) for m, c in zip(margin, cells, strict=True)]
-        self.rate = rate
+            margin = margin + rate * np.array([self._leaf(tree, c[0]) for c in cells])
 
-    def _grow(self, cells, g, h, at, depth):
-        gain = lambda i: sum(g[k] for k in i) ** 2 / (sum(h[k] for k in i) + 1.0)
-        leaf = sum(g[k] for k in at) / (sum(h[k] for k in at) + 1.0)
+    def _grow(self, x: np.ndarray, g: np.ndarray, h: np.ndarray, at: np.ndarray, depth: int):
+        gain = lambda a, b: a * a / (b + 1.0)
+        total, weight = g[at].sum(), h[at].sum()
+        leaf = float(total / (weight + 1.0))
         if not depth:
             return leaf
         best = None
         for f, values in enumerate(FEATURES.values()):
-            for v in range(1, values):
-                low = [k for k in at if cells[k][0][f] < v]
-                high = [k for k in at if cells[k][0][f] >= v]
-                if low and high:
-                    won = gain(low) + gain(high) - gain(at)
+            a, b, n = (np.cumsum(np.bincount(x[at, f], w, values)) for w in (g[at], h[at], None))
+            for v in range(1, values):  # below v, and from v on
+                if 0 < n[v - 1] < n[-1]:
+                    won = gain(a[v - 1], b[v - 1]) + gain(total - a[v - 1], weight - b[v - 1]) - gain(total, weight)
                     if best is None or won > best[0] + 1e-12:
-                        best = (won, f, v, low, high)
+                        best = (won, f, v)
         if best is None or best[0] <= 1e-6:
             return leaf
-        _, f, v, low, high = best
-        return (f, v, self._grow(cells, g, h, low, depth - 1), self._grow(cells, g, h, high, depth - 1))
+        _, f, v = best
+        low = at & (x[:, f] < v)
+        return (f, v, self._grow(x, g, h, low, depth - 1), self._grow(x, g, h, at & ~low, depth - 1))
 
     def _leaf(self, tree, x):
         while isinstance(tree, tuple):
@@ -239,9 +269,9 @@ def lower_bound(good: int, n: int, z: float = 1.96) -> float:
     return (p + z * z / 2 / n - z * math.sqrt(p * (1 - p) / n + z * z / 4 / n / n)) / (1 + z * z / n)
 
 
-def calibrated(trees: Trees, cells: list[tuple[tuple[int, ...], int, int]], precision: float) -> float:
-    """The lowest margin from which held-out precision is sure enough; infinity if there is none."""
-    ranked = sorted(((trees.margin(x), p, n) for x, p, n in cells), reverse=True)
+def calibrated(scored: list[tuple[float, int, int]], precision: float) -> float:
+    """The lowest margin from which the precision of (margin, right, wrong) is sure enough; infinity if there is none."""
+    ranked = sorted(scored, reverse=True)
     best, good, all_, i = math.inf, 0, 0, 0
     while i < len(ranked):
         m = ranked[i][0]
@@ -252,8 +282,41 @@ def calibrated(trees: Trees, cells: list[tuple[tuple[int, ...], int, int]], prec
     return best
 
 
+def cross_fitted(table: dict[int, list[tuple[tuple[int, ...], int, int]]], precision: float) -> tuple[Trees, dict[str, float]]:
+    """(trees over all folds' cells, threshold of each generator), thresholds from scores of trees that didn't see the fold."""
+    summed: dict[tuple[int, ...], list[int]] = {}
+    for cells in table.values():
+        for x, p, n in cells:
+            own = summed.setdefault(x, [0, 0])
+            own[0], own[1] = own[0] + p, own[1] + n
+    scored: dict[int, list[tuple[float, int, int]]] = {i: [] for i in range(len(GENERATORS))}
+    for fold, cells in table.items():
+        left = {x: list(v) for x, v in summed.items()}
+        for x, p, n in cells:
+            left[x] = [left[x][0] - p, left[x][1] - n]
+        trees = Trees([(x, p, n) for x, (p, n) in sorted(left.items()) if p or n])
+        for x, p, n in cells:
+            scored[x[0]].append((round(trees.margin(x), 9), p, n))
+    trees = Trees([(x, p, n) for x, (p, n) in sorted(summed.items())])
+    return trees, {k: calibrated(scored[i], precision) for i, k in enumerate(GENERATORS)}
+
+
 def _overlaps(c: Column, spans: Column | str) -> Column:
-    return F.exists(spans, lambda b: (b["begin"] < c["end"]) & (c["begin"] < b["end"]))
+    """Whether c meets one of the spans, which are in order and don't overlap: the first that ends behind c's begin decides."""
+    spans = F.col(spans) if isinstance(spans, str) else spans
+    each = F.exists(spans, lambda b: (b["begin"] < c["end"]) & (c["begin"] < b["end"]))
+
+    def halve(acc: Column, _: Column) -> Column:
+        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+        behind, done = F.element_at(spans, middle + 1)["end"] > c["begin"], acc["low"] >= acc["high"]
+        low = F.when(done | behind, acc["low"]).otherwise(middle + 1)
+        high = F.when(~done & behind, middle).otherwise(acc["high"])
+        return F.struct(low.alias("low"), high.alias("high"))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(spans) + F.lit(1.0))).cast("int"))
+    range_ = F.struct(F.lit(0).alias("low"), F.size(spans).alias("high"))
+    first = F.aggregate(steps, range_, halve, lambda acc: acc["low"])
+    return F.when(F.size(spans) <= FEW_SPANS, each).otherwise(F.coalesce(F.try_element_at(spans, first + 1)["begin"] < c["end"], F.lit(False)))
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", precision: float = PRECISION) -> DataFrame:
@@ -276,7 +339,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pr
 
     rows = rows.select(
         "doc_id",
-        (F.xxhash64("text") % 2 == 0).alias("train"),
+        F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"),
         *[plain(base_spans(F.col("text"), k)).alias(k) for k in KINDS],
         *[described(k) for k in GENERATORS],
     )
@@ -291,11 +354,11 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pr
         refuted = lambda c: c["refuted"] & ~over(c)
         return F.transform(F.filter(k, lambda c: hit(c) | refuted(c)), lambda c: F.struct(c["x"].alias("x"), hit(c).alias("hit")))
 
-    cells = rows.select("train", F.explode(F.concat(*map(examples, GENERATORS))).alias("c")).groupBy("train", *[f"c.x.{k}" for k in FEATURES])
-    counts = cells.agg(F.count_if("c.hit").alias("p"), F.count_if(~F.col("c.hit")).alias("n")).collect()
-    table = {t: sorted((tuple(r[k] for k in FEATURES), r["p"], r["n"]) for r in counts if r["train"] == t) for t in (True, False)}
-    trees = Trees(table[True])
-    least = {k: calibrated(trees, [c for c in table[False] if c[0][0] == i], precision) for i, k in enumerate(GENERATORS)}
+    cells = rows.select("fold", F.explode(F.concat(*map(examples, GENERATORS))).alias("c")).groupBy("fold", *[f"c.x.{k}" for k in FEATURES])
+    table: dict[int, list] = {}
+    for r in cells.agg(F.count_if("c.hit").alias("p"), F.count_if(~F.col("c.hit")).alias("n")).collect():  # CELLS * FOLDS rows at most
+        table.setdefault(r["fold"], []).append((tuple(r[k] for k in FEATURES), r["p"], r["n"]))
+    trees, least = cross_fitted({k: sorted(v) for k, v in sorted(table.items())}, precision)
 
     def chosen(k: str) -> Column:
         if math.isinf(least[k]):

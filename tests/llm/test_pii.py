@@ -142,10 +142,61 @@ def test_trees_learn_and_calibrate():
         cells[x] = (p + hit, n + (not hit))
     rows = [(x, p, n) for x, (p, n) in cells.items()]
     trees = pii.Trees(rows[::2])
-    least = pii.calibrated(trees, rows[1::2], 0.95)
+    least = pii.calibrated([(trees.margin(x), p, n) for x, p, n in rows[1::2]], 0.95)
     right = sum((trees.margin(x) >= least) == (p > 0) for x, p, _ in rows)
     assert right / len(rows) > 0.97
-    assert pii.calibrated(pii.Trees([((0,) * 7, 0, 5)]), [], 0.9) == float("inf")
+    assert pii.calibrated([], 0.9) == float("inf") and pii.Trees([((0,) * 7, 0, 5)]).trees == []
+
+
+def test_cross_fitting_calibrates_over_all_folds():
+    """71 right ones in a fold are too few for the bound, those of all folds are enough; one fold's errors count."""
+    x = (1, 1, 2, 1, 1, 0, 1)
+    table = {f: [(x, 71, 0)] for f in range(5)}
+    assert pii.calibrated([(1.0, 71, 0)], 0.95) == float("inf")
+    trees, least = pii.cross_fitted(table, 0.95)
+    assert least["local"] <= trees.margin(x) + 1 and least["contact"] == float("inf")
+    table[3] = [(x, 71, 60)]
+    assert pii.cross_fitted(table, 0.95)[1]["local"] == float("inf")
+
+
+def test_very_long_texts_with_very_many_matches(spark):
+    """2 MB of addresses; and a text whose candidates and base spans are many, so that all pairs would not end."""
+    import time
+
+    rnd = random.Random(3)
+    addresses = "\n".join(f"{rnd.randint(0, 300)}.{rnd.randint(0, 255)}.{rnd.randint(0, 255)}.{rnd.randint(0, 255)}" for _ in range(150_000))
+    mixed = " ".join(rnd.choice(["4111 1111 1111 1111", "4111.1111.1111.1111", "+1 (706) 555-3138", "(706) 555-3138", "a@b.cd", "x at y.de", "on 12.345.2001"]) for _ in range(30_000))
+    docs = spark.createDataFrame([(1, addresses), (2, mixed)], "doc_id long, text string")
+    start = time.time()
+    got = {r.doc_id: [tuple(x) for x in r.spans if x.kind in BASE] for r in pii.find_pii(docs).collect()}
+    took = time.time() - start
+    assert got == {1: brute(addresses), 2: brute(mixed)}
+    assert took < 120, took
+
+
+def test_overlaps_by_halving_equal_all_pairs(spark):
+    rnd = random.Random(4)
+    rows = []
+    for i in range(60):
+        ends = sorted(rnd.sample(range(2000), 2 * rnd.choice([0, 1, 5, 12, 13, 14, 40, 150])))
+        spans = list(zip(ends[::2], ends[1::2], strict=True))
+        ask = [(a, a + rnd.randint(1, 30)) for a in rnd.choices(range(2000), k=40)]
+        rows.append((i, spans, ask))
+    pair = "array<struct<begin:int,end:int>>"
+    df = spark.createDataFrame(rows, f"i int, spans {pair}, ask {pair}").select("i", F.transform("ask", lambda c: pii._overlaps(c, "spans")).alias("got"))
+    got = {r.i: r.got for r in df.collect()}
+    for i, spans, ask in rows:
+        assert got[i] == [any(a < y and x < b for a, b in spans) for x, y in ask]
+
+
+def test_nothing_is_added_where_no_candidate_is_personal(spark, sf_dir):
+    """By hand: the given documents' only free candidates are sentence ends, as in 'and at the. He'."""
+    docs = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet")
+    text = F.coalesce("text", F.lit(""))
+    found = docs.select(F.explode(F.transform(pii.candidates(text, "contact"), lambda x: F.struct(x["value"].alias("value"), pii._refuted("contact", x).alias("refuted")))).alias("x"))
+    at = [r.x for r in found.collect() if not re.search(BASE["email"], r.x.value)]
+    assert at and all(x.refuted and re.fullmatch(r"\S+ at \S+\. \S+", x.value) for x in at)
+    assert all(s.kind in BASE for r in pii.find_pii(docs).collect() for s in r.spans)
 
 
 def test_tree_expression_equals_margin(spark):
