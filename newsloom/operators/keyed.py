@@ -14,10 +14,12 @@ from ..storage import materialise
 
 def keep_one(df: DataFrame, key: str, order: Sequence[Column], keep_blank: bool = False) -> DataFrame:
     """The first row of each key by ``order``; with ``keep_blank`` every row whose key is blank stays."""
-    w = Window.partitionBy(key).orderBy(*order)
-    ranked = df.withColumn("_rank", F.row_number().over(w))
-    first = F.col("_rank") == 1
-    return ranked.where(first | (clean_invisible(F.col(key)) == "") if keep_blank else first).drop("_rank")
+    ranked = lambda rows: rows.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_rank = 1").drop("_rank")
+    if not keep_blank:
+        return ranked(df)
+    # blank keys are no group: their rows, however many, are never brought together
+    blank = F.col(key).isNotNull() & (clean_invisible(F.col(key)) == "")
+    return ranked(df.where(~blank)).unionByName(df.where(blank))
 
 
 def keep_first(df: DataFrame, key: str, order: str) -> DataFrame:
@@ -146,13 +148,26 @@ def upsert(
     stored: DataFrame, new: DataFrame, key: str = "link", row: str = "row_pos",
     fields: Sequence[str] = tuple(UPSERT_FIELDS), force: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """(table after the upsert, one row of counts: attempted, added, updated, skipped, errors).
+    """(table after the upsert, one row of counts: attempted, added, updated, skipped, errors), see ``upsert_changes``."""
+    header, changed, added, stats = upsert_changes(stored, new, key, row, fields, force)
+    if header is None:
+        return stored, stats
+    return header.join(changed.select(row), row, "left_anti").unionByName(changed).unionByName(added), stats
+
+
+def upsert_changes(
+    stored: DataFrame, new: DataFrame, key: str = "link", row: str = "row_pos",
+    fields: Sequence[str] = tuple(UPSERT_FIELDS), force: bool = False,
+) -> tuple[DataFrame | None, DataFrame, DataFrame, DataFrame]:
+    """(stored rows under the new header, the rows that change, the rows that are added, one row of counts).
 
     ``stored`` and ``new`` hold strings; ``row`` is the position of a row in its table. A new row with a blank key
     is always appended, as is each one whose key the table lacks. A row with a known key updates the last stored
     row of that key if any watched field is non-blank and differs (or ``force``); then every column takes the new
     value unless it is blank. Columns the table lacks are added. With rows but no key column in the table nothing
-    is written and every row is an error.
+    changes, every row is an error, and the stored rows are None.
+
+    Only stored rows whose key is among the new ones are looked at; rows with blank keys meet nobody.
     """
     spark = new.sparkSession
     counts = "attempted bigint, added bigint, updated bigint, skipped bigint, errors bigint"
@@ -162,25 +177,29 @@ def upsert(
     k = by_key[header_key(key)]
     if header_key(key) not in {header_key(c) for c in stored.columns} and stored.columns != [row] and stored.limit(1).count():
         n = new.count()
-        return stored, spark.createDataFrame([(n, 0, 0, 0, n)], counts)
+        none = stored.limit(0)
+        return None, none, none, spark.createDataFrame([(n, 0, 0, 0, n)], counts)
     missing = [h for h in header if h not in stored.columns]
     old = stored.select(row, *[clean_invisible(F.col(f"`{h}`")).alias(h) if h not in missing else F.lit("").alias(h) for h in header])
     fresh = new.select(F.col(row).alias("_new_row"), *[clean_invisible(F.col(f"`{c}`")).alias(f"_new_{h}") for c, h in names.items()])
-    target = keep_one(old.where(F.col(k) != ""), k, [F.col(row).desc()]).select(row, *header)
+    blank = F.coalesce(F.col(f"_new_{k}"), F.lit("")) == ""
+    asked = fresh.where(~blank).select(F.col(f"_new_{k}").alias(k)).distinct()
+    target = keep_one(old.where(F.col(k) != "").join(asked, k, "left_semi"), k, [F.col(row).desc()]).select(row, *header)
+    probe = fresh.where(~blank).join(target, F.col(f"_new_{k}") == F.col(k), "left")
+    alone = fresh.where(blank)
+    probe = probe.unionByName(alone.select("*", F.lit(None).cast(old.schema[row].dataType).alias(row), *[F.lit(None).cast("string").alias(h) for h in header]))
     given = set(names.values())
-    probe = fresh.join(target, F.col(f"_new_{k}") == F.col(k), "left")
     watched = [f for f in fields if f in given]
     differs = F.lit(False)
     for f in watched:
         differs = differs | ((F.col(f"_new_{f}") != "") & (F.col(f"_new_{f}") != F.col(f)))
     action = F.when(F.col(row).isNull(), "added").when(F.lit(force) | differs, "updated").otherwise("skipped")
-    probe = probe.withColumn("_action", action)
+    probe = materialise(probe.withColumn("_action", action), "upsert_probe")
     last = Window.partitionBy(row).orderBy(F.col("_new_row").desc())
     changed = probe.where(F.col("_action") == "updated").withColumn("_rank", F.row_number().over(last)).where("_rank = 1")
-    merged = changed.select(
+    changed = changed.select(
         F.col(row), *[(F.when(F.col(f"_new_{h}") != "", F.col(f"_new_{h}")).otherwise(F.col(h)) if h in given else F.col(h)).alias(h) for h in header]
     )
-    kept = old.join(merged.select(row), row, "left_anti")
     top = old.agg(F.coalesce(F.max(row), F.lit(0)).alias("_top"))
     added = probe.where(F.col("_action") == "added").crossJoin(F.broadcast(top)).select(
         (F.col("_top") + 1 + F.col("_new_row")).alias(row),
@@ -191,5 +210,4 @@ def upsert(
         *[F.count_if(F.col("_action") == a).alias(a) for a in ("added", "updated", "skipped")],
         F.lit(0).cast("bigint").alias("errors"),
     )
-    table = kept.unionByName(merged).unionByName(added)
-    return table.select(row, *header), stats
+    return old.select(row, *header), changed, added, stats

@@ -1,66 +1,176 @@
-"""Tables at rest: versioned Parquet snapshots, string scans, CSV, key and counter scans, date filters."""
+"""Tables at rest: Parquet tables that grow by logged changes, string scans, CSV, key and counter scans, date filters."""
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import BRAND_NAMES, COMPETITOR, DATE_COLUMNS, ORIGINAL_LINK_NAMES, OUR
 from ..functions.dates import to_instant
 from ..functions.text import clean_invisible, find_column, header_key
-from ..operators.keyed import align_headers, duplicate_losers, keep_one, upsert
+from ..operators.keyed import align_headers, duplicate_losers, keep_one, upsert_changes
 from ..storage import exists, materialise
 
 
 class Table:
-    """A table in the shared folder: each change writes a new snapshot, then points ``_current`` at it.
-
-    A reader or a failed job never sees half a snapshot, and no job overwrites what it reads.
+    """A table in the shared folder that grows by changes: appending or updating rows writes these rows only.
+
+    Rows lie in folders below ``data``. A numbered ``log`` says what each folder is: ``base`` (the whole table), ``append``
+    (more rows) or ``rows`` (rows that take the place of those at their positions, or are new). A folder counts once its
+    log entry is there, so a reader or a failed job never sees half a change. An entry's file gets its name by a rename
+    that fails where the number is taken: of two writers one comes second, and none overwrites the other. An append then
+    takes the next number; an upsert reads the table again and is worked out anew. Once changes are many or large they
+    are folded into a new base, so each row is rewritten a bounded number of times on average.
     """
 
+    #: Changes after which a new base is written; and their share of the base's bytes, from LEAST_BYTES on.
+    MOST_CHANGES = 16
+    MOST_SHARE = 0.5
+    LEAST_BYTES = 64 << 20
+    ATTEMPTS = 20
+
     def __init__(self, spark: SparkSession, path: str, keep: int = 2):
         self.spark, self.path, self.keep = spark, path.rstrip("/"), keep
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        self._path = self._jvm.org.apache.hadoop.fs.Path
+        at = self._path(self.path)
+        self._fs = at.getFileSystem(conf)
+        self._context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.makeQualified(at).toUri(), conf)
 
-    def _versions(self) -> list[int]:
-        if not exists(self.spark, self.path):
+    # ---- log ----
+
+    def _entries(self, bases: int = 1) -> list[dict]:
+        """Log entries from the newest base on, in order; or from as many bases back; -1: all."""
+        if not exists(self.spark, f"{self.path}/log"):
             return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.path))]
-        done = [n for n in names if n.startswith("v") and self._fs.exists(self._path(f"{self.path}/{n}/_SUCCESS"))]
-        return sorted(int(n[1:]) for n in done)
+        numbers = sorted(n for s in self._fs.listStatus(self._path(f"{self.path}/log")) if (n := s.getPath().getName()).isdigit())
+        out: list[dict] = []
+        for n in reversed(numbers):
+            stream = self._fs.open(self._path(f"{self.path}/log/{n}"))
+            try:
+                out.append(json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")) | {"number": int(n)})
+            finally:
+                stream.close()
+            bases -= out[-1]["kind"] == "base"
+            if not bases:
+                break
+        return out[::-1]
+
+    def _write(self, df: DataFrame) -> str:
+        folder = uuid.uuid4().hex
+        df.write.mode("overwrite").parquet(f"{self.path}/data/{folder}")
+        return folder
+
+    def _commit(self, number: int, kind: str, folder: str, **more: str) -> bool:
+        """Whether the entry has the number; not so where another writer was first."""
+        new = self._path(f"{self.path}/log/.{folder}")
+        out = self._fs.create(new, True)
+        out.write(bytearray(json.dumps({"kind": kind, "folder": folder, **more}).encode()))
+        out.close()
+        none = getattr(self._jvm, "org.apache.hadoop.fs.Options$Rename").NONE
+        options = self.spark.sparkContext._gateway.new_array(getattr(self._jvm, "org.apache.hadoop.fs.Options$Rename"), 1)
+        options[0] = none
+        try:
+            self._context.rename(new, self._path(f"{self.path}/log/{number:012d}"), options)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+                raise
+            self._fs.delete(new, False)
+            return False
+        return True
+
+    def _add(self, kind: str, folder: str, **more: str) -> None:
+        """An entry at the next free number."""
+        for _ in range(self.ATTEMPTS * 10):
+            entries = self._entries()
+            if self._commit(entries[-1]["number"] + 1 if entries else 1, kind, folder, **more):
+                return
+        raise RuntimeError(f"no place in the log of {self.path}")
+
+    # ---- reading ----
+
+    def _data(self, entry: dict) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/data/{entry['folder']}")
+
+    def _now(self, entries: list[dict]) -> DataFrame | None:
+        """The table that the entries give: whole and appended rows, without those that changed, and the newest of these."""
+        if not entries:
+            return None
+        still = [self._data(e) for e in entries if e["kind"] != "rows"]
+        changes = [e for e in entries if e["kind"] == "rows"]
+        df = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), still) if still else None
+        if not changes:
+            return df
+        row = changes[0]["row"]
+        new = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [self._data(e).withColumn("_change", F.lit(e["number"])) for e in changes])
+        new = new.groupBy(row).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in new.columns if c not in (row, "_change")]), "_change").alias("_new")).select(row, "_new.*")
+        if df is None:
+            return new
+        out = df.join(new.select(row), row, "left_anti").unionByName(new, allowMissingColumns=True)
+        late = [c for c in new.columns if c not in df.columns]  # columns that came with a change are empty before it
+        return out.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in late if out.schema[c].dataType.typeName() == "string"})
 
     def read(self, schema: str | None = None) -> DataFrame | None:
-        """The newest whole snapshot; without one an empty table of ``schema``, or None."""
-        v = self._versions()
-        if v:
-            return self.spark.read.parquet(f"{self.path}/v{v[-1]}")
-        return self.spark.createDataFrame([], schema) if schema else None
+        """The table as the log has it now; without any entry an empty table of ``schema``, or None."""
+        df = self._now(self._entries())
+        return df if df is not None or not schema else self.spark.createDataFrame([], schema)
+
+    # ---- writing ----
 
     def overwrite(self, df: DataFrame) -> None:
-        v = self._versions()
-        df.write.mode("overwrite").parquet(f"{self.path}/v{(v[-1] if v else 0) + 1}")
-        for old in v[: -(self.keep - 1)] if self.keep > 1 else v:
-            self._fs.delete(self._path(f"{self.path}/v{old}"), True)
+        self._add("base", self._write(df))
+        self._forget()
 
     def append(self, df: DataFrame) -> None:
-        """Rows added in a new snapshot; columns may differ."""
-        old = self.read()
-        self.overwrite(df if old is None else old.unionByName(df, allowMissingColumns=True))
+        """More rows; columns may differ. Appends at one time all count."""
+        folder = self._write(df)
+        if self._entries() or not self._commit(1, "base", folder):
+            self._add("append", folder)
+        self._fold()
 
     def upsert(self, new: DataFrame, key: str = "link", row: str = "row_pos", force: bool = False) -> dict[str, int]:
-        old = self.read()
-        if old is None:
-            names = [c for c in new.columns if c != row]
-            old = self.spark.createDataFrame([], f"{row} bigint, " + ", ".join(f"`{c}` string" for c in names))
-        table, counts = upsert(old, new, key, row, force=force)
-        got = counts.first().asDict()
-        if got["attempted"] and not got["errors"]:
-            self.overwrite(table)
-        return got
+        """Counts of what ``upsert`` does; only rows that are added or changed are written, whatever the table's size."""
+        new = materialise(new, "upsert")
+        for _ in range(self.ATTEMPTS):
+            entries = self._entries()
+            old = self._now(entries)
+            if old is None:
+                names = [c for c in new.columns if c != row]
+                old = self.spark.createDataFrame([], f"{row} bigint, " + ", ".join(f"`{c}` string" for c in names))
+            _, changed, added, counts = upsert_changes(old, new, key, row, force=force)
+            got = counts.first().asDict()
+            if got["errors"] or not got["added"] + got["updated"]:
+                return got
+            number = entries[-1]["number"] + 1 if entries else 1
+            if self._commit(number, "rows" if entries else "base", self._write(changed.unionByName(added)), row=row):
+                self._fold()
+                return got
+        raise RuntimeError(f"{self.path} changes faster than it can be updated")
+
+    def _bytes(self, entries: list[dict]) -> int:
+        return sum(self._fs.getContentSummary(self._path(f"{self.path}/data/{e['folder']}")).getLength() for e in entries)
+
+    def _fold(self) -> None:
+        """A new base where changes are many or large; left to the next writer where another change comes first."""
+        entries = self._entries()
+        base, changes = [e for e in entries if e["kind"] == "base"], [e for e in entries if e["kind"] != "base"]
+        if len(changes) <= self.MOST_CHANGES and self._bytes(changes) <= max(self.LEAST_BYTES, self.MOST_SHARE * self._bytes(base)):
+            return
+        if self._commit(entries[-1]["number"] + 1, "base", self._write(self._now(entries))):
+            self._forget()
+
+    def _forget(self) -> None:
+        """Drops what only bases before the newest ``keep`` need; readers of the ones kept go on."""
+        whole, kept = self._entries(bases=-1), self._entries(self.keep)
+        for e in whole[: -len(kept)]:
+            self._fs.delete(self._path(f"{self.path}/log/{e['number']:012d}"), False)
+            self._fs.delete(self._path(f"{self.path}/data/{e['folder']}"), True)
 
     def dedupe(self, key: str = "link", row: str = "row_pos") -> dict[str, int]:
         """Keeps the first row of each key, and every row whose key is blank; rewrites only if rows go."""
