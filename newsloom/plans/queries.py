@@ -1068,3 +1068,65 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q32_press_release_clusters(spark, sf_dir)
 
 
+
+
+_SYNC = """stored AS (
+  SELECT o_orderkey::VARCHAR AS link, CASE WHEN o_orderpriority = '1-URGENT' THEN '' ELSE o_orderpriority END AS source FROM orders WHERE o_orderstatus = 'F'),
+given AS (SELECT o_orderkey::VARCHAR AS link, o_orderpriority AS source, o_orderdate >= DATE '1995-01-01' AS late FROM orders),
+probe AS (
+  SELECT given.*, CASE WHEN stored.link IS NULL THEN 'added' WHEN given.source <> stored.source THEN 'updated' ELSE 'skipped' END AS action
+  FROM given LEFT JOIN stored ON given.link = stored.link)"""
+
+
+def _sync(spark, d):
+    """Both tables hold the orders that are filled; all orders come in."""
+    from ..sources.tables import Table
+
+    o = table(spark, d, "orders")
+    rows = o.select(
+        F.col("o_orderkey").alias("row_pos"), F.col("o_orderkey").cast("string").alias("link"), F.col("o_orderpriority").alias("source"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_only"), "o_orderstatus",
+    )
+    given = rows.drop("o_orderstatus")
+    stored = rows.where("o_orderstatus = 'F'").select("row_pos", "link", F.when(F.col("source") != "1-URGENT", F.col("source")).otherwise("").alias("source"))
+    tables = [Table(spark, temporary(spark, name)) for name in ("raw_data", "total_result")]
+    for t in tables:
+        t.overwrite(stored)
+    return tables, given
+
+
+@query(
+    _with(
+        _SYNC,
+        """per AS (
+  SELECT 'raw_data' AS name, count(*) AS attempted, count(*) FILTER (action = 'added') AS added, count(*) FILTER (action = 'updated') AS updated,
+         count(*) FILTER (action = 'skipped') AS skipped FROM probe
+  UNION ALL SELECT 'total_result', count(*), count(*) FILTER (action = 'added'), count(*) FILTER (action <> 'added'), 0 FROM probe WHERE late)""",
+    )
+    + """SELECT name, attempted::BIGINT AS attempted, added::BIGINT AS added, updated::BIGINT AS updated, skipped::BIGINT AS skipped, 0::BIGINT AS errors FROM per
+UNION ALL SELECT 'all', sum(attempted)::BIGINT, sum(added)::BIGINT, sum(updated)::BIGINT, sum(skipped)::BIGINT, 0 FROM per"""
+)
+def q86_sync_totals(spark, d):
+    """Two tables synced one after the other, with the totals of both."""
+    from ..sources.tables import sync_tables
+
+    (raw, result), given = _sync(spark, d)
+    counts = sync_tables(raw, result, given.drop("date_only"), given, "1995-01-01")
+    names = ("attempted", "added", "updated", "skipped", "errors")
+    return spark.createDataFrame([(k, *(v[n] for n in names)) for k, v in counts.items()], "name string, " + ", ".join(f"{n} bigint" for n in names))
+
+
+@query(
+    _with(_SYNC)
+    + """SELECT p.link, p.source, CASE WHEN p.action = 'skipped' THEN '' ELSE strftime(o.o_orderdate, '%Y-%m-%d') END AS day
+FROM probe p JOIN orders o ON p.link = o.o_orderkey::VARCHAR
+UNION ALL SELECT 'late ' || o_orderkey, 'appended', NULL FROM orders WHERE o_orderstatus = 'P'"""
+)
+def q87_table_changes(spark, d):
+    """A table read through its log: a base, an upsert of added and changed rows with a new column, and an append."""
+    (raw, _), given = _sync(spark, d)
+    raw.upsert(given.withColumnRenamed("date_only", "day"))
+    o = table(spark, d, "orders").where("o_orderstatus = 'P'")
+    raw.append(o.select(F.concat(F.lit("late "), F.col("o_orderkey")).alias("link"), F.lit("appended").alias("source")))
+    late = F.col("link").startswith("late ")
+    return raw.read().select("link", "source", F.when(~late, F.col("day")).alias("day"))

@@ -230,6 +230,15 @@ class Table:
         return len(more)
 
 
+def sync_tables(raw: Table, result: Table, raw_rows: DataFrame, result_rows: DataFrame, cutoff: str, row: str = "row_pos") -> dict[str, dict[str, int]]:
+    """Counts of both upserts and their totals: raw rows as they are, then result rows from ``cutoff`` on, forced.
+
+    Each table is saved on its own: what the second one raises leaves the first as it is.
+    """
+    out = {"raw_data": raw.upsert(raw_rows, row=row), "total_result": result.upsert(filter_by_best_date(result_rows, cutoff), row=row, force=True)}
+    return out | {"all": {k: sum(x[k] for x in out.values()) for k in out["raw_data"]}}
+
+
 def read_strings(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """CSV with a header as strings; a byte-order mark and invisible characters in names don't count."""
     df = spark.read.option("header", True).option("recursiveFileLookup", recursive).option("multiLine", True).option("escape", '"').csv(path)

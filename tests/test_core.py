@@ -200,6 +200,91 @@ def test_tables(spark, tmp_path):
     assert filter_by_best_date(spark.createDataFrame([("2026-03-01", "x"), ("2026-01-01", "y")], "date_only string, k string"), "2026-02-01").count() == 1
 
 
+def test_an_upsert_writes_what_changes(spark, tmp_path):
+    """One key in a hundred: about a hundredth of the bytes. Readers see the newest rows; columns that come later are empty before."""
+    import os
+
+    size = lambda: sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(tmp_path) for f in fs if f.endswith(".parquet"))
+    t = Table(spark, str(tmp_path / "t"))
+    rows = spark.range(100_000).select(F.col("id").alias("row_pos"), F.concat(F.lit("k"), "id").alias("link"), F.sha2(F.col("id").cast("string"), 256).alias("source"))
+    t.overwrite(rows.coalesce(1))
+    whole = size()
+    some = rows.where("row_pos % 100 = 7").select("row_pos", "link", F.lit("new").alias("source"), F.lit("m").alias("month")).coalesce(1)
+    assert t.upsert(some) == {"attempted": 1000, "added": 0, "updated": 1000, "skipped": 0, "errors": 0}
+    assert size() - whole < 0.02 * whole
+    again = some.where("row_pos < 1000").withColumn("source", F.lit("newer"))
+    assert t.upsert(again)["updated"] == 10
+    got = t.read()
+    assert got.count() == 100_000 and got.where("source = 'new' and month = 'm'").count() == 990 and got.where("source = 'newer'").count() == 10
+    assert got.where("month = ''").count() == 99_000 and got.where("month is null").count() == 0
+    assert t.upsert(again) == {"attempted": 10, "added": 0, "updated": 0, "skipped": 10, "errors": 0}
+
+
+def test_changes_are_folded(spark, tmp_path):
+    import os
+
+    t = Table(spark, str(tmp_path / "t"))
+    for i in range(Table.MOST_CHANGES + 4):
+        t.append(spark.createDataFrame([(i,)], "k long"))
+        assert sorted(r.k for r in t.read().collect()) == list(range(i + 1))
+    assert [e["kind"] for e in t._entries()] == ["base", "append", "append"]
+    t.overwrite(spark.createDataFrame([(1,)], "k long"))
+    t.overwrite(spark.createDataFrame([(2,)], "k long"))
+    assert [r.k for r in t.read().collect()] == [2]
+    assert len(os.listdir(tmp_path / "t" / "data")) == 2 and Table(spark, t.path).read().count() == 1
+
+
+def test_two_writers_lose_nothing(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    t = Table(spark, str(tmp_path / "a"))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: Table(spark, t.path).append(spark.createDataFrame([(i,)], "k long")), range(8)))
+    assert sorted(r.k for r in t.read().collect()) == list(range(8))
+    u = Table(spark, str(tmp_path / "u"))
+    u.upsert(spark.createDataFrame([(0, "a", "x"), (1, "b", "x")], "row_pos long, link string, source string"))
+
+    class Late(Table):
+        """Another writer comes in between reading and committing."""
+
+        late = True
+
+        def _commit(self, number, kind, folder, **more):
+            if self.late:
+                self.late = False
+                Table.upsert(Table(spark, self.path), spark.createDataFrame([(0, "b", "other"), (1, "c", "other")], "row_pos long, link string, source string"))
+            return super()._commit(number, kind, folder, **more)
+
+    got = Late(spark, u.path).upsert(spark.createDataFrame([(0, "c", "mine"), (1, "d", "mine")], "row_pos long, link string, source string"))
+    assert got["added"] == 1 and got["updated"] == 1
+    rows = u.read().collect()
+    assert sorted((r.link, r.source) for r in rows) == [("a", "x"), ("b", "other"), ("c", "mine"), ("d", "mine")]
+    assert len({r.row_pos for r in rows}) == 4
+
+
+def test_blank_keys_meet_nobody(spark):
+    """Nine rows in ten have a blank key: the plan brings none of them together, and all of them stay or are added."""
+    rows = [(i, "" if i % 10 else f"k{i % 40}", "s") for i in range(400)]
+    df = spark.createDataFrame(rows, "row_pos long, link string, source string")
+    left = keyed.keep_one(df, "link", [F.col("row_pos")], keep_blank=True)
+    assert left.count() == 364 and left.where("link <> ''").count() == 4
+    parted = left.select("link", F.spark_partition_id().alias("p")).where("link = ''").groupBy("p").count().collect()
+    assert len(parted) > 1 and max(r["count"] for r in parted) <= 2 * 360 / len(parted)
+    _, stats = keyed.upsert(df, df)
+    assert stats.first().asDict() == {"attempted": 400, "added": 360, "updated": 0, "skipped": 40, "errors": 0}
+
+
+def test_sync_of_two_tables(spark, tmp_path):
+    from newsloom.sources.tables import sync_tables
+
+    raw, result = Table(spark, str(tmp_path / "raw")), Table(spark, str(tmp_path / "result"))
+    rows = spark.createDataFrame([(0, "a", "2026-03-01"), (1, "b", "2025-01-01"), (2, "c", "no date")], "row_pos long, link string, date_only string")
+    got = sync_tables(raw, result, rows, rows, "2026-02-01")
+    assert got["all"] == {"attempted": 4, "added": 4, "updated": 0, "skipped": 0, "errors": 0} and [r.link for r in result.read().collect()] == ["a"]
+    got = sync_tables(raw, result, rows, rows, "2026-02-01")
+    assert got["raw_data"]["skipped"] == 3 and got["total_result"]["updated"] == 1 and got["all"]["attempted"] == 4
+
+
 def test_duplicates_are_deleted(spark, tmp_path):
     t = Table(spark, str(tmp_path / "t"))
     assert t.delete_duplicates() == (0, False)
