@@ -14,7 +14,7 @@ from ..functions.scores import blend
 from ..functions.text import clean_markup, cluster_label, cluster_number, jaccard, media_key, non_blank, normalise_group, query_prefix, summary_tokens, tokens
 from ..storage import exists, materialise
 from .components import connected_components
-from .keyed import row_numbers
+from .keyed import left_join_filled, row_numbers
 from .similarity import cosine_pairs, gram_weights, jaccard_pairs
 
 
@@ -180,7 +180,7 @@ def longest_representatives(df: DataFrame, group: str, ts: str, tie: str) -> Dat
 def propagate(df: DataFrame, results: DataFrame, group: str, columns: list[str]) -> DataFrame:
     """Each group's result on all its members; rows without a result keep what they have."""
     got = results.select(F.col(group).alias("_g"), *[F.col(c).alias(f"_new_{c}") for c in columns])
-    out = df.join(got, df[group] == got["_g"], "left")
+    out = left_join_filled(df, got, group, "_g")
     have = [c for c in columns if c in df.columns]
     out = out.withColumns({c: F.coalesce(f"_new_{c}", c) if c in have else F.col(f"_new_{c}") for c in columns})
     return out.drop("_g", *[f"_new_{c}" for c in columns])
@@ -189,8 +189,9 @@ def propagate(df: DataFrame, results: DataFrame, group: str, columns: list[str])
 def first_summary(df: DataFrame, group: str, summary: str, order: str) -> DataFrame:
     """Every member of a non-blank group gets the group's first non-blank summary by ``order``."""
     have = df.where(non_blank(F.col(group)).isNotNull() & non_blank(F.col(summary)).isNotNull())
-    first = have.groupBy(group).agg(F.min_by(summary, order).alias("_first"))
-    return df.join(first, group, "left").withColumn(summary, F.coalesce("_first", summary)).drop("_first")
+    # written, so that the join of a large group can be split
+    first = materialise(have.groupBy(F.col(group).alias("_g")).agg(F.min_by(summary, order).alias("_first")), "first_summaries")
+    return left_join_filled(df, first, group, "_g").withColumn(summary, F.coalesce("_first", summary)).drop("_first", "_g")
 
 
 def merge_candidates(df: DataFrame) -> DataFrame:
@@ -265,7 +266,8 @@ def merge_across(df: DataFrame, cfg: CrossMerge = CrossMerge(), start: int = 0,
     groups = named.select("component", F.col("least").alias("target"), F.when(F.col("press"), PRESS_RELEASE).otherwise(SIMILAR_TOPIC).alias("label"))
     by_row = parts.join(groups, "component").select(F.col("row").alias("_row"), "target", "label")
     by_cluster = cand.where(F.col("old").isNotNull()).join(groups, "component").select(F.col("old").alias("_old"), F.col("target").alias("_target"), F.col("label").alias("_label")).distinct()
-    out = df.join(by_row, df["row"] == by_row["_row"], "left").join(by_cluster, df["cluster_id"] == by_cluster["_old"], "left")
+    by_row, by_cluster = materialise(by_row, "by_row"), materialise(by_cluster, "by_cluster")
+    out = left_join_filled(df.join(by_row, df["row"] == by_row["_row"], "left"), by_cluster, "cluster_id", "_old")
     out = out.withColumns(
         {
             "cluster_id": F.coalesce("target", "_target", "cluster_id"),

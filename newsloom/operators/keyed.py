@@ -22,6 +22,13 @@ def keep_one(df: DataFrame, key: str, order: Sequence[Column], keep_blank: bool
     return ranked(df.where(~blank)).unionByName(df.where(blank))
 
 
+def left_join_filled(df: DataFrame, other: DataFrame, key: str, other_key: str) -> DataFrame:
+    """A left join on ``key`` = ``other_key``. Rows whose key is null or empty match nothing and, however many, never meet."""
+    text = df.schema[key].dataType.typeName() == "string"
+    bare = (F.coalesce(F.col(key), F.lit("")) == "") if text else F.col(key).isNull()
+    return df.where(~bare).join(other, F.col(key) == F.col(other_key), "left").unionByName(df.where(bare), allowMissingColumns=True)
+
+
 def keep_first(df: DataFrame, key: str, order: str) -> DataFrame:
     return keep_one(df, key, [F.col(order).asc_nulls_last()])
 

@@ -6,14 +6,16 @@
 from __future__ import annotations
 
 import argparse
+from collections import Counter
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Settings, load_settings
-from ..constants import FIRST_REASONS, REASONING_COLUMNS, RESULT_COLUMNS, SECOND_REASONS
+from ..constants import FIRST_REASONS, PRESS_RELEASE, REASONING_COLUMNS, RESULT_COLUMNS, SECOND_REASONS
 from ..functions.dates import parse_pubdate, pubdate_iso
-from ..functions.scores import cost
+from ..functions.scores import cost_of
 from ..functions.text import article_id, cluster_number, non_blank, strip_html
 from ..operators import audit, classify, clusters, keyed, reports
 from ..sources.tables import Table, filter_by_best_date, on_or_after
@@ -84,13 +86,16 @@ def reasoning_rows(rows: DataFrame, now: str) -> DataFrame:
 
 def run(
     spark: SparkSession, store: str, mode: str = "full", classifier: classify.Classifier | None = None, settings: Settings | None = None,
-    now: str = "", collected: DataFrame | None = None, run_id: str = "run", limit: int | None = None,
+    now: str = "", collected: DataFrame | None = None, run_id: str = "run", limit: int | None = None, chunk: int | None = None,
 ) -> RunLog:
     """One run over the tables below ``store``; a dry run calls no classifier and writes no table.
 
     Rows are written to the shared folder between phases and saved into the result table after processing and after
-    each classification phase. limit: process only so many articles, the first by link.
+    each classification phase; with ``chunk`` also after every so many classified articles, so that a phase that ends early
+    keeps what it has. Counts of answers and failures come from the writing of the labels; reasons go to their own table.
+    limit: process only so many articles, the first by link. now: the stamp of the run, the present time if blank.
     """
+    now = now or datetime.now(UTC).isoformat(timespec="seconds")
     settings, log, dry = settings or load_settings(), RunLog(run_id, now, mode), mode == "dry_run"
     tables = {t: Table(spark, f"{store}/{t}") for t in TABLES}
     if collected is not None and mode != "recheck_only" and not dry:
@@ -127,24 +132,39 @@ def run(
     saved = _save(tables, rows, settings, log, "processing")
     if mode in ("full", "recheck_only"):
         model = classifier or classify.RuleClassifier()
+        spent = lambda articles: round(cost_of(articles), 4)
+
+        def reported(labels: DataFrame) -> None:
+            asked = rows.select("row", "article_id").join(classify.reasons_of(labels), "row")
+            reasons = materialise(reasoning_rows(asked, now), "reasons")
+            if not reasons.isEmpty():
+                tables["reasoning"].backfill(REASONING_COLUMNS)
+                tables["reasoning"].append(reasons)
+
+        def press_done(labels: DataFrame, n: dict[str, int]) -> None:
+            log.log(pr_clusters_analyzed=n["asked"], pr_articles_propagated=n["propagated"], pr_llm_success=n["success"], pr_llm_failed=n["failed"], pr_cost_estimated=spent(n["success"]))
+            reported(labels)
+
+        def articles_done(labels: DataFrame, n: dict[str, int]) -> None:
+            n = Counter(n)
+            log.log(articles_classified_llm=n["success"], llm_api_calls=n["success"] + n["second_success"], classification_errors=n["failed"], llm_cost_estimated=spent(n["success"]))
+            reported(labels)
+
         log.start("pr_classification")
-        rows = materialise(classify.classify_press_releases(rows, model, now), "press_classified")
+        rows = materialise(classify.classify_press_releases(rows, model, now, press_done), "press_classified")
         saved = _save(tables, rows, settings, log, "pr_classification")
         log.end("pr_classification")
         log.start("general_classification")
-        rows = materialise(classify.classify_articles(rows, model, now), "classified")
+        log.log(press_releases_skipped=rows.where((F.col("source") == PRESS_RELEASE) & ~classify.needs_classification()).count())
+        part = lambda done: _save(tables, done, settings, log, "general_classification_chunk")
+        rows = materialise(classify.classify_articles(rows, model, now, articles_done, chunk, part), "classified")
         saved = _save(tables, rows, settings, log, "general_classification")
-        done = rows.where(F.col("classified_at") == now).count()
-        log.log(articles_classified_llm=done, classification_errors=n - done, llm_cost_estimated=round(spark.range(1).select(cost(F.lit(done))).first()[0], 4))
         log.end("general_classification")
         log.start("source_verification")
-        rows = materialise(classify.verify_and_regroup(rows, classifier), "verified")
+        rows = materialise(classify.verify_and_regroup(rows, classifier, lambda n: log.log(**n)), "verified")
         rows = materialise(classify.summarise_clusters(rows), "regrouped")
         saved = _save(tables, rows, settings, log, "source_verification")
         log.end("source_verification")
-        reasons = reasoning_rows(rows, now)
-        if not reasons.isEmpty():
-            tables["reasoning"].append(reasons)
     log.log(sheets_rows_uploaded_result=saved)
     whole = tables["total_result"].read()
     if whole is not None:
@@ -171,11 +191,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--now", default="")
     p.add_argument("--settings")
     p.add_argument("--limit", type=int)
+    p.add_argument("--chunk_size", type=int)
     for m in MODES[:-1]:
         p.add_argument(f"--{m}", action="store_true")
     a = p.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    log = run(spark, a.store, run_mode(a.dry_run, a.raw_only, a.preprocess_only, a.recheck_only), settings=load_settings(a.settings), now=a.now, limit=a.limit)
+    log = run(spark, a.store, run_mode(a.dry_run, a.raw_only, a.preprocess_only, a.recheck_only), settings=load_settings(a.settings), now=a.now, limit=a.limit, chunk=a.chunk_size)
     for k, v in log.metrics.items():
         print(f"{k}: {v}")
     if "total_result_count" in log.metrics:

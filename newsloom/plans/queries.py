@@ -1130,3 +1130,86 @@ def q87_table_changes(spark, d):
     raw.append(o.select(F.concat(F.lit("late "), F.col("o_orderkey")).alias("link"), F.lit("appended").alias("source")))
     late = F.col("link").startswith("late ")
     return raw.read().select("link", "source", F.when(~late, F.col("day")).alias("day"))
+
+
+class _Answers:
+    """A model whose answers follow from the prompt alone: row numbers decide on labels, on failures and on what is left out."""
+
+    def first(self, prompt: str) -> tuple[int, float | None, str]:
+        import json as j
+
+        row, query = prompt.split("|")
+        n = int(row)
+        if n % 11 == 3:
+            return 503, None, "overloaded"
+        if n % 13 == 4:
+            return 200, None, j.dumps({"output_text": "no braces here"})
+        answer = {
+            "brand_relevance": ["관련", "언급", "무관"][n % 3], "sentiment_stage": ["부정 후보", "중립"][n % 2], "news_category": "고객 경험",
+            "brand_relevance_query_keywords": [query], "news_keyword_summary": f"s{n}", "reasoning": {"article_subject": f"about {query}", "brand_role": "주체"} if n % 5 else None,
+        }
+        fenced = "```json\n" + j.dumps(answer, ensure_ascii=False)[:-1] + ",}\n```"
+        return 200, None, j.dumps({"choices": [{"message": {"content": fenced}}]}, ensure_ascii=False)
+
+    def second(self, prompt: str) -> tuple[int, float | None, str]:
+        import json as j
+
+        n = int(prompt.split("|")[0])
+        if n % 8 == 0:
+            raise OSError("no network")
+        return 200, None, j.dumps({"output_text": j.dumps({"danger_level": "상", "issue_category": "평판/PR", "reasoning": {"severity_analysis": prompt.split("|")[1]}}, ensure_ascii=False)})
+
+    def post(self, prompt: str) -> tuple[int, float | None, str]:
+        return self.first(prompt[2:]) if prompt.startswith("1:") else self.second(prompt[2:])
+
+
+def _model_labels(spark, d):
+    rows = table(spark, d, "documents").select(
+        F.col("doc_id").alias("row"), F.col("lang").alias("query"), F.lit("OUR").alias("group"), F.col("source").alias("title"), F.lit("").alias("description")
+    )
+    model = classify.ModelClassifier(_Answers().post, "1:{{row}}|{{query}}", "2:{{row}}|{{sentiment_stage}}", workers=8, attempts=1)
+    return classify.label(rows, model, "now")
+
+
+_MODEL = """m AS (
+  SELECT doc_id AS n, lang, doc_id % 11 = 3 OR doc_id % 13 = 4 AS failed, doc_id % 3 = 2 AS off,
+         NOT (doc_id % 11 = 3 OR doc_id % 13 = 4) AND doc_id % 2 = 0 AND doc_id % 3 <> 2 AS asked_again FROM documents)"""
+
+
+@query(
+    _with(_MODEL)
+    + """SELECT count(*)::BIGINT AS asked, (count(*) FILTER (NOT failed))::BIGINT AS success, (count(*) FILTER (failed))::BIGINT AS failed,
+(count(*) FILTER (asked_again))::BIGINT AS second_asked, (count(*) FILTER (asked_again AND n % 8 <> 0))::BIGINT AS second_success FROM m"""
+)
+def q88_answer_counts(spark, d):
+    """Counts of both passes, taken while the labels are written."""
+    _, counts = _model_labels(spark, d)
+    names = ("asked", "success", "failed", "second_asked", "second_success")
+    return spark.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+
+
+@query(
+    _with(_MODEL)
+    + """SELECT n AS article_id, 'now' AS classified_at, 'about ' || lang AS article_subject, '주체' AS brand_role,
+CASE WHEN asked_again AND n % 8 <> 0 THEN '부정 후보' ELSE '' END AS severity_analysis FROM m WHERE NOT failed AND n % 5 <> 0"""
+)
+def q89_reasons(spark, d):
+    """The reasoning table's rows: first-pass reasons, with those of the second pass where there is a first."""
+    from .coverage import reasoning_rows
+
+    labels, _ = _model_labels(spark, d)
+    out = reasoning_rows(classify.reasons_of(labels).withColumn("article_id", F.col("row")), "now")
+    return out.select(F.col("article_id").cast("bigint").alias("article_id"), "classified_at", "article_subject", "brand_role", "severity_analysis")
+
+
+@query(
+    _with(_MODEL)
+    + """SELECT n AS "row", CASE WHEN failed THEN '' ELSE ['관련', '언급', '무관'][n % 3 + 1] END AS brand_relevance,
+CASE WHEN failed THEN '' WHEN off THEN '중립' ELSE ['부정 후보', '중립'][n % 2 + 1] END AS sentiment_stage,
+CASE WHEN failed THEN '' WHEN off THEN '비관련' ELSE '고객 경험' END AS news_category,
+CASE WHEN asked_again AND n % 8 <> 0 THEN '상' ELSE '' END AS danger_level, CASE WHEN failed THEN 'failed' ELSE 'ok' END AS status FROM m"""
+)
+def q90_model_labels(spark, d):
+    """Labels of a model asked on executors: answers repaired and read, failures blank, the unrelated post-processed."""
+    labels, _ = _model_labels(spark, d)
+    return labels.select("row", "brand_relevance", "sentiment_stage", "news_category", "danger_level", "status")

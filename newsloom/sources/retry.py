@@ -12,18 +12,30 @@ from ..functions.scores import backoff
 Send = Callable[[], tuple[int, float | None, object]]
 
 
-def with_retries(send: Send, attempts: int = 5, sleep: Callable[[float], None] = time.sleep, jitter: Callable[[], float] = random.random) -> object | None:
-    """The body of the first answer that succeeds; None after ``attempts`` tries or at once on any other refusal.
+class Refused(RuntimeError):
+    """The service won't take this call however often it is made: a bad key (401) or a bad request (400)."""
 
-    429, 5xx and network failures are tried again after ``backoff``'s wait.
+
+def with_retries(
+    send: Send, attempts: int = 5, sleep: Callable[[float], None] = time.sleep, jitter: Callable[[], float] = random.random,
+    notify: Callable[[str], None] | None = None,
+) -> object | None:
+    """The body of an answer 200; None after ``attempts`` tries that were overload, server or network errors.
+
+    These are tried again after ``backoff``'s wait. 400 and 401 raise ``Refused`` at once; any other answer is None at
+    once. ``notify`` gets a line on every failure.
     """
+    say = notify or (lambda _: None)
     for n in range(attempts):
         try:
             status, after, body = send()
-        except OSError:
-            status, after, body = None, None, None
-        if status is not None and 200 <= status < 300:
+        except OSError as error:
+            status, after, body = None, None, str(error)
+        if status == 200:
             return body
+        say(f"attempt {n + 1} of {attempts}: {status or 'network'} {str(body or '')[:200]}".rstrip())
+        if status in (400, 401):
+            raise Refused(f"answer {status}: {str(body or '')[:200]}")
         if status is not None and status != 429 and status < 500:
             return None
         if n + 1 < attempts:

@@ -170,6 +170,109 @@ def test_batch_classifier_keeps_failures(spark):
     assert got[1].sentiment_stage == "중립" and got[1].news_category == "비관련" and got[2].status == "failed" and got[2].brand_relevance is None
 
 
+def test_retries(spark):
+    """400 and 401 raise at once, overload and server errors are tried again, others give up at once."""
+    from newsloom.sources.retry import Refused, with_retries
+
+    def run(*given, **options):
+        todo, waits, said = list(given), [], []
+
+        def send():
+            x = todo.pop(0)
+            if isinstance(x, Exception):
+                raise x
+            return x
+
+        try:
+            got = with_retries(send, sleep=waits.append, jitter=lambda: 0.5, notify=said.append, **options)
+        except Refused as error:
+            got = str(error)[:10]
+        return got, waits, len(said), len(todo)
+
+    assert run((200, None, "a")) == ("a", [], 0, 0)
+    assert run((401, None, ""), (200, None, "a")) == ("answer 401", [], 1, 1) and run((400, None, "bad"))[0] == "answer 400"
+    assert run((429, None, ""), (429, 3.0, ""), (429, 40.0, ""), (200, None, "a")) == ("a", [18.0, 13.0, 43.0], 3, 0)
+    assert run((500, 99.0, ""), (503, None, ""), OSError("net"), (200, None, "a")) == ("a", [8.0, 16.0, 8.0], 3, 0)
+    assert run(*[(500, None, "")] * 5) == (None, [8.0, 16.0, 32.0, 64.0], 5, 0) and run((429, None, ""), attempts=1) == (None, [], 1, 0)
+    assert run((404, None, ""), (200, None, "a")) == (None, [], 1, 1) and run(*[OSError("x")] * 5)[:2] == (None, [2.0, 4.0, 8.0, 16.0])
+
+
+def test_model_calls_are_bounded_and_fail_alone(spark, tmp_path):
+    from newsloom.sources.model import call_model
+
+    def post(prompt):
+        import os
+        import time
+
+        open(tmp_path / f"{os.getpid()}-{time.monotonic_ns()}", "w").close()
+        if prompt == "p3":
+            return 401, None, "key"
+        if prompt == "p4":
+            raise ValueError("odd")
+        return (429, 0.0, "") if prompt == "p5" else (200, None, prompt)
+
+    df = spark.createDataFrame([(i, f"p{i}") for i in range(12)], "k int, prompt string").repartition(6)
+    called = call_model(df, "prompt", post, workers=2, per_second=50, attempts=2, sleep=lambda s: None)
+    got = {r.k: r for r in called.collect()}
+    assert {k for k, r in got.items() if r.status == "failed"} == {3, 4, 5} and got[7].payload == "p7" and got[5].calls == 2 and got[0].calls == 1
+    assert "401" in got[3].error and "ValueError" in got[4].error and "429" in got[5].error
+    assert len({f.name.split("-")[0] for f in tmp_path.iterdir()}) <= 2
+    assert called.rdd.getNumPartitions() == 2
+
+
+def model_rows(n):
+    return [(i, f"id{i:06d}", "q", "g", f"t{i}", "d", "일반기사", "", None) for i in range(n)]
+
+
+ROWS = "row long, article_id string, query string, `group` string, title string, description string, source string, cluster_id string, pub_datetime timestamp"
+
+
+def answering():
+    """A function of its own, so that executors get it by value."""
+
+    def answer(r, **more):
+        return {"brand_relevance": "관련", "sentiment_stage": "부정 후보", "news_category": "기타", "brand_relevance_query_keywords": ["k"], "news_keyword_summary": "s", "danger_level": "중", "issue_category": "기타"} | more
+
+    return answer
+
+
+def test_reasons_and_counts_of_a_phase(spark):
+    answer = answering()
+    first = lambda rows: [None if r["row"] == 2 else answer(r, reasoning={"article_subject": f"about {r['row']}", "brand_role": "주체"} if r["row"] != 3 else None) for r in rows]
+    second = lambda rows: [None if r["row"] == 1 else answer(r, reasoning={"severity_analysis": r["sentiment_stage"]}) for r in rows]
+    labels, n = classify.label(spark.createDataFrame(model_rows(5), ROWS), classify.BatchClassifier(first, second, batch=2), "now")
+    assert n == {"asked": 5, "success": 4, "failed": 1, "second_asked": 4, "second_success": 3}
+    got = {r.row: r for r in labels.collect()}
+    assert got[2].brand_relevance == "" and got[2].status == "failed" and got[2].classified_at == "now" and got[1].danger_level == "" and got[0].danger_level == "중"
+    rows = coverage.reasoning_rows(classify.reasons_of(labels).withColumn("article_id", F.concat(F.lit("id"), "row")), "now").collect()
+    assert sorted((r.article_id, r.article_subject, r.severity_analysis) for r in rows) == [("id0", "about 0", "부정 후보"), ("id1", "about 1", ""), ("id4", "about 4", "부정 후보")]
+
+
+def test_a_phase_that_dies_keeps_its_chunks(spark):
+    answer = answering()
+
+    def first(rows):
+        return [answer(r) for r in rows]
+
+    class Dies(classify.BatchClassifier):
+        asked = 0
+
+        def first_pass(self, articles):
+            Dies.asked += 1
+            if Dies.asked == 3:
+                raise OSError("gone")
+            return super().first_pass(articles)
+
+    saved, reported = [], []
+    out = classify.classify_articles(
+        spark.createDataFrame(model_rows(7), ROWS), Dies(first, first), "now", lambda labels, n: reported.append((labels.count(), n)), 2,
+        lambda rows: saved.append(sorted((r.row, r.brand_relevance) for r in rows.collect())),
+    )
+    assert saved == [[(0, "관련"), (1, "관련")], [(2, "관련"), (3, "관련")], [(4, ""), (5, "")], [(6, "관련")]]
+    assert reported == [(7, {"asked": 7, "success": 5, "failed": 2, "second_asked": 5, "second_success": 5})]
+    assert {r.row: r.brand_relevance for r in out.collect()} == {i: "" if i in (4, 5) else "관련" for i in range(7)}
+
+
 def test_number_rows_and_islands(spark):
     df = spark.createDataFrame([("a", 3, None), ("b", None, None), ("c", 1, None), ("d", 1, "9")], "link string, ts int, no string")
     assert {r.link: r.no for r in keyed.number_rows(df, "no", "ts", "link", 9).collect()} == {"d": 9, "c": 10, "a": 11, "b": 12}
@@ -364,6 +467,22 @@ def test_search_pages(spark):
         search.fetch_page(lambda *_: (429, []), "q", 1, 1)
 
 
+def test_coverage_run_counts_failures_and_keeps_reasons(spark, tmp_path):
+    answer = answering()
+    first = lambda rows: [None if "fails" in r["title"] else answer(r, reasoning={"article_subject": r["title"]}) for r in rows]
+    second = lambda rows: [answer(r, reasoning={"severity_analysis": "bad"}) for r in rows]
+    rows = [("L7", "OUR", t, f"d{i} {t}", "Thu, 12 Feb 2026 10:00:00 +0900", "", f"https://www.a.com/{i}") for i, t in enumerate(["one thing", "another matter fails", "quite different"])]
+    store = str(tmp_path / "store")
+    log = coverage.run(spark, store, "full", classify.BatchClassifier(first, second), collected=spark.createDataFrame(rows, search.SCHEMA), chunk=2)
+    m = log.metrics
+    assert (m["articles_classified_llm"], m["classification_errors"], m["llm_api_calls"], m["pr_clusters_analyzed"], m["sv_clusters_verified"]) == (2, 1, 4, 0, 0)
+    assert m["timestamp"] and m["llm_cost_estimated"] == round(2 * 0.000405, 4)
+    result = {r.title: r for r in Table(spark, f"{store}/total_result").read().collect()}
+    assert result["another matter fails"].classified_at == m["timestamp"] and result["another matter fails"].brand_relevance == "" and result["one thing"].danger_level == "중"
+    reasons = {r.article_subject: r for r in Table(spark, f"{store}/reasoning").read().collect()}
+    assert set(reasons) == {"one thing", "quite different"} and reasons["one thing"].severity_analysis == "bad" and reasons["one thing"].classified_at == m["timestamp"]
+
+
 def test_coverage_run(spark, tmp_path):
     day = lambda n: f"Thu, {n:02d} Feb 2026 10:00:00 +0900"
     t = "<b>L7</b> hotel opens a new roof bar in gangnam"
