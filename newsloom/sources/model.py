@@ -69,7 +69,9 @@ def call_model(
 
 def answers(called: DataFrame, schema: str) -> DataFrame:
     """``called`` with the answer's JSON as the struct ``answer``; an answer that can't be read, even repaired, has failed."""
-    found = F.from_json(repair(response_text(F.col("payload"))), schema)
+    # a text that doesn't parse gives a struct of nulls, so what didn't is asked for by name
+    whole = F.from_json(repair(response_text(F.col("payload"))), f"{schema}, _unread string", {"columnNameOfCorruptRecord": "_unread"})
+    found = F.when(whole["_unread"].isNull(), whole)
     bad = (F.col("status") == "ok") & F.col("answer").isNull()
     read = called.withColumn("answer", F.when(F.col("status") == "ok", found))
     return read.withColumns({"error": F.when(bad, "unreadable answer").otherwise(F.col("error")), "status": F.when(bad, "failed").otherwise(F.col("status"))}).drop("payload")
