@@ -14,7 +14,8 @@ may count once for each flush. A frame's numbers are spooled to a task-local fil
 
 Groups. Texts with one set are one class. The members of an n-gram's list meet its first and last member; confirmed pairs
 make components. Then, of every list that still holds several components, the members outside the largest one meet all
-members, in blocks. Every candidate pair is thus compared or already connected; pairs within a component are never listed.
+members, in blocks whose sets are compared in one task. Every candidate pair is thus compared or already connected, and
+neither candidates nor the pairs within a component are ever listed.
 """
 
 from __future__ import annotations
@@ -46,9 +47,12 @@ RANGES = 32
 #: Numbers that are sorted at once; members of a class that one task verifies; members of a list in a block.
 SLICE = 2_000_000
 MEMBERS = 4096
-BLOCK = 1024
+BLOCK = 512
 #: Rows (about 40 bytes) that are broadcast; larger tables are joined by a shuffle.
 FEW = 200_000
+#: Bytes of a class's digest that stand for it in frames; classes whose n-grams are ranked together.
+REF = 10
+CELL = 4000
 #: Bytes that an n-gram takes in a frame.
 PACKED = 9
 #: Frequencies are kept up to here; n-grams above it are in order of their hashes.
@@ -115,7 +119,7 @@ def _frames(size: int, percent: int, heavy, parts: int):
     """A record of each class of a flush (part null), and frames of the light n-grams for each range of hashes.
 
     A record has what the text's prefix needs besides frequencies: sizes, counts in RANGES, and the heavy n-grams that
-    reach into the prefix, in order. A frame: numbers of digests and of n-grams, digests, then 16-bit planes: text, hash.
+    reach into the prefix, in order. A frame: numbers of classes and of n-grams, classes, then 16-bit planes: text, hash.
     """
     edges = np.array([-(-(j << BITS) // parts) for j in range(1, parts)], np.uint64) << np.uint64(16)
     ranges = np.arange(1, RANGES, dtype=np.uint64) << np.uint64(64 - 5)
@@ -133,17 +137,17 @@ def _frames(size: int, percent: int, heavy, parts: int):
             packed = np.concatenate(held)
             packed.sort()
             cut = np.concatenate(([0], np.searchsorted(packed, edges), [len(packed)]))
-            digests = np.frombuffer(b"".join(r[2] for r in records), np.uint8).reshape(-1, 16)
+            refs = np.frombuffer(b"".join(r[2][:REF] for r in records), np.uint8).reshape(-1, REF)
             out = list(records)
             for p in np.flatnonzero(np.diff(cut)).tolist():
                 own = packed[cut[p] : cut[p + 1]]
                 planes = own.view("<u2").reshape(-1, 4)
                 text = planes[:, 0].astype(np.int64)
-                used = np.flatnonzero(np.bincount(text, minlength=len(digests)))
-                place = np.zeros(len(digests), np.uint16)
+                used = np.flatnonzero(np.bincount(text, minlength=len(refs)))
+                place = np.zeros(len(refs), np.uint16)
                 place[used] = np.arange(len(used))
                 frame = b"".join((
-                    np.array([len(used), len(own)], "<u4").tobytes(), digests[used].tobytes(), place[text].tobytes(), np.ascontiguousarray(planes[:, :0:-1].T).tobytes(),
+                    np.array([len(used), len(own)], "<u4").tobytes(), refs[used].tobytes(), place[text].tobytes(), np.ascontiguousarray(planes[:, :0:-1].T).tobytes(),
                 ))
                 out.append((p, frame, None, None, None, None, None, None))
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
@@ -176,104 +180,139 @@ def _frames(size: int, percent: int, heavy, parts: int):
     return run
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records as they are; and (class, keys): of each text the n-grams of this partition's frames that occur twice or
-    more, frequency above hash. Frames are spooled to files of the task, which go with it."""
+def _counted(cells: int):
+    """Records with their cells; and (cell, keys): the n-grams of this partition's frames that occur twice or more, as
+    frequency above hash, for the classes of each cell. Frames are spooled to files of the task, which go with it."""
     names = ["class", "n", "extra", "light", "tail", "sketch"]
-    with tempfile.TemporaryFile() as spool, tempfile.TemporaryFile() as heads:
-        frames: list[tuple[int, int, int]] = []  # place of the first number, numbers, place of the first digest
-        places, texts, kinds = 0, 0, []
-        for b in batches:
-            kinds = kinds or [b.schema.field(n).type for n in names[1:]]
-            own = b.filter(b.column("class").is_valid()).select(names)
-            if own.num_rows:
-                yield pa.RecordBatch.from_arrays([*own.columns, pa.nulls(own.num_rows, pa.binary())], names=[*names, "keys"])
-            for frame in b.column("frame").drop_null().to_pylist():
-                d, e = np.frombuffer(frame, "<u4", 2).tolist()
-                heads.write(frame[8 : 8 + 16 * d])
-                planes = np.frombuffer(frame, "<u2", 4 * e, 8 + 16 * d).reshape(4, e)
-                packed = np.empty((e, 4), "<u2")
-                packed[:, 0], packed[:, 1:] = planes[0], planes[:0:-1].T
-                spool.write(packed.tobytes())
-                frames.append((places, e, texts))
-                places, texts = places + e, texts + d
-        if not places:
-            return
-        spool.flush()
-        heads.flush()
-        digests = np.memmap(heads, np.uint8, "r", shape=(texts, 16))
-        numbers = np.memmap(spool, np.uint64, "r", shape=(places,))
-        parts = [numbers[a : a + e] for a, e, _ in frames]
-        slices = -(-places // SLICE)
-        some = np.sort(np.concatenate([p[:: max(1, places // 100_000)] for p in parts]))
-        bounds = np.unique(some[np.arange(1, slices) * len(some) // slices] >> np.uint64(16) << np.uint64(16))
-        cuts = [np.concatenate(([0], np.searchsorted(p, bounds), [len(p)])) for p in parts]
-        for s in range(len(bounds) + 1):
-            mine = [(p[c[s] : c[s + 1]], t) for p, c, (_, _, t) in zip(parts, cuts, frames, strict=True) if c[s] < c[s + 1]]
-            if not mine:
-                continue
-            gram = np.concatenate([x >> np.uint64(16) for x, _ in mine])
-            text = np.concatenate([(x & np.uint64(0xFFFF)).astype(np.int64) + t for x, t in mine])
-            order = np.argsort(gram, kind="stable")
-            gram, text = gram[order], text[order]
-            head = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
-            count = np.diff(np.append(head, len(gram)))
-            count = np.repeat(count, count)
-            again = count > 1
-            if not again.any():
-                continue
-            keys = np.minimum(count[again], MOST_FREQUENT).astype(np.uint64) << np.uint64(BITS) | gram[again]
-            text = text[again]
-            order = np.argsort(text, kind="stable")
-            keys, text = keys[order], text[order]
-            head = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1])))
-            raw, ends = keys.tobytes(), np.append(head[1:], len(text)).tolist()
-            own = [digests[t].tobytes() for t in text[head].tolist()]
-            cut = [raw[8 * a : 8 * z] for a, z in zip(head.tolist(), ends, strict=True)]
-            none = [pa.nulls(len(own), k) for k in kinds]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), *none, pa.array(cut, pa.binary())], names=[*names, "keys"])
+
+    def cell_of(refs: np.ndarray) -> np.ndarray:
+        return (np.ascontiguousarray(refs[:, :8]).view("<u8").ravel() % np.uint64(cells)).astype(np.int64)
+
+    def of_cells(keys: np.ndarray, text: np.ndarray, refs: np.ndarray) -> tuple[list[int], list[bytes]]:
+        """A frame for each cell: numbers of classes and keys, classes, keys of each, keys."""
+        used, text = np.unique(text, return_inverse=True)
+        own = np.asarray(refs[used])
+        cell = cell_of(own)
+        rank = np.empty(len(used), np.int64)
+        by_cell = np.argsort(cell, kind="stable")
+        rank[by_cell] = np.arange(len(used))
+        order = np.argsort(rank[text], kind="stable")
+        keys, count = keys[order], np.bincount(rank[text], minlength=len(used))
+        own, cell, end = own[by_cell], cell[by_cell], np.concatenate(([0], np.cumsum(count)))
+        head = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+        frames = []
+        for a, z in zip(head.tolist(), [*head[1:].tolist(), len(cell)], strict=True):
+            frames.append(b"".join((np.array([z - a, end[z] - end[a]], "<u4").tobytes(), own[a:z].tobytes(), count[a:z].astype("<u4").tobytes(), keys[end[a] : end[z]].tobytes())))
+        return cell[head].tolist(), frames
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with tempfile.TemporaryFile() as spool, tempfile.TemporaryFile() as heads:
+            frames: list[tuple[int, int, int]] = []  # place of the first number, numbers, place of the first class
+            places, texts, kinds = 0, 0, []
+            for b in batches:
+                kinds = kinds or [b.schema.field(n).type for n in names]
+                own = b.filter(b.column("class").is_valid()).select(names)
+                if own.num_rows:
+                    refs = np.frombuffer(b"".join(x[:REF] for x in own.column(0).to_pylist()), np.uint8).reshape(-1, REF)
+                    yield pa.RecordBatch.from_arrays([pa.array(cell_of(refs)), *own.columns, pa.nulls(own.num_rows, pa.binary())], names=["cell", *names, "keys"])
+                for frame in b.column("frame").drop_null().to_pylist():
+                    d, e = np.frombuffer(frame, "<u4", 2).tolist()
+                    heads.write(frame[8 : 8 + REF * d])
+                    planes = np.frombuffer(frame, "<u2", 4 * e, 8 + REF * d).reshape(4, e)
+                    packed = np.empty((e, 4), "<u2")
+                    packed[:, 0], packed[:, 1:] = planes[0], planes[:0:-1].T
+                    spool.write(packed.tobytes())
+                    frames.append((places, e, texts))
+                    places, texts = places + e, texts + d
+            if not places:
+                return
+            spool.flush()
+            heads.flush()
+            refs = np.memmap(heads, np.uint8, "r", shape=(texts, REF))
+            numbers = np.memmap(spool, np.uint64, "r", shape=(places,))
+            parts = [numbers[a : a + e] for a, e, _ in frames]
+            slices = -(-places // SLICE)
+            some = np.sort(np.concatenate([p[:: max(1, places // 100_000)] for p in parts]))
+            bounds = np.unique(some[np.arange(1, slices) * len(some) // slices] >> np.uint64(16) << np.uint64(16))
+            cuts = [np.concatenate(([0], np.searchsorted(p, bounds), [len(p)])) for p in parts]
+            for s in range(len(bounds) + 1):
+                mine = [(p[c[s] : c[s + 1]], t) for p, c, (_, _, t) in zip(parts, cuts, frames, strict=True) if c[s] < c[s + 1]]
+                if not mine:
+                    continue
+                gram = np.concatenate([x >> np.uint64(16) for x, _ in mine])
+                text = np.concatenate([(x & np.uint64(0xFFFF)).astype(np.int64) + t for x, t in mine])
+                order = np.argsort(gram, kind="stable")
+                gram, text = gram[order], text[order]
+                head = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
+                count = np.diff(np.append(head, len(gram)))
+                count = np.repeat(count, count)
+                again = count > 1
+                if again.any():
+                    keys = np.minimum(count[again], MOST_FREQUENT).astype(np.uint64) << np.uint64(BITS) | gram[again]
+                    cell, out = of_cells(keys, text[again], refs)
+                    none = [pa.nulls(len(cell), k) for k in kinds]
+                    yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), *none, pa.array(out, pa.binary())], names=["cell", *names, "keys"])
+
+    return run
 
 
 def _prefixes(percent: int):
-    """Of rows sorted by class, records and counted n-grams: (gram, class, n, extra, pos, sketch) of every prefix n-gram
+    """Of rows sorted by cell, records and frames of keys: (gram, class, n, extra, pos, sketch) of every prefix n-gram
     that another text may share. pos: its place among the text's n-grams, extra: n-grams without a 48-bit head of their own."""
     names = ["gram", "class", "n", "extra", "pos", "sketch"]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
 
-    def entries(own: bytes, record: tuple, keys: list[bytes]):
+    def entries(own: bytes, record: tuple, ranked: np.ndarray) -> list[tuple]:
         n, extra, light, tail, sketch = record
-        most = prefix_length(n, percent)
-        ranked = np.unique(np.frombuffer(b"".join(keys), np.uint64))
-        first = light - len(ranked)
+        most, first = prefix_length(n, percent), light - len(ranked)
         head = ranked[: max(0, most - first)] & np.uint64((1 << BITS) - 1)
         last = np.frombuffer(tail, np.uint64)
         grams = np.concatenate((head, last)).astype(np.int64).tolist()
         at = [*range(first, first + len(head)), *range(light, light + len(last))]
         return [(g, own, n, extra, p, sketch) for g, p in zip(grams, at, strict=True)]
 
+    def of_cell(records: dict[bytes, tuple], frames: list[bytes]) -> list[tuple]:
+        refs, counts, keys = [], [], []
+        for f in frames:
+            d, e = np.frombuffer(f, "<u4", 2).tolist()
+            refs.append(np.frombuffer(f, f"V{REF}", d, 8))
+            counts.append(np.frombuffer(f, "<u4", d, 8 + REF * d))
+            keys.append(np.frombuffer(f, "<u8", e, 8 + (REF + 4) * d))
+        place: dict[bytes, int] = {}
+        ends = np.zeros(1, np.int64)
+        every = np.zeros(0, np.uint64)
+        if frames:
+            known, which = np.unique(np.concatenate(refs), return_inverse=True)
+            owner, every = np.repeat(which, np.concatenate(counts)), np.concatenate(keys)
+            order = np.lexsort((every, owner))
+            owner, every = owner[order], every[order]
+            new = np.concatenate(([True], (owner[1:] != owner[:-1]) | (every[1:] != every[:-1])))  # a class that several flushes sent
+            owner, every = owner[new], every[new]
+            ends = np.searchsorted(owner, np.arange(len(known) + 1))
+            place = {x.tobytes(): i for i, x in enumerate(known)}
+        out = []
+        for own, record in records.items():
+            i = place.get(own[:REF])
+            out += entries(own, record, every[ends[i] : ends[i + 1]] if i is not None else every[:0])
+        return out
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        now, record, keys = None, None, []
+        now, records, frames = None, {}, []
 
         def batch() -> pa.RecordBatch:
-            cols = list(zip(*out, strict=True)) or [[]] * 6
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+            cols = list(zip(*of_cell(records, frames), strict=True)) or [[]] * len(names)
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
         for b in batches:
-            for own, some, *rest in zip(*(b.column(i).to_pylist() for i in range(7)), strict=True):
-                if own != now:
-                    if now is not None:
-                        out += entries(now, record, keys)
-                    now, record, keys = own, None, []
-                if some is None:
-                    record = tuple(rest)
+            for cell, own, *rest, keys in zip(*(b.column(i).to_pylist() for i in range(8)), strict=True):
+                if cell != now:
+                    if records:
+                        yield batch()
+                    now, records, frames = cell, {}, []
+                if own is None:
+                    frames.append(keys)
                 else:
-                    keys.append(some)
-                if len(out) >= 20_000:
-                    yield batch()
-                    out = []
-        if now is not None:
-            out += entries(now, record, keys)
+                    records[own] = tuple(rest)
         yield batch()
 
     return run
@@ -308,8 +347,9 @@ def _may_link(x: F.Column, y: F.Column, percent: int) -> F.Column:
     return long & (shared >= need) & (apart <= x["n"] + y["n"] - 2 * need)
 
 
-def _across(percent: int):
-    """Of rows sorted by (leader, block, share, gram): pairs of a query and a member of other components that pass the filters."""
+def _met(percent: int):
+    """Of rows sorted by (leader, block, share, gram): the rows (leader, block, share, query, class, component) of queries and
+    members that form a pair of different components that passes the filters, once each."""
 
     def solve(rows: list[tuple], found: set) -> None:
         ask, members = [r for r in rows if r[0]], [r for r in rows if not r[0]]
@@ -328,27 +368,75 @@ def _across(percent: int):
         for at in range(0, len(a), 100_000):
             i, j = a[at : at + 100_000], b[at : at + 100_000]
             near = np.abs(x[i] - y[j]).sum(1) <= (n[i, 0] + m[j] - 2 * need[i, j])
-            for p, q in zip(i[near].tolist(), j[near].tolist(), strict=True):
-                found.add((max(ask[p][1], members[q][1]), min(ask[p][1], members[q][1])))
-
-    def pairs(found: set) -> pa.RecordBatch:
-        rows = sorted(found)
-        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.binary()), pa.array([y for _, y in rows], pa.binary())], names=["a", "b"])
+            found.update(ask[p][:3] for p in np.unique(i[near]).tolist())
+            found.update(members[q][:3] for q in np.unique(j[near]).tolist())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, gram, rows, found = None, None, [], set()
+
+        def done() -> pa.RecordBatch:
+            cols = list(zip(*((*group, *x) for x in sorted(found)), strict=True)) or [[]] * 6
+            kinds = (pa.binary(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["leader", "block", "share", "query", "class", "component"])
+
         for b in batches:
             for leader, block, share, own, *rest in zip(*(b.column(i).to_pylist() for i in range(11)), strict=True):
                 if (leader, block, share) != group or own != gram:
                     solve(rows, found)
                     rows = []
-                    if (leader, block, share) != group and len(found) > 10_000:
-                        yield pairs(found)
+                    if (leader, block, share) != group and found:
+                        yield done()
                         found = set()
                     group, gram = (leader, block, share), own
                 rows.append(tuple(rest))
         solve(rows, found)
-        yield pairs(found)
+        if found:
+            yield done()
+
+    return run
+
+
+def _joined(percent: int):
+    """Of rows sorted by (leader, block, share), with full sets: links that join components, as few as that takes in a group."""
+
+    def solve(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
+        up: dict[bytes, bytes] = {}
+
+        def top(c: bytes) -> bytes:
+            while c in up:
+                c = up[c]
+            return c
+
+        sets = {r[1]: np.frombuffer(r[3], np.uint64) for r in rows}
+        members = [r[1:3] for r in rows if not r[0]]
+        sizes = np.array([len(sets[c]) for c, _ in members])
+        out = []
+        for c, component in (r[1:3] for r in rows if r[0]):
+            own = sets[c]
+            fits = 100 * np.minimum(sizes, len(own)) >= percent * np.maximum(sizes, len(own))
+            for i in np.flatnonzero(fits).tolist():
+                other, theirs = members[i]
+                if top(theirs) != top(component) and linked(sets[other], own, percent):
+                    out.append((c, other))
+                    up[top(theirs)] = top(component)
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, rows = None, []
+
+        def done() -> pa.RecordBatch:
+            found = solve(rows)
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.binary())], names=["a", "b"])
+
+        for b in batches:
+            for leader, block, share, *rest in zip(*(b.column(i).to_pylist() for i in range(7)), strict=True):
+                if (leader, block, share) != group and rows:
+                    yield done()
+                    rows = []
+                group = (leader, block, share)
+                rows.append(tuple(rest))
+        if rows:
+            yield done()
 
     return run
 
@@ -420,16 +508,16 @@ def ngram_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     survey = materialise(survey, "survey")
     rows = survey.where(F.col("gram").isNull()).select("doc_id", "key", "n", "class")
     heavy = _heavy(spark, survey.where(F.col("gram").isNotNull()).select("gram", "count"))
-    total = rows.agg(F.sum("n")).first()[0] or 0
-    parts = partitions_for(spark, PACKED * total)
+    number, total = rows.agg(F.count("class"), F.sum("n")).first()
+    parts = partitions_for(spark, PACKED * (total or 0))
 
     record = "class binary, n bigint, extra bigint, light bigint, tail binary, sketch array<int>"
     sent = base.select("text").mapInArrow(_frames(shingle, percent, heavy, parts), f"part int, frame binary, {record}")
     dealt = F.when(F.col("part").isNotNull(), F.col("part")).otherwise(F.pmod(F.xxhash64("class"), F.lit(parts)).cast("int"))
     # records pass through the same exchange, so that texts are cut into n-grams once
-    sent = sent.repartition(parts, dealt).mapInArrow(_counted, f"{record}, keys binary")
-    ranked = sent.select("class", "keys", "n", "extra", "light", "tail", "sketch").repartition(parts, "class")
-    ranked = ranked.sortWithinPartitions("class").mapInArrow(_prefixes(percent), "gram bigint, class binary, n bigint, extra bigint, pos bigint, sketch array<int>")
+    cells = max(parts, -(-number // CELL))
+    sent = sent.repartition(parts, dealt).mapInArrow(_counted(cells), f"cell bigint, {record}, keys binary")
+    ranked = sent.repartition(parts, "cell").sortWithinPartitions("cell").mapInArrow(_prefixes(percent), "gram bigint, class binary, n bigint, extra bigint, pos bigint, sketch array<int>")
     ranked = materialise(ranked, "prefixes")
 
     entry = F.struct("class", "n", "extra", "pos", "sketch")
@@ -451,15 +539,18 @@ def ngram_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     named = shared.join(components.select(F.col("node").alias("class"), "component"), "class", "left")
     named = materialise(named.select("gram", "leader", "class", F.coalesce("component", "class").alias("component"), "n", "extra", "pos", "sketch"), "named")
-    second = materialise(_cross_pairs(named, percent, parts).distinct().join(first, ["a", "b"], "left_anti"), "cross_pairs")
-    more = _verify(second, sets, percent, parts)
+    more = _link_across(named, sets, percent, parts)
     star = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
     out = component_ids(rows, connected_components(star.unionByName(more), "a", "b"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
-def _cross_pairs(named: DataFrame, percent: int, parts: int) -> DataFrame:
-    """Candidate pairs (a, b) of lists that hold several components: members outside the largest one against all."""
+def _link_across(named: DataFrame, sets: DataFrame, percent: int, parts: int) -> DataFrame:
+    """Links (a, b) between components that share a list: members outside the list's largest component against all.
+
+    Lists with one leader are looked at together, in blocks: first on their entries, which leaves the members that meet
+    anyone; only these get their sets. Pairs stay within their task, so of a large group of candidates only links go out.
+    """
     sizes = named.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("gram").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds"))
     mixed = mixed.where("kinds > 1").select(
@@ -469,8 +560,11 @@ def _cross_pairs(named: DataFrame, percent: int, parts: int) -> DataFrame:
     rows = named.join(small(materialise(mixed, "mixed")), "gram")
     up_to = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
     own = lambda seed, c: F.pmod(F.xxhash64(F.lit(seed), "class"), F.col(c)).cast("int")
-    cols = ["leader", "block", "share", "gram", "query", "class", "component", "n", "extra", "pos", "sketch"]
+    group = ["leader", "block", "share"]
+    cols = [*group, "gram", "query", "class", "component", "n", "extra", "pos", "sketch"]
     members = rows.withColumns({"block": own(1, "blocks"), "share": F.explode(up_to("shares")), "query": F.lit(False)})
     ask = rows.where(F.col("component") != F.col("largest")).withColumns({"share": own(2, "shares"), "block": F.explode(up_to("blocks")), "query": F.lit(True)})
-    both = members.select(*cols).unionByName(ask.select(*cols)).repartition(parts, "leader", "block", "share")
-    return both.sortWithinPartitions("leader", "block", "share", "gram").mapInArrow(_across(percent), "a binary, b binary")
+    both = members.select(*cols).unionByName(ask.select(*cols)).repartition(parts, *group)
+    met = both.sortWithinPartitions(*group, "gram").mapInArrow(_met(percent), "leader binary, block int, share int, query boolean, class binary, component binary")
+    whole = materialise(met, "met").join(sets, "class").select(*group, "query", "class", "component", "set")
+    return whole.repartition(parts, *group).sortWithinPartitions(*group).mapInArrow(_joined(percent), "a binary, b binary")
