@@ -18,6 +18,7 @@ from ..functions.dates import parse_pubdate, pubdate_iso
 from ..functions.scores import cost_of
 from ..functions.text import article_id, cluster_number, non_blank, strip_html
 from ..operators import audit, classify, clusters, keyed, reports
+from ..sources import search
 from ..sources.tables import Table, filter_by_best_date, on_or_after
 from ..storage import materialise
 from .runlog import RunLog
@@ -87,12 +88,14 @@ def reasoning_rows(rows: DataFrame, now: str) -> DataFrame:
 def run(
     spark: SparkSession, store: str, mode: str = "full", classifier: classify.Classifier | None = None, settings: Settings | None = None,
     now: str = "", collected: DataFrame | None = None, run_id: str = "run", limit: int | None = None, chunk: int | None = None,
+    transport: search.Transport | None = None,
 ) -> RunLog:
     """One run over the tables below ``store``; a dry run calls no classifier and writes no table.
 
     Rows are written to the shared folder between phases and saved into the result table after processing and after
     each classification phase; with ``chunk`` also after every so many classified articles, so that a phase that ends early
     keeps what it has. Counts of answers and failures come from the writing of the labels; reasons go to their own table.
+    transport: what collects the settings' brands, each saved when its pages end; a brand that fails is logged.
     limit: process only so many articles, the first by link. now: the stamp of the run, the present time if blank.
     """
     now = now or datetime.now(UTC).isoformat(timespec="seconds")
@@ -103,6 +106,17 @@ def run(
         got = tables["raw_data"].upsert(materialise(collected, "collected").withColumn("row_pos", F.monotonically_increasing_id()))
         log.log(articles_collected_total=got["attempted"], existing_links_skipped=got["skipped"], sheets_rows_uploaded_raw=got["added"] + got["updated"])
         log.end("collection")
+    if transport is not None and mode != "recheck_only" and not dry:
+        log.start("collection")
+        counts, errors = search.collect_into(tables["raw_data"], transport, settings.our_brands, settings.competitors)
+        of = lambda name: sum(c[name] for c in counts.values())
+        log.log(
+            articles_collected_total=of("attempted"), articles_collected_per_query={k: c["attempted"] for k, c in sorted(counts.items())},
+            existing_links_skipped=of("skipped"), sheets_rows_uploaded_raw=of("added") + of("updated"),
+        )
+        for brand, why in sorted(errors.items()):
+            log.error("collection", brand, "the brand could not be collected", error=why)
+        log.end("collection")
     raw = tables["raw_data"].read()
     if raw is None:
         if mode == "recheck_only":

@@ -67,7 +67,7 @@ class Table:
         df.write.mode("overwrite").parquet(f"{self.path}/data/{folder}")
         return folder
 
-    def _commit(self, number: int, kind: str, folder: str, **more: str) -> bool:
+    def _commit(self, number: int, kind: str, folder: str, **more) -> bool:
         """Whether the entry has the number; not so where another writer was first."""
         new = self._path(f"{self.path}/log/.{folder}")
         out = self._fs.create(new, True)
@@ -85,14 +85,23 @@ class Table:
             return False
         return True
 
-    def _add(self, kind: str, folder: str, **more: str) -> None:
+    def _add(self, kind: str, folder: str, batch: tuple[str, int] | None = None) -> None:
         """An entry at the next free number."""
         for _ in range(self.ATTEMPTS * 10):
             entries = self._entries()
-            if self._commit(entries[-1]["number"] + 1 if entries else 1, kind, folder, **more):
+            if self._commit(entries[-1]["number"] + 1 if entries else 1, kind, folder, batches=self._batches(entries, batch)):
                 return
         raise RuntimeError(f"no place in the log of {self.path}")
 
+    @staticmethod
+    def _batches(entries: list[dict], batch: tuple[str, int] | None = None) -> dict[str, int]:
+        """The last batch of each stream that the table holds; every entry hands them on."""
+        return (entries[-1].get("batches", {}) if entries else {}) | (dict([batch]) if batch else {})
+
+    def holds(self, batch: tuple[str, int]) -> bool:
+        """Whether a change of this (stream, batch id) or a later one of the stream is in the table."""
+        return self._batches(self._entries()).get(batch[0], -1) >= batch[1]
+
     # ---- reading ----
 
     def _data(self, entry: dict) -> DataFrame:
@@ -123,8 +132,8 @@ class Table:
 
     # ---- writing ----
 
-    def overwrite(self, df: DataFrame) -> None:
-        self._add("base", self._write(df))
+    def overwrite(self, df: DataFrame, batch: tuple[str, int] | None = None) -> None:
+        self._add("base", self._write(df), batch)
         self._forget()
 
     def append(self, df: DataFrame) -> None:
@@ -134,11 +143,16 @@ class Table:
             self._add("append", folder)
         self._fold()
 
-    def upsert(self, new: DataFrame, key: str = "link", row: str = "row_pos", force: bool = False) -> dict[str, int]:
-        """Counts of what ``upsert`` does; only rows that are added or changed are written, whatever the table's size."""
+    def upsert(self, new: DataFrame, key: str = "link", row: str = "row_pos", force: bool = False, batch: tuple[str, int] | None = None) -> dict[str, int]:
+        """Counts of what ``upsert`` does; only rows that are added or changed are written, whatever the table's size.
+
+        batch: the (stream, batch id) that the rows are; a batch that the table holds already changes nothing.
+        """
         new = materialise(new, "upsert")
         for _ in range(self.ATTEMPTS):
             entries = self._entries()
+            if batch and self._batches(entries).get(batch[0], -1) >= batch[1]:
+                return dict.fromkeys(("attempted", "added", "updated", "skipped", "errors"), 0)
             old = self._now(entries)
             if old is None:
                 names = [c for c in new.columns if c != row]
@@ -148,7 +162,7 @@ class Table:
             if got["errors"] or not got["added"] + got["updated"]:
                 return got
             number = entries[-1]["number"] + 1 if entries else 1
-            if self._commit(number, "rows" if entries else "base", self._write(changed.unionByName(added)), row=row):
+            if self._commit(number, "rows" if entries else "base", self._write(changed.unionByName(added)), row=row, batches=self._batches(entries, batch)):
                 self._fold()
                 return got
         raise RuntimeError(f"{self.path} changes faster than it can be updated")
@@ -162,7 +176,7 @@ class Table:
         base, changes = [e for e in entries if e["kind"] == "base"], [e for e in entries if e["kind"] != "base"]
         if len(changes) <= self.MOST_CHANGES and self._bytes(changes) <= max(self.LEAST_BYTES, self.MOST_SHARE * self._bytes(base)):
             return
-        if self._commit(entries[-1]["number"] + 1, "base", self._write(self._now(entries))):
+        if self._commit(entries[-1]["number"] + 1, "base", self._write(self._now(entries)), batches=self._batches(entries)):
             self._forget()
 
     def _forget(self) -> None:

@@ -13,14 +13,23 @@ from ..sources.tables import Table
 from ..storage import scratch_dir
 
 
-def ingest(stream: DataFrame, table: Table, checkpoint: str, key: str = "link", prepare: Callable[[DataFrame], DataFrame] | None = None):
-    """Starts a query that upserts each micro-batch of string rows into ``table``; available data, then it ends."""
+def ingest(
+    stream: DataFrame, table: Table, checkpoint: str, key: str = "link", prepare: Callable[[DataFrame], DataFrame] | None = None,
+    ts: str | None = None, late: str = "1 hour",
+):
+    """Starts a query that upserts each micro-batch of string rows into ``table``; available data, then it ends.
 
-    def step(batch: DataFrame, _: int) -> None:
+    A batch that is run again, after a failure between the table's change and the stream's own note of it, changes
+    nothing: the change carries the batch's id. With an event time ``ts``, rows whose key came within ``late`` of it are left out.
+    """
+    if ts:
+        stream = stream.withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
+
+    def step(batch: DataFrame, number: int) -> None:
         rows = prepare(batch) if prepare else batch
         if "row_pos" not in rows.columns:
             rows = rows.withColumn("row_pos", F.monotonically_increasing_id())
-        table.upsert(rows, key)
+        table.upsert(rows, key, batch=(checkpoint, number))
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -40,11 +49,14 @@ def latest_by_key(spark: SparkSession, path: str, schema: StructType, key: str,
     table = Table(spark, f"{folder}/state")
     fold = [F.max_by(F.struct(*columns), F.struct(*order)).alias("v"), F.max(F.struct(*order)).alias("o"), F.count(F.lit(1)).alias("events")]
 
-    def step(batch: DataFrame, _: int) -> None:
+    def step(batch: DataFrame, number: int) -> None:
+        if table.holds((folder, number)):
+            return  # counted before a failure
         new = batch.groupBy(key).agg(*fold)
         old = table.read()
         both = new if old is None else old.unionByName(new)
-        table.overwrite(both.groupBy(key).agg(F.max_by("v", "o").alias("v"), F.max("o").alias("o"), F.sum("events").alias("events")))
+        folded = both.groupBy(key).agg(F.max_by("v", "o").alias("v"), F.max("o").alias("o"), F.sum("events").alias("events"))
+        table.overwrite(folded, (folder, number))
 
     # a file source takes folders; a single file is read through its folder and a filter on names
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -461,12 +461,72 @@ def test_search_pages(spark):
         asked.append(start)
         return 200, [{"link": x, "title": "t"} for x in pages.get(start, [])]
 
-    got = search.collect(spark, transport, ["a"], ["q"], [], pages=9, size=2)
-    assert [r.link for r in got.collect()] == ["b", "c"] and asked == [1, 3, 5, 7, 9]
+    assert [x["link"] for x in search.fetch_all(transport, "q", frozenset("a"), pages=9, size=2)] == ["b", "c"] and asked == [1, 3, 5, 7, 9]
+    alone = lambda query, start, size: (200, [{"link": x, "title": "t"} for x in pages.get(start, [])])
+    for known in (["a"], spark.createDataFrame([("a",), (None,)], "link string")):
+        got = search.collect(spark, alone, known, ["q"], [], pages=9, size=2)
+        assert sorted((r.link, r.query, r.group) for r in got.collect()) == [("b", "q", "자사"), ("c", "q", "자사")]
+    spark.dataSource.register(search.search_source(alone, search.brands_of(["q"], ["r"]), pages=9, size=2))
+    assert spark.read.format("newsloom_search").load().rdd.getNumPartitions() == 2
     with pytest.raises(RuntimeError):
         search.fetch_page(lambda *_: (429, []), "q", 1, 1)
 
 
+def test_brands_are_saved_one_by_one(spark, tmp_path):
+    """One brand fails and leaves the others as they are; a second time only new links are added."""
+
+    def transport(query, start, size):
+        if query == "bad" and start > 1:
+            return 429, []
+        return 200, [{"link": f"{query}{start + i}", "title": query} for i in range(size)] if start < 3 * size else []
+
+    t = Table(spark, str(tmp_path / "raw"))
+    counts, errors = search.collect_into(t, transport, ["one", "bad"], ["two"], at_once=2, size=2)
+    assert set(errors) == {"bad"} and "429" in errors["bad"] and {k: v["added"] for k, v in counts.items()} == {"one": 6, "two": 6}
+    assert sorted({(r.query, r.group) for r in t.read().collect()}) == [("one", "자사"), ("two", "경쟁사")]
+    more = lambda query, start, size: (200, [{"link": f"{query}{start}"}, {"link": f"new {query}"}] if start == 1 else [])
+    counts, errors = search.collect_into(t, more, ["one"], ["two"], size=2)
+    assert not errors and {k: v["added"] for k, v in counts.items()} == {"one": 1, "two": 1} and t.read().count() == 14
+
+
+def test_settings_say_what_is_collected(spark, tmp_path):
+    from newsloom.config import load_settings
+
+    (tmp_path / "own.json").write_text('{"our_brands": ["mine", "odd"], "competitors": []}')
+
+    def transport(query, start, size):
+        if query == "odd":
+            return 503, []
+        return 200, [{"link": f"{query}1", "title": "t"}] if start == 1 else []
+
+    log = coverage.run(spark, str(tmp_path / "store"), "raw_only", settings=load_settings(str(tmp_path / "own.json")), transport=transport)
+    assert log.metrics["articles_collected_per_query"] == {"mine": 1} and log.metrics["errors_total"] == 1
+    assert [(r.link, r.query) for r in Table(spark, f"{tmp_path}/store/raw_data").read().collect()] == [("mine1", "mine")]
+    assert Table(spark, f"{tmp_path}/store/errors").read().first().stage == "odd"
+
+
+def test_replayed_batches_change_nothing(spark, tmp_path):
+    """Blank keys are always added, so a batch that is run again would double them."""
+    from newsloom.streaming.ingest import ingest
+
+    schema = "link string, source string, at timestamp"
+    rows = [("a", "x", "2026-02-01 10:00:00"), ("", "y", "2026-02-01 10:00:01"), ("a", "z", "2026-02-01 10:00:02")]
+    spark.createDataFrame(rows, "link string, source string, at string").select("link", "source", F.to_timestamp("at").alias("at")).coalesce(1).write.parquet(str(tmp_path / "in"))
+    t = Table(spark, str(tmp_path / "t"))
+    read = lambda: spark.readStream.schema(schema).parquet(str(tmp_path / "in")).drop("at")
+    ingest(read(), t, str(tmp_path / "check")).awaitTermination()
+    before = sorted((r.link, r.source) for r in t.read().collect())
+    assert before.count(("", "y")) == 1 and t.holds((str(tmp_path / "check"), 0)) and not t.holds((str(tmp_path / "check"), 1))
+    for f in (tmp_path / "check" / "commits").iterdir():  # the batch's note is lost, as where the driver dies before it
+        f.unlink()
+    ingest(read(), t, str(tmp_path / "check")).awaitTermination()
+    assert sorted((r.link, r.source) for r in t.read().collect()) == before
+    once = Table(spark, str(tmp_path / "once"))
+    keyed_ = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    ingest(keyed_, once, str(tmp_path / "check2"), prepare=lambda b: b.drop("at"), ts="at").awaitTermination()
+    assert sorted(r.link for r in once.read().collect()) == ["", "a"]
+
+
 def test_coverage_run_counts_failures_and_keeps_reasons(spark, tmp_path):
     answer = answering()
     first = lambda rows: [None if "fails" in r["title"] else answer(r, reasoning={"article_subject": r["title"]}) for r in rows]
