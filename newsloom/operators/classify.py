@@ -18,6 +18,7 @@ from ..sources.model import Post, answers, call_model, render_column
 from ..storage import exists, materialise, temporary
 from .chunks import run_in_chunks
 from .clusters import Judge, first_summary, first_values, group_topics, merge_across, propagate, representatives
+from .judges import ClusterJudge, cluster_prompts
 from .keyed import row_numbers
 
 #: A written-out reason for each field of an answer; they belong to the article that was asked about, not to its cluster.
@@ -311,11 +312,15 @@ def reasons_of(labels: DataFrame) -> DataFrame:
     return labels.where(F.coalesce(*[non_blank(F.col(c)) for c in FIRST_REASONS]).isNotNull())
 
 
-def verify_clusters(df: DataFrame) -> DataFrame:
-    """Each press-release cluster gets the source its first row's labels ask for."""
+def verify_clusters(df: DataFrame, judge: ClusterJudge | None = None) -> DataFrame:
+    """Each press-release cluster gets the source that ``judge`` finds, or else the one its first row's labels ask for."""
     press = df.where(F.col("source") == PRESS_RELEASE).withColumn("_c", F.coalesce("cluster_id", F.lit("")))
     first = press.groupBy("_c").agg(F.min_by(F.struct("brand_relevance", "sentiment_stage", "news_category"), "row").alias("s"))
     verdict = first.select("_c", verified_source(F.col("s.brand_relevance"), F.col("s.sentiment_stage"), F.col("s.news_category")).alias("_v"))
+    if judge:
+        given = judge(cluster_prompts(press.drop("cluster_id").withColumnRenamed("_c", "cluster_id"))).select(F.col("cluster_id").alias("_c"), "source_type")
+        verdict = verdict.join(given, "_c", "left").select("_c", F.coalesce("source_type", "_v").alias("_v"))
+    verdict = materialise(verdict, "cluster_verdicts")
     out = df.withColumn("_k", F.when(F.col("source") == PRESS_RELEASE, F.coalesce("cluster_id", F.lit("")))).join(verdict, F.col("_k") == F.col("_c"), "left")
     return out.withColumn("source", F.coalesce("_v", "source")).drop("_k", "_c", "_v")
 
@@ -325,7 +330,9 @@ def component_judge(classifier: Classifier, mode: str = "topic") -> Judge:
     return lambda reps: classifier.first_pass(reps).where(component_gate(mode)).select("row")
 
 
-def verify_and_regroup(df: DataFrame, classifier: Classifier | None = None, report: Callable[[dict[str, int]], None] | None = None) -> DataFrame:
+def verify_and_regroup(
+    df: DataFrame, classifier: Classifier | None = None, report: Callable[[dict[str, int]], None] | None = None, cluster_judge: ClusterJudge | None = None
+) -> DataFrame:
     """Cluster verdicts, merge across queries, topics, then the consistency rules.
 
     With a classifier, borderline components are judged by their representatives; without one they are left out.
@@ -335,7 +342,7 @@ def verify_and_regroup(df: DataFrame, classifier: Classifier | None = None, repo
 
     judge = component_judge(classifier) if classifier else None
     # each step reads its input several times: a written table keeps plans from doubling at every step
-    verified = materialise(verify_clusters(df), "verified")
+    verified = materialise(verify_clusters(df, cluster_judge), "verified")
     merged = materialise(merge_across(verified, judge=judge), "merged_across")
     topics = materialise(group_topics(merged, judge=judge), "topics")
     if report:
@@ -359,14 +366,17 @@ def _changes(before: DataFrame, verified: DataFrame, merged: DataFrame, topics:
     return got.first().asDict()
 
 
-def summarise_clusters(df: DataFrame, summarise: Callable[[Column], Column] | None = None) -> DataFrame:
-    """Clusters without any summary get one from their earliest title: ``summarise``, else its first 15 characters."""
+def summarise_clusters(df: DataFrame, summarise: Callable[[Column], Column] | None = None, by_group: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Clusters without any summary get one from their earliest title: ``summarise``, else its first 15 characters.
+
+    by_group: what summarises clusters (cluster_id, title, description) instead, as ``judges.summaries_by_model`` gives.
+    """
     df = df if "cluster_summary" in df.columns else df.withColumn("cluster_summary", F.lit(None).cast("string"))
     make = summarise or (lambda title: F.substring(F.coalesce(title, F.lit("")), 1, 15))
     clustered = df.where(non_blank(F.col("cluster_id")).isNotNull())
     with_any = clustered.where(non_blank(F.col("cluster_summary")).isNotNull()).select("cluster_id").distinct()
-    reps = first_values(clustered.join(with_any, "cluster_id", "left_anti"), "cluster_id", "pub_datetime", "row", ["title"])
-    fresh = reps.select("cluster_id", make(F.col("title")).alias("cluster_summary"))
+    reps = first_values(clustered.join(with_any, "cluster_id", "left_anti"), "cluster_id", "pub_datetime", "row", ["title", "description"] if by_group else ["title"])
+    fresh = by_group(reps) if by_group else reps.select("cluster_id", make(F.col("title")).alias("cluster_summary"))
     return first_summary(propagate(df, fresh, "cluster_id", ["cluster_summary"]), "cluster_id", "cluster_summary", "row")
 
 

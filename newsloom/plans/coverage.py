@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import argparse
 from collections import Counter
+from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +20,7 @@ from ..functions.dates import parse_pubdate, pubdate_iso
 from ..functions.scores import cost_of
 from ..functions.text import article_id, cluster_number, non_blank, strip_html
 from ..operators import audit, classify, clusters, keyed, reports
+from ..operators.judges import ClusterJudge
 from ..sources import search
 from ..sources.tables import Table, filter_by_best_date, on_or_after
 from ..storage import materialise
@@ -45,13 +48,24 @@ def normalise(raw: DataFrame, top_article: int = 0) -> DataFrame:
     return keyed.number_rows(out, "article_no", "published", "link", top_article)
 
 
-def preprocess(raw: DataFrame, directory: DataFrame, top_article: int, top_cluster: int, settings: Settings) -> tuple[DataFrame, DataFrame]:
+@dataclass(frozen=True)
+class Judges:
+    """A model's part in a run besides the classifier: verdicts on clusters, summaries, outlets of new domains."""
+
+    clusters: ClusterJudge | None = None
+    summaries: Callable[[DataFrame], DataFrame] | None = None
+    outlets: Callable[[DataFrame], DataFrame] | None = None
+
+
+def preprocess(
+    raw: DataFrame, directory: DataFrame, top_article: int, top_cluster: int, settings: Settings, judges: Judges = Judges()
+) -> tuple[DataFrame, DataFrame]:
     """(normalised, deduplicated articles with clusters, summaries and outlets; new outlets)."""
     rows = keyed.dedupe_latest(normalise(raw, top_article), "published", "link")
     rows = materialise(rows.withColumn("row", F.col("article_no")), "normalised").withColumn("iso", F.col("pub_datetime")).withColumn("pub_datetime", F.col("published"))
     found = materialise(clusters.detect_press_releases(rows, settings.press_release, top_cluster), "detected")
-    named = materialise(classify.summarise_clusters(found), "summarised")
-    return reports.add_outlets(named, directory)
+    named = materialise(classify.summarise_clusters(found, by_group=judges.summaries), "summarised")
+    return reports.add_outlets(named, directory, judges.outlets)
 
 
 TABLES = ("raw_data", "total_result", "media_directory", "reasoning", "keywords", "run_history", "errors", "events")
@@ -88,7 +102,7 @@ def reasoning_rows(rows: DataFrame, now: str) -> DataFrame:
 def run(
     spark: SparkSession, store: str, mode: str = "full", classifier: classify.Classifier | None = None, settings: Settings | None = None,
     now: str = "", collected: DataFrame | None = None, run_id: str = "run", limit: int | None = None, chunk: int | None = None,
-    transport: search.Transport | None = None,
+    transport: search.Transport | None = None, judges: Judges = Judges(),
 ) -> RunLog:
     """One run over the tables below ``store``; a dry run calls no classifier and writes no table.
 
@@ -96,6 +110,7 @@ def run(
     each classification phase; with ``chunk`` also after every so many classified articles, so that a phase that ends early
     keeps what it has. Counts of answers and failures come from the writing of the labels; reasons go to their own table.
     transport: what collects the settings' brands, each saved when its pages end; a brand that fails is logged.
+    judges: what a model decides on groups; without one the rules do.
     limit: process only so many articles, the first by link. now: the stamp of the run, the present time if blank.
     """
     now = now or datetime.now(UTC).isoformat(timespec="seconds")
@@ -134,7 +149,7 @@ def run(
     log.start("processing")
     directory = tables["media_directory"].read("domain string, media_name string, media_group string, media_type string")
     top = result.agg(F.max(F.col("article_no").try_cast("bigint")), F.max(cluster_number(F.col("cluster_id"), "c"))).first() if result is not None else (0, 0)
-    rows, outlets = preprocess(todo.drop("row_pos"), directory, top[0] or 0, top[1] or 0, settings)
+    rows, outlets = preprocess(todo.drop("row_pos"), directory, top[0] or 0, top[1] or 0, settings, Judges() if dry else judges)
     rows, outlets = materialise(rows, "processed"), materialise(outlets, "outlets")
     stats = reports.distinct_clusters(rows).first()
     n = rows.count()
@@ -175,8 +190,8 @@ def run(
         saved = _save(tables, rows, settings, log, "general_classification")
         log.end("general_classification")
         log.start("source_verification")
-        rows = materialise(classify.verify_and_regroup(rows, classifier, lambda n: log.log(**n)), "verified")
-        rows = materialise(classify.summarise_clusters(rows), "regrouped")
+        rows = materialise(classify.verify_and_regroup(rows, classifier, lambda n: log.log(**n), judges.clusters), "verified")
+        rows = materialise(classify.summarise_clusters(rows, by_group=judges.summaries), "regrouped")
         saved = _save(tables, rows, settings, log, "source_verification")
         log.end("source_verification")
     log.log(sheets_rows_uploaded_result=saved)

@@ -1213,3 +1213,78 @@ def q90_model_labels(spark, d):
     """Labels of a model asked on executors: answers repaired and read, failures blank, the unrelated post-processed."""
     labels, _ = _model_labels(spark, d)
     return labels.select("row", "brand_relevance", "sentiment_stage", "news_category", "danger_level", "status")
+
+
+class _GroupAnswers:
+    """A model for groups whose answers follow from the prompt: odd clusters are topics, every third one has no verdict."""
+
+    def verdict(self, prompt: str) -> tuple[int, float | None, str]:
+        import json as j
+
+        count = int(prompt.split("|")[0])
+        source = {"source_type": "유사주제" if count % 2 else "보도자료"} if count % 3 else {"source_type": "?"}
+        return 200, None, j.dumps({"output_text": j.dumps(source, ensure_ascii=False)}, ensure_ascii=False)
+
+    def summary(self, prompt: str) -> tuple[int, float | None, str]:
+        import json as j
+        import re
+
+        ids = re.findall(r"^\[(.*)\]$", prompt, re.M)
+        given = [{"cluster_id": x, "summary": f"about {x}"} for x in ids if not x.endswith("7")]
+        return 200, None, j.dumps({"output_text": j.dumps({"summaries": given}, ensure_ascii=False)}, ensure_ascii=False)
+
+    def outlet(self, prompt: str) -> tuple[int, float | None, str]:
+        import json as j
+
+        names = [x[2:] for x in prompt.split("\n") if x.startswith("- ")]
+        given = {x: {"media_name": x.split(".")[0], "media_group": "", "media_type": "방송사" if len(x) % 2 else "?"} for x in names if len(x) % 5}
+        return 200, None, j.dumps({"output_text": j.dumps(given, ensure_ascii=False)}, ensure_ascii=False)
+
+
+_CLUSTERED = """c AS (
+  SELECT d.doc_id AS "row", d.lang || '_' || (d.doc_id % 37) AS cluster_id, d.lang AS query, CASE WHEN d.doc_id % 4 = 1 THEN '관련' ELSE '' END AS brand_relevance FROM documents d)"""
+
+
+def _clustered(spark, d):
+    n = F.col("doc_id")
+    return table(spark, d, "documents").select(
+        n.alias("row"), F.concat("lang", F.lit("_"), n % 37).alias("cluster_id"), F.col("lang").alias("query"), F.lit("보도자료").alias("source"),
+        F.col("source").alias("title"), F.lit("d").alias("description"), F.lit("").alias("cluster_summary"), F.lit(None).cast("timestamp").alias("pub_datetime"),
+        F.when(n % 4 == 1, "관련").otherwise("").alias("brand_relevance"), F.lit("긍정").alias("sentiment_stage"), F.lit("기타").alias("news_category"),
+    )
+
+
+@query(
+    _with(_CLUSTERED)
+    + """SELECT "row", CASE WHEN n % 3 <> 0 THEN CASE WHEN n % 2 = 1 THEN '유사주제' ELSE '보도자료' END ELSE '보도자료' END AS source
+FROM (SELECT c."row", count(*) OVER (PARTITION BY cluster_id) AS n FROM c)"""
+)
+def q91_cluster_verdicts(spark, d):
+    """A model's verdict on each cluster; where it gives none, the rule's on the first row's labels."""
+    from ..operators.judges import cluster_judge
+
+    judge = cluster_judge(_GroupAnswers().verdict, "{{article_count}}|{{titles_list}}", workers=8, attempts=1)
+    return classify.verify_clusters(_clustered(spark, d), judge).select("row", "source")
+
+
+@query(_with(_CLUSTERED) + """SELECT DISTINCT cluster_id, CASE WHEN cluster_id LIKE '%7' THEN '' ELSE 'about ' || cluster_id END AS cluster_summary FROM c""")
+def q92_batched_summaries(spark, d):
+    """Summaries of all clusters, twenty a call; a cluster that an answer leaves out has none."""
+    from ..operators.judges import summaries_by_model
+
+    by_group = summaries_by_model(_GroupAnswers().summary, "Summarise:\n{{items}}", workers=4, attempts=1)
+    return classify.summarise_clusters(_clustered(spark, d), by_group=by_group).select("cluster_id", "cluster_summary").distinct()
+
+
+@query(
+    """SELECT DISTINCT domain, CASE WHEN length(domain) % 5 <> 0 THEN split_part(domain, '.', 1) ELSE domain END AS media_name,
+CASE WHEN length(domain) % 5 <> 0 THEN split_part(domain, '.', 1) ELSE domain END AS media_group,
+CASE WHEN length(domain) % 5 <> 0 AND length(domain) % 2 = 1 THEN '방송사' ELSE '기타' END AS media_type
+FROM (SELECT c_name || '.' || c_mktsegment || '.com' AS domain FROM customer)"""
+)
+def q93_batched_outlets(spark, d):
+    """Outlets of new domains, a hundred a call; what the answer lacks is named after itself."""
+    from ..operators.judges import outlets_by_model
+
+    domains = table(spark, d, "customer").select(F.concat("c_name", F.lit("."), "c_mktsegment", F.lit(".com")).alias("domain")).distinct()
+    return outlets_by_model(_GroupAnswers().outlet, "Outlets:\n{{items}}", workers=4, attempts=1)(domains)

@@ -273,6 +273,41 @@ def test_a_phase_that_dies_keeps_its_chunks(spark):
     assert {r.row: r.brand_relevance for r in out.collect()} == {i: "" if i in (4, 5) else "관련" for i in range(7)}
 
 
+def test_judges_fall_back(spark):
+    """Batches hold so many groups at most; one without an answer falls back, what wasn't asked about is passed over."""
+    from newsloom.operators import judges
+
+    def post(prompt):
+        import json
+        import re
+
+        ids = re.findall(r"^\[(.*)\]$", prompt, re.M)
+        if len(ids) > 2:
+            return 400, None, "too long"
+        if "c3" in ids:
+            return 503, None, ""
+        if "c5" in ids:
+            return 200, None, json.dumps({"output_text": "sorry"})
+        given = [{"cluster_id": x, "summary": s} for x in ids if x != "c1" for s in ("first", f"of {x}")] + [{"cluster_id": "other", "summary": "x"}]
+        return 200, None, json.dumps({"output_text": json.dumps({"summaries": given})})
+
+    groups = spark.createDataFrame([(f"c{i}", f"title of the cluster {i}", None) for i in range(8)], "cluster_id string, title string, description string")
+    sized = judges.batches(groups, [F.col("cluster_id")], 3).collect()
+    assert sorted((r.batch, [i.cluster_id for i in r["items"]]) for r in sized) == [(0, ["c0", "c1", "c2"]), (1, ["c3", "c4", "c5"]), (2, ["c6", "c7"])]
+    got = judges.summaries_by_model(post, "{{items}}", size=2, attempts=1)(groups).collect()
+    assert {r.cluster_id: r.cluster_summary for r in got} == {"c0": "of c0", "c2": "title of the cl", "c3": "title of the cl", "c4": "title of the cl", "c5": "title of the cl", "c6": "of c6", "c7": "of c7"}
+    rows = [(i, "a", "q", "", f"t{i}", "관련" if i == 4 else "", "부정 후보", "x") for i in range(12)] + [(20, "b", "q", "s", "u", "관련", "긍정", "x")]
+    press = spark.createDataFrame(rows, "row long, cluster_id string, query string, cluster_summary string, title string, brand_relevance string, sentiment_stage string, news_category string")
+    shown = {r.cluster_id: r for r in judges.cluster_prompts(press).collect()}
+    assert shown["a"].titles_list == "\n".join([*[f"- t{i}" for i in range(10)], "- ... and 2 more"]) and shown["a"].brand_relevance == "관련" and shown["a"].article_count == 12
+    assert shown["b"].titles_list == "- u" and shown["b"].cluster_summary == "s"
+    down = judges.cluster_judge(lambda prompt: (500, None, ""), "{{titles_list}}", attempts=1)
+    verified = classify.verify_clusters(press.withColumn("source", F.lit("보도자료")), down)
+    assert {(r.cluster_id, r.source) for r in verified.collect()} == {("a", "보도자료"), ("b", "보도자료")}
+    named = judges.outlets_by_model(lambda prompt: (500, None, ""), "{{items}}", attempts=1)(spark.createDataFrame([("x.com",)], "domain string"))
+    assert tuple(named.first()) == ("x.com", "x.com", "x.com", "기타")
+
+
 def test_number_rows_and_islands(spark):
     df = spark.createDataFrame([("a", 3, None), ("b", None, None), ("c", 1, None), ("d", 1, "9")], "link string, ts int, no string")
     assert {r.link: r.no for r in keyed.number_rows(df, "no", "ts", "link", 9).collect()} == {"d": 9, "c": 10, "a": 11, "b": 12}
