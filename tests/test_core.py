@@ -308,6 +308,26 @@ def test_judges_fall_back(spark):
     assert tuple(named.first()) == ("x.com", "x.com", "x.com", "기타")
 
 
+def test_every_character_reference(spark):
+    """As the standard library has it: all names, with and without semicolon and with letters behind, and numbers."""
+    import html
+    import random
+    from html.entities import html5
+
+    rnd = random.Random(1)
+    names = sorted(html5)
+    cases = [f"&{n}" for n in names] + [f"a&{n}b" for n in names[::7]] + [f"&{n.rstrip(';')}xyz; &" for n in names[::11]]
+    cases += [f"&#{n};" for n in [*range(0, 300), 55295, 55296, 57343, 57344, 64976, 65007, 65534, 65535, 65536, 128512, 1114110, 1114111, 1114112, 99999999999]]
+    cases += [f"&#x{n:x}{e}" for n in [0, 9, 13, 38, 128, 150, 159, 160, 55297, 65534, 128512, 2**40] for e in (";", "", "g", " ")]
+    cases += ["&#;", "&#x;", "&;", "&", "&&amp;", "&amp;lt;", "&notit;", "&#0000038;", "a & b", "&ampamp;", "&#38#38;", "", "&noSuchName; &quot", "&" + "a" * 40 + ";"]
+    bits = ["&", "amp", "lt", ";", "#", "x41", "65", "not", "in", " ", "<", "é", "quot"]
+    cases += ["".join(rnd.choices(bits, k=rnd.randint(1, 9))) for _ in range(500)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string")
+    got = {r.i: r.d for r in df.select("i", text.decode_entities(F.col("t")).alias("d")).collect()}
+    bad = [(t, got[i], html.unescape(t)) for i, t in enumerate(cases) if got[i] != html.unescape(t)]
+    assert not bad, bad[:10]
+
+
 def test_number_rows_and_islands(spark):
     df = spark.createDataFrame([("a", 3, None), ("b", None, None), ("c", 1, None), ("d", 1, "9")], "link string, ts int, no string")
     assert {r.link: r.no for r in keyed.number_rows(df, "no", "ts", "link", 9).collect()} == {"d": 9, "c": 10, "a": 11, "b": 12}
