@@ -270,14 +270,14 @@ def lower_bound(good: int, n: int, z: float = 1.96) -> float:
 
 
 def calibrated(scored: list[tuple[float, int, int]], precision: float) -> float:
-    """The lowest margin from which the precision of (margin, right, wrong) is sure enough; infinity if there is none."""
+    """The lowest margin of a right one from which the precision of (margin, right, wrong) is sure enough; infinity if there is none."""
     ranked = sorted(scored, reverse=True)
     best, good, all_, i = math.inf, 0, 0, 0
     while i < len(ranked):
-        m = ranked[i][0]
+        m, before = ranked[i][0], good
         while i < len(ranked) and ranked[i][0] == m:
             good, all_, i = good + ranked[i][1], all_ + ranked[i][1] + ranked[i][2], i + 1
-        if lower_bound(good, all_) >= precision:
+        if good > before and lower_bound(good, all_) >= precision:
             best = m
     return best
 

@@ -145,6 +145,7 @@ def test_trees_learn_and_calibrate():
     least = pii.calibrated([(trees.margin(x), p, n) for x, p, n in rows[1::2]], 0.95)
     right = sum((trees.margin(x) >= least) == (p > 0) for x, p, _ in rows)
     assert right / len(rows) > 0.97
+    assert pii.calibrated([(3.0, 300, 0), (-6.0, 0, 2), (-7.0, 0, 900)], 0.95) == 3.0  # wrong ones alone never lower it
     assert pii.calibrated([], 0.9) == float("inf") and pii.Trees([((0,) * 7, 0, 5)]).trees == []
 
 
