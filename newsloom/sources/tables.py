@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -46,7 +47,21 @@ class Table:
     # ---- log ----
 
     def _entries(self, bases: int = 1) -> list[dict]:
-        """Log entries from the newest base on, in order; or from as many bases back; -1: all."""
+        """Log entries from the newest base on, in order; or from as many bases back; -1: all.
+
+        Another writer may be putting an entry in place (on a local file system a file and its checksum come one after
+        the other) or dropping old ones, so a read that fails is done again.
+        """
+        for attempt in range(self.ATTEMPTS):
+            try:
+                return self._log(bases)
+            except Py4JJavaError:
+                if attempt + 1 == self.ATTEMPTS:
+                    raise
+                time.sleep(0.02 * (attempt + 1))
+        return []
+
+    def _log(self, bases: int) -> list[dict]:
         if not exists(self.spark, f"{self.path}/log"):
             return []
         numbers = sorted(n for s in self._fs.listStatus(self._path(f"{self.path}/log")) if (n := s.getPath().getName()).isdigit())
