@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 from ..functions.scores import idf
 from ..functions.text import char_grams
 from ..storage import materialise
+from .cells import set_scores
 
 #: Rows of a block in one cell of the grid.
 CELL = 128
 #: Rows of the largest block that a grid may have: it compares all pairs.
 GRID_ROWS = 8192
+#: Pairs that cells compare in the time that a candidate takes to be written and scored.
+SET_PRODUCTS = 50
 
 
 def gram_weights(df: DataFrame, block: str, row: str, text: str, least_df: int = 1) -> DataFrame:
@@ -132,15 +135,28 @@ def _cell_scores(least: float):
     return run
 
 
-def jaccard_pairs(df: DataFrame, block: str, row: str, tokens: str, least: float) -> DataFrame:
-    """(block, i, j, jaccard) of every pair in a block with jaccard >= least > 0, i < j; tokens: distinct."""
+def jaccard_pairs(df: DataFrame, block: str, row: str, tokens: str, least: float, strategy: str = "auto") -> DataFrame:
+    """(block, i, j, jaccard) of every pair in a block with jaccard >= least > 0, i < j; tokens: distinct.
+
+    prefix: candidates from rare tokens, written and scored; cells: all pairs of a block, nothing written but packed sets
+    (``cells.set_scores``). auto takes cells unless the candidates are few beside all pairs. Both are exact.
+    """
     rows = df.select(F.col(block).alias("block"), F.col(row).alias("row"), F.col(tokens).alias("t")).where(F.size("t") > 0)
+    rows = materialise(rows.where(F.col("block").isNotNull()), "sets")
     flat = rows.select("block", "row", F.size("t").alias("n"), F.explode("t").alias("gram"))
     df_ = flat.groupBy("block", "gram").agg(F.count(F.lit(1)).alias("df"))
     w = Window.partitionBy("block", "row").orderBy("df", "gram")
     ranked = flat.join(df_, ["block", "gram"]).withColumn("p", F.row_number().over(w))
     # without one of its first n - ceil(least * n) + 1 tokens a row shares too few
-    found = _candidates(ranked.where(F.col("p") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1))
+    prefix = ranked.where(F.col("p") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1)
+    if strategy == "auto":
+        shared = prefix.groupBy("block", "gram").agg(F.count(F.lit(1)).alias("n"))
+        made = shared.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0
+        pairs = rows.groupBy("block").agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.col("n") * F.col("n") / 2)).first()[0] or 0
+        strategy = "prefix" if SET_PRODUCTS * made < pairs else "cells"
+    if strategy == "cells":
+        return set_scores(rows, "t", least).withColumnRenamed("jac0", "jaccard")
+    found = _candidates(prefix)
     a, b = (rows.select("block", F.col("row").alias(k), F.col("t").alias(f"t{k}")) for k in ("i", "j"))
     both = found.join(a, ["block", "i"]).join(b, ["block", "j"])
     score = F.size(F.array_intersect("ti", "tj")) / F.size(F.array_union("ti", "tj"))
