@@ -293,7 +293,7 @@ def _floor(percent: int) -> float:
 
 
 def _across(percent: int):
-    """Of rows sorted by (region, block, queries' block): links between a query and a member of another component."""
+    """Of rows sorted by (region, block, queries' block): components of a query and of a member that are linked, where they differ."""
 
     def solve(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
         queries, members = [r for r in rows if r[0]], [r for r in rows if not r[0]]
@@ -303,16 +303,16 @@ def _across(percent: int):
         sizes = np.array([len(s) for s in sets])
         regs = np.stack([np.frombuffer(r[4], np.uint16) for r in members])
         parts = np.array([r[2] for r in members], object)
-        out = []
-        for _, c, component, s, r in queries:
+        out = set()
+        for _, _, component, s, r in queries:
             own = np.frombuffer(s, np.uint64)
             alike = (regs == np.frombuffer(r, np.uint16)).mean(1)
             small = np.minimum(sizes, len(own)) < CERTAIN
             fits = 100 * np.minimum(sizes, len(own)) >= percent * np.maximum(sizes, len(own))
             for i in np.flatnonzero(fits & (small | (alike >= _floor(percent))) & (parts != component)).tolist():
-                if linked(sets[i], own, percent):
-                    out.append((c, members[i][1]))
-        return out
+                if (component, parts[i]) not in out and linked(sets[i], own, percent):
+                    out.add((component, parts[i]))
+        return sorted(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
@@ -346,20 +346,33 @@ def in_mixed(rows: DataFrame, mixed: DataFrame) -> DataFrame:
     return dealt.join(mixed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["region", "salt"]).drop("salt")
 
 
+def component_pairs(pairs: DataFrame, components: DataFrame) -> DataFrame:
+    """(a, b): the components of the classes of ``pairs``, where they differ. A class without a component is its own."""
+    for end in ("a", "b"):
+        own = components.select(F.col("node").alias(end), "component")
+        pairs = pairs.join(own, end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+    return pairs.where("a != b")
+
+
 def link_across(pairs: DataFrame, components: DataFrame, sets: DataFrame, percent: int, parts: int) -> DataFrame:
     """Links (a, b) between components that share a region of candidate ``pairs``.
 
-    Every class outside a region's largest component meets all the region's classes, in blocks of about BLOCK.
+    Links are candidates, so a component lies in one region, and regions are found among components: only candidates that
+    cross from one to another go through the rounds. Every class outside a region's largest component meets all the
+    region's classes, in blocks of about BLOCK.
     """
-    regions = connected_components(pairs, "a", "b").select(F.col("node").alias("class"), F.col("component").alias("region"))
-    own = components.select(F.col("node").alias("class"), "component")
-    t = regions.join(own, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    t = materialise(t, "regions")
+    regions = connected_components(component_pairs(pairs, components), "a", "b").select(
+        F.col("node").alias("component"), F.col("component").alias("region")
+    )
+    roots = components.where("node = component").select("component")
+    alone = regions.join(roots, "component", "left_anti").withColumn("class", F.col("component"))
+    t = components.withColumnRenamed("node", "class").join(regions, "component").unionByName(alone)
+    t = materialise(t.select("class", "region", "component"), "regions")
     sizes = t.groupBy("region", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("region").agg(
-        F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("parts")
+        F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all")
     )
-    mixed = mixed.where("parts > 1").select(
+    mixed = mixed.select(
         "region", F.col("top.component").alias("largest"), F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"),
         F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("shares"),
     )
@@ -417,14 +430,14 @@ def near_groups(
     # a class has some leaders: about as many sets travel
     wide = partitions_for(spark, 8 * ORDERS * (hashes or 0))
     links = materialise(confirm_pairs(pairs, sets, percent, wide), "links")
-    components = materialise(connected_components(links, "a", "b"), "components")
-    more = link_across(pairs, components, sets, percent, wide)
-    star = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    final = connected_components(star.unionByName(more), "a", "b")
+    components = connected_components(links, "a", "b")
+    joined = connected_components(link_across(pairs, components, sets, percent, wide), "a", "b")
+    joined = joined.select(F.col("node").alias("component"), F.col("component").alias("whole"))
 
     classes = rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("least"))
-    named = classes.join(final.withColumnRenamed("node", "class"), "class", "left")
-    named = materialise(named.withColumn("component", F.coalesce("component", "class")), "classes")
+    named = classes.join(components.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    named = named.join(joined, "component", "left").withColumn("component", F.coalesce("whole", "component")).drop("whole")
+    named = materialise(named, "classes")
     # written, so that the join of a large component can be split
     least = materialise(named.groupBy("component").agg(F.min("least").alias("component_id")), "component_ids")
     ids = named.join(least, "component").select("class", "component_id")

@@ -80,6 +80,27 @@ def test_chain_without_common_leader(spark):
     assert sorted(map(tuple, got), key=str) == brute(rows, 2)
 
 
+def test_regions_are_found_among_components(spark, monkeypatch):
+    """Candidates within a component don't go through the rounds again, and no edge of a component does."""
+    seen, found = [], []
+    real = near_dedup.connected_components
+
+    def watched(edges, u, v):
+        seen.append({(r.a, r.b) for r in edges.select("a", "b").collect()})
+        out = real(edges, u, v)
+        found.append({r.node: r.component for r in out.collect()})
+        return out
+
+    monkeypatch.setattr(near_dedup, "connected_components", watched)
+    rows = rows_of(1)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dedup.near_groups(docs, shingle=2).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows, 2)
+    assert len(seen) == 3 and len(found[0]) > 20 and seen[1]
+    for edges in seen[1:]:
+        assert all(a != b and found[0].get(a, a) == a and found[0].get(b, b) == b for a, b in edges)
+
+
 def test_empty_and_columns_stay(spark):
     docs = spark.createDataFrame([(1, "a b c d e f", "k"), (2, "A b c d e f", None), (None, None, "z")], "doc_id long, text string, key string")
     kept = near_dedup.drop_near_duplicates(docs)

@@ -2,6 +2,7 @@
 
 import random
 
+from newsloom.operators import components
 from newsloom.operators.components import connected_components
 
 
@@ -28,3 +29,17 @@ def test_components_of_random_graphs(spark):
         rows = connected_components(spark.createDataFrame(edges, "u long, v long")).collect()
         assert {r.node: r.component for r in rows} == union_find(edges)
         assert len(rows) == len({r.node for r in rows})
+
+
+def test_a_round_writes_four_tables(spark, monkeypatch):
+    """The table of nodes tells whether the edges are stars, and is the result where they are."""
+    written = []
+    real = components.materialise
+    monkeypatch.setattr(components, "materialise", lambda df, label: written.append(label) or real(df, label))
+    rows = connected_components(spark.createDataFrame([(1, 2), (1, 3), (4, 5)], "u long, v long")).collect()
+    assert {r.node: r.component for r in rows} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
+    assert written == ["edges", "nodes"]
+    written.clear()
+    rows = connected_components(spark.createDataFrame([(1, 2), (2, 3)], "u long, v long")).collect()
+    assert {r.node: r.component for r in rows} == {1: 1, 2: 1, 3: 1}
+    assert written == ["edges", "nodes", "large", "least", "edges", "nodes"]
